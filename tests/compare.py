@@ -62,7 +62,7 @@ def main() -> int:
     from barlight.session import get_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session(**{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = get_session(**{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, failed = connect(sf_dir), entry.oracle_sql(), 0
     for name, fn in entry.queries().items():
