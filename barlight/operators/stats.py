@@ -8,16 +8,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from barlight.functions.tails import chi2_tail, correlation_p, f_tail
-from barlight.operators.layout import KEY, lay_out
+from barlight.operators.layout import KEY, is_intraday, lay_out
 from barlight.operators.skew import running_by_value
 
 CORRELATION_COLUMNS = ["adj_close", "daily_mean_sentiment", "daily_count", "return", "target_return_1d"]
 VALUE_RANGE = (-8.0, 8.0)  # where ranking steps are cut finely; values beyond still rank exactly
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def correlation_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
     p = correlation_p(r.astype(float).to_numpy(), n.astype(float).to_numpy())
     return pd.Series(p).where(~np.isnan(p), None)
@@ -36,37 +38,42 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     return per.select(KEY, F.inline(F.array(*cells)))
 
 
-def average_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Average rank of ``column`` inside its ticker, ties sharing their mean rank.
+def average_ranks(df: DataFrame, keys: list[str], column: str, name: str, daily: bool = True) -> DataFrame:
+    """Average rank of ``column`` inside its key, ties sharing their mean rank.
 
-    Ranks come from counts per distinct value, so copies of one value cost one row.
+    A daily series is ranked by window (at most one row per calendar day in a task). Otherwise ranks
+    come from counts per distinct value, taken over value steps, so that no task orders a whole key.
     """
-    counts = df.groupBy(KEY, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_by_value(counts, [KEY], "_v", ["n"], *VALUE_RANGE)
-    ranked = ranked.select(F.col(KEY).alias("_k"), "_v", (F.col("n_before") + (F.col("n") + 1) / 2.0).alias(name))
-    out = df.join(ranked, (df[KEY] == ranked["_k"]) & (df[column] == ranked["_v"]))
-    return out.drop("_k", "_v")
+    if daily:
+        by_key = W.partitionBy(*keys)
+        ties = F.count(F.lit(1)).over(W.partitionBy(*keys, column))
+        return df.withColumn(name, F.rank().over(by_key.orderBy(column)) + (ties - 1) / 2.0)
+    counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_by_value(counts, keys, column, ["_c"], *VALUE_RANGE)
+    ranked = ranked.select(*keys, column, (F.col("_c_before") + (F.col("_c") + 1) / 2.0).alias(name))
+    return df.join(ranked, [*keys, column])
 
 
-def sentiment_correlations(df: DataFrame, x: str = "daily_mean_sentiment") -> DataFrame:
+def sentiment_correlations(df: DataFrame, x: str = "daily_mean_sentiment", order: str = "date") -> DataFrame:
     """Pearson and Spearman with p-values of sentiment against the return and the next-bar return.
 
-    Only rows with both values count; two or fewer give missing results.
+    Only rows with both values count; two or fewer give missing results. Both comparisons run as one
+    long frame, so the input is read once.
     """
-    parts = []
-    for y in ("return", "target_return_1d"):
-        pairs = df.select(KEY, F.col(x).alias("a"), F.col(y).alias("b"))
-        pairs = pairs.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-        pearson = pairs.groupBy(KEY).agg(F.corr("a", "b").alias("pearson_r"), F.count(F.lit(1)).alias("n"))
-        ranks = average_ranks(average_ranks(pairs, "a", "_ra"), "b", "_rb")
-        spearman = ranks.groupBy(KEY).agg(F.corr("_ra", "_rb").alias("spearman_rho"))
-        part = pearson.join(spearman, KEY).withColumn("metric", F.lit(f"sentiment vs {y}"))
-        parts.append(part)
-    out = parts[0].unionByName(parts[1])
+    keys = [KEY, "metric"]
+    sides = [F.struct(F.lit(f"sentiment vs {y}").alias("metric"), F.col(y).alias("b")) for y in ("return", "target_return_1d")]
+    pairs = df.select(KEY, F.col(x).alias("a"), F.inline(F.array(*sides)))
+    pairs = pairs.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    daily = not is_intraday(df, order)
+    for column in ("a", "b"):
+        pairs = average_ranks(pairs, keys, column, f"_r{column}", daily)
+    out = pairs.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.corr("a", "b").alias("pearson_r"), F.corr("_ra", "_rb").alias("spearman_rho")
+    )
     enough = F.col("n") > 2
     out = out.withColumns({c: F.when(enough, F.col(c)) for c in ("pearson_r", "spearman_rho")})
     return out.select(
-        KEY, "metric", "n", "pearson_r", correlation_p_value("pearson_r", "n").alias("pearson_p"),
+        *keys, "n", "pearson_r", correlation_p_value("pearson_r", "n").alias("pearson_p"),
         "spearman_rho", correlation_p_value("spearman_rho", "n").alias("spearman_p"),
     )
 
