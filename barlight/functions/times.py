@@ -33,7 +33,9 @@ def market_time(ts: Column | str, market_tz: str = "America/New_York") -> Column
 
 def after_close(local: Column, market_close: str = "16:00") -> Column:
     """Later than the close; the close itself still belongs to the session."""
-    return F.date_format(local, "HH:mm:ss.SSSSSS") > F.lit(f"{market_close}:00.000000")
+    hours, minutes = (int(x) for x in market_close.split(":"))
+    time_of_day = F.pmod(F.unix_micros(local), F.lit(86_400_000_000))
+    return time_of_day > (hours * 60 + minutes) * 60_000_000
 
 
 def is_weekday(d: Column | str) -> Column:
@@ -46,9 +48,12 @@ def next_weekday(d: Column | str) -> Column:
     return F.date_add(d, step)
 
 
-def trading_date(ts: Column | str, market_tz: str = "America/New_York", market_close: str = "16:00") -> Column:
-    """Trading date under a Monday to Friday calendar; the open never moves an article."""
-    local = market_time(ts, market_tz)
+def session_date(local: Column | str, market_close: str = "16:00") -> Column:
+    """Trading date of a market-local timestamp under a Monday to Friday calendar.
+
+    The open never moves an article: before it and inside the session are the same day.
+    """
+    local = as_col(local)
     day = F.to_date(local)
     moves = ~is_weekday(day) | after_close(local, market_close)
     return F.when(moves, next_weekday(day)).otherwise(day)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from barlight.functions.numeric import flag, ratio_or_zero
 from barlight.operators.layout import KEY, lay_out
@@ -109,42 +108,20 @@ def roc_curve(scored: DataFrame, keys: list[str] = KEYS, drop_intermediate: bool
     A point on a straight stretch between its neighbours is left out unless ``drop_intermediate`` is
     off: that is when the next lower probability adds the same class counts as this one.
     """
-    ranked = running_by_value(_by_probability(scored, keys), keys, "prob", ["pos", "neg"], 0.0, 1.0)
-    seen = {c: F.col(f"{c}_total") - F.col(f"{c}_before") for c in ("pos", "neg")}
-    points = ranked.withColumns({"_tp": seen["pos"], "_fp": seen["neg"]})
+    counts = _by_probability(scored, keys)
+    points = running_by_value(counts, keys, "prob", ["pos", "neg"], 0.0, 1.0, previous="_lower")
+    tp, fp = (F.col(f"{c}_total") - F.col(f"{c}_before") for c in ("pos", "neg"))
+    is_first = (tp == F.col("pos")) & (fp == F.col("neg"))
     if drop_intermediate:
-        points = _mark_straight(points, keys).filter(~F.col("_straight"))
-    points = points.select(
-        *keys,
-        F.col("prob").alias("threshold"),
-        F.try_divide(F.col("_fp"), F.col("neg_total")).alias("fpr"),
-        F.try_divide(F.col("_tp"), F.col("pos_total")).alias("tpr"),
-    )
-    origin = scored.select(*keys).distinct().select(
-        *keys, F.lit(INF).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return origin.unionByName(points)
-
+        repeats = (F.col("_lower.pos") == F.col("pos")) & (F.col("_lower.neg") == F.col("neg"))
+        points = points.filter(is_first | ~F.coalesce(repeats, F.lit(False)))
 
-def _mark_straight(points: DataFrame, keys: list[str]) -> DataFrame:
-    """True where the next lower probability exists, a higher one exists too, and both counts repeat.
+    def point(threshold: Column, fpr: Column, tpr: Column) -> Column:
+        return F.struct(threshold.alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
 
-    Neighbours are found inside the fixed-width probability steps; the first neighbour across a step
-    edge comes from the step table.
-    """
-    counts = F.struct("pos", "neg")
-    stepped = points.withColumn("_step", F.floor(F.col("prob") * 65536))
-    tops = stepped.groupBy(*keys, "_step").agg(F.max_by(counts, "prob").alias("_top"))
-    by_step = W.partitionBy(*keys).orderBy("_step") if keys else W.partitionBy(F.lit(0)).orderBy("_step")
-    tops = tops.select(*keys, "_step", F.lag("_top", 1).over(by_step).alias("_below"))
-    in_step = W.partitionBy(*keys, "_step").orderBy("prob")
-    out = stepped.join(tops, [*keys, "_step"])
-    lower = F.coalesce(F.lag(counts, 1).over(in_step), F.col("_below"))
-    out = out.withColumn("_lower", lower)
-    is_first = (F.col("_tp") == F.col("pos")) & (F.col("_fp") == F.col("neg"))
-    repeats = (F.col("_lower.pos") == F.col("pos")) & (F.col("_lower.neg") == F.col("neg"))
-    straight = F.coalesce(repeats, F.lit(False)) & ~is_first
-    return out.withColumn("_straight", straight).drop("_step", "_below", "_lower")
+    here = point(F.col("prob"), F.try_divide(fp, F.col("neg_total")), F.try_divide(tp, F.col("pos_total")))
+    start = point(F.lit(INF), F.lit(0.0), F.lit(0.0))
+    return points.select(*keys, F.inline(F.when(is_first, F.array(start, here)).otherwise(F.array(here))))
 
 
 def rolling_accuracy(scored: DataFrame, rows: int = 20, order: str = "date") -> DataFrame:

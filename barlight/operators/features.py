@@ -97,25 +97,24 @@ def full_features(df: DataFrame, order: str = "date") -> DataFrame:
     back = max(ind.TECHNICAL_BACK, 64)
     lane = lay_out(ind.pad_close(df, order=order), back=back, order=order, blocks=True)
     lane = ind.technical_lane(lane)
-    lane = lane.add({f"{p}_range": F.col(p) for p in ("doji", "hammer", "shooting_star")})
-    lane = lane.add(_lag_roll(lane, df.columns, FULL_LAGS, FULL_ROLLS))
+    extra = {f"{p}_range": F.col(p) for p in ("doji", "hammer", "shooting_star")}
+    extra |= _lag_roll(lane, df.columns, FULL_LAGS, FULL_ROLLS)
     if "sentiment_score" not in df.columns:
-        mean = F.col("daily_mean_sentiment") if "daily_mean_sentiment" in df.columns else F.lit(0.0)
-        lane = lane.add({"sentiment_score": mean})
-    lane = lane.add(sentiment_flags("sentiment_score"))
+        extra["sentiment_score"] = F.col("daily_mean_sentiment") if "daily_mean_sentiment" in df.columns else F.lit(0.0)
     if "news_count" in df.columns:
-        lane = lane.add(ind.news_count_stats(lane))
+        extra |= ind.news_count_stats(lane)
     else:
-        zero = {c: F.lit(0.0) for c in ("news_count_ma5", "news_count_ma20", "news_count_std")}
-        lane = lane.add({"news_count": F.lit(0).cast("long"), **zero})
+        extra["news_count"] = F.lit(0).cast("long")
+        extra |= {c: F.lit(0.0) for c in ("news_count_ma5", "news_count_ma20", "news_count_std")}
+    if "returns" in df.columns:
+        extra |= ind.return_momentum(lane)
+    extra |= {name: ind.change(lane, ind.PADDED, k) for name, k in ind._price_changes().items()}
+    extra |= {f"price_ratio_{w}": pd_div("close", f"ma_{w}") for w in (5, 20)}
+    extra["trend_50"] = flag(F.col("close") > roll_mean(lane, "close", 50))
+    lane = lane.add(extra)
     if "volatility" in df.columns:
         lane = ind.volatility_stats(lane)
-    if "returns" in df.columns:
-        lane = lane.add(ind.return_momentum(lane))
-    changes = {name: ind.change(lane, ind.PADDED, k) for name, k in ind._price_changes().items()}
-    ratios = {f"price_ratio_{w}": pd_div("close", f"ma_{w}") for w in (5, 20)}
-    trend = {"trend_50": flag(F.col("close") > roll_mean(lane, "close", 50))}
-    lane = lane.add({**changes, **ratios, **trend, **ind.candles_shadow()})
+    lane = lane.add({**sentiment_flags("sentiment_score"), **ind.candles_shadow()})
     out = fill_clean(lane.finish(ind.PADDED), order=order)
     out = out.withColumns(date_parts(order))
     return ensure(out, target_direction=0, target_return=0.0)
@@ -134,7 +133,8 @@ def basic_features(bars: DataFrame, order: str = "date") -> DataFrame:
     """
     lane = lay_out(ind.pad_close(lower_names(bars), order=order), back=40, order=order)
     prev = F.lag("close", 1).over(lane.window)
-    lane = lane.add({"returns": ind.change(lane, ind.PADDED, 1), "log_returns": ind.pd_log(pd_div("close", prev))})
+    changes = {"returns": ind.change(lane, ind.PADDED, 1), "log_returns": ind.pd_log(pd_div("close", prev))}
+    lane = lane.add({**changes, **ind._delta(lane)})
     lane = lane.add(
         {
             "volatility": ind.roll_std(lane, "returns", 20),
@@ -142,9 +142,10 @@ def basic_features(bars: DataFrame, order: str = "date") -> DataFrame:
             "sma_20": roll_mean(lane, "close", 20),
             "target_direction": flag(F.col("returns") > 0),
             "target_return": F.col("returns"),
+            **ind._relative_strength(lane, "rsi"),
         }
     )
-    return ind._rsi(lane, "rsi").finish(ind.PADDED)
+    return lane.finish(ind.PADDED, "_delta")
 
 
 # Which columns a trained model may read.

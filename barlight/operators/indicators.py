@@ -41,9 +41,12 @@ def _momentum_price(lane: Lane) -> dict[str, Column]:
     return {"momentum_5": change(lane, "close", 5), "momentum_10": change(lane, "close", 10)}
 
 
-def _averages(lane: Lane) -> Lane:
-    lane = lane.add({f"ma_{w}": roll_mean(lane, "close", w) for w in (5, 10, 20)})
-    return lane.add({f"price_ma_{w}_ratio": pd_div("close", f"ma_{w}") for w in (5, 10, 20)})
+def _averages(lane: Lane) -> dict[str, Column]:
+    return {f"ma_{w}": roll_mean(lane, "close", w) for w in (5, 10, 20)}
+
+
+def _average_ratios() -> dict[str, Column]:
+    return {f"price_ma_{w}_ratio": pd_div("close", f"ma_{w}") for w in (5, 10, 20)}
 
 
 def _trends(lane: Lane, windows: tuple[int, ...] = (5, 20, 50)) -> dict[str, Column]:
@@ -51,8 +54,8 @@ def _trends(lane: Lane, windows: tuple[int, ...] = (5, 20, 50)) -> dict[str, Col
 
 
 def moving_averages(bars: DataFrame, order: str = "date") -> DataFrame:
-    lane = _averages(lay_out(bars, back=50, order=order))
-    return lane.add(_trends(lane)).finish()
+    lane = lay_out(bars, back=50, order=order)
+    return lane.add({**_averages(lane), **_trends(lane)}).add(_average_ratios()).finish()
 
 
 def _volume_ratio(lane: Lane) -> dict[str, Column]:
@@ -93,40 +96,53 @@ def volatility(bars: DataFrame, order: str = "date") -> DataFrame:
     return volatility_stats(lane).finish(PADDED)
 
 
-def _bands(lane: Lane, rows: int = 20, width: float = 2.0) -> Lane:
+def _band_edges(lane: Lane, rows: int = 20, width: float = 2.0) -> dict[str, Column]:
     mean, std = roll_mean(lane, "close", rows), roll_std(lane, "close", rows)
-    lane = lane.add({"bb_upper": mean + width * std, "bb_lower": mean - width * std})
+    return {"bb_upper": mean + width * std, "bb_lower": mean - width * std}
+
+
+def _band_place() -> dict[str, Column]:
     span = F.col("bb_upper") - F.col("bb_lower")
-    return lane.add({"bb_width": span, "bb_position": pd_div(F.col("close") - F.col("bb_lower"), span)})
+    return {"bb_width": span, "bb_position": pd_div(F.col("close") - F.col("bb_lower"), span)}
 
 
 def bollinger(bars: DataFrame, order: str = "date") -> DataFrame:
-    return _bands(lay_out(bars, back=20, order=order)).finish()
+    lane = lay_out(bars, back=20, order=order)
+    return lane.add(_band_edges(lane)).add(_band_place()).finish()
 
 
-def _rsi(lane: Lane, name: str, window: int = 14) -> Lane:
-    """Simple-mean RSI. A missing first difference counts as no gain and no loss."""
-    delta = F.col("close") - F.lag("close", 1).over(lane.window)
-    lane = lane.add({"_delta": delta})
+def _delta(lane: Lane) -> dict[str, Column]:
+    return {"_delta": F.col("close") - F.lag("close", 1).over(lane.window)}
+
+
+def _relative_strength(lane: Lane, name: str, window: int = 14) -> dict[str, Column]:
+    """Simple-mean RSI from ``_delta``. A missing first difference counts as no gain and no loss."""
     gain = F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(0.0)
     loss = F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(0.0)
-    lane = lane.add({"_rs": pd_div(roll_mean(lane, gain, window), roll_mean(lane, loss, window))})
-    lane = lane.add({name: 100.0 - 100.0 / (1.0 + F.col("_rs"))})
-    return lane._replace(df=lane.df.drop("_delta", "_rs"))
+    ratio = pd_div(roll_mean(lane, gain, window), roll_mean(lane, loss, window))
+    return {name: 100.0 - 100.0 / (1.0 + ratio)}
 
 
 def rsi(bars: DataFrame, window: int = 14, name: str = "rsi_14", order: str = "date") -> DataFrame:
-    return _rsi(lay_out(bars, back=window + 1, order=order), name, window).finish()
+    lane = lay_out(bars, back=window + 1, order=order)
+    lane = lane.add(_delta(lane))
+    return lane.add(_relative_strength(lane, name, window)).finish("_delta")
 
 
 def macd_back(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
     return max(decay_rows(fast), decay_rows(slow)) + decay_rows(signal)
 
 
-def _macd(lane: Lane, fast: int = 12, slow: int = 26, signal: int = 9) -> Lane:
-    lane = lane.add({"macd": ewm_mean(lane, "close", fast) - ewm_mean(lane, "close", slow)})
-    lane = lane.add({"macd_signal": ewm_mean(lane, "macd", signal)})
-    return lane.add({"macd_histogram": F.col("macd") - F.col("macd_signal")})
+def _macd_line(lane: Lane, fast: int = 12, slow: int = 26) -> dict[str, Column]:
+    return {"macd": ewm_mean(lane, "close", fast) - ewm_mean(lane, "close", slow)}
+
+
+def _macd_signal(lane: Lane, signal: int = 9) -> dict[str, Column]:
+    return {"macd_signal": ewm_mean(lane, "macd", signal)}
+
+
+def _macd_histogram() -> dict[str, Column]:
+    return {"macd_histogram": F.col("macd") - F.col("macd_signal")}
 
 
 def block_rows_for(back: int) -> int:
@@ -136,7 +152,7 @@ def block_rows_for(back: int) -> int:
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: str = "date") -> DataFrame:
     back = macd_back(fast, slow, signal)
     lane = lay_out(bars, back=back, order=order, blocks=True, block_rows=block_rows_for(back))
-    return _macd(lane, fast, slow, signal).finish()
+    return lane.add(_macd_line(lane, fast, slow)).add(_macd_signal(lane, signal)).add(_macd_histogram()).finish()
 
 
 def ewm(bars: DataFrame, column: str, spans: list[int], order: str = "date") -> DataFrame:
@@ -185,13 +201,28 @@ TECHNICAL_BACK = macd_back()
 
 
 def technical_lane(lane: Lane) -> Lane:
-    """The indicator set on a block lane whose frame carries the padded close."""
-    lane = lane.add({"price_change": change(lane, PADDED, 1), **candle_ratios(), **_volume_ratio(lane)})
-    lane = _averages(lane)
-    lane = lane.add({**_price_volatility(lane), **_momentum_price(lane)})
-    lane = _rsi(_bands(lane), "rsi_14")
-    lane = _macd(lane)
-    return lane.add({**candles_range(), **_trends(lane, (5, 20)), **_regime(lane)})
+    """The indicator set on a block lane whose frame carries the padded close.
+
+    Windows are grouped by depth - on prices, on those results, on theirs - so the blocks are walked
+    three times in all.
+    """
+    lane = lane.add(
+        {
+            "price_change": change(lane, PADDED, 1),
+            **candle_ratios(),
+            **_volume_ratio(lane),
+            **_averages(lane),
+            **_momentum_price(lane),
+            **_band_edges(lane),
+            **_delta(lane),
+            **_macd_line(lane),
+            **_trends(lane, (5, 20)),
+            **candles_range(),
+        }
+    )
+    lane = lane.add({**_price_volatility(lane), **_relative_strength(lane, "rsi_14"), **_macd_signal(lane)})
+    lane = lane.add({**_average_ratios(), **_band_place(), **_macd_histogram(), **_regime(lane)})
+    return lane._replace(df=lane.df.drop("_delta"))
 
 
 def technical_indicators(bars: DataFrame, order: str = "date") -> DataFrame:

@@ -124,35 +124,32 @@ def _neg_mse() -> Column:
 def grid_search(folded: DataFrame, spec: ModelSpec, score: Column, parallelism: int = 4) -> Trained:
     """Every grid point over every fold, trained on smaller fold numbers only; the best is refitted on all rows.
 
-    ``folded`` carries features, label and fold. Fits are Spark jobs; the driver only keeps the
-    threads that submit them and one score per fit.
+    ``folded`` carries features, label and fold and should be cached: every fit reads it. Fits are
+    Spark jobs; the driver only keeps the threads that submit them and one score per fit.
     """
-    data = folded.select(FEATURES, LABEL, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-        folds = sorted(f for f in sizes if f >= 0)
-        if not folds:
-            raise ValueError("no ticker is long enough for the requested number of folds")
-        points = _points(spec.grid)
-
-        def fit(job: tuple[int, int]) -> float:
-            i, fold = job
-            rows = sum(n for f, n in sizes.items() if f < fold)
-            model = spec.build(points[i], rows).fit(data.filter(F.col("fold") < fold))
-            return float(model.transform(data.filter(F.col("fold") == fold)).agg(score.alias("s")).first()["s"])
-
-        jobs = list(itertools.product(range(len(points)), folds))
-        with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs))
-        results = []
-        for i, point in enumerate(points):
-            own = [s for (j, _), s in zip(jobs, scores) if j == i]
-            results.append({"params": point, "mean_score": sum(own) / len(own), "fold_scores": own})
-        best = max(results, key=lambda r: r["mean_score"])
-        model = spec.build(best["params"], sum(sizes.values())).fit(data)
-        return Trained(model, best["mean_score"], best["params"], results)
-    finally:
-        data.unpersist()
+    data = folded
+    sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    folds = sorted(f for f in sizes if f >= 0)
+    if not folds:
+        raise ValueError("no ticker is long enough for the requested number of folds")
+    points = _points(spec.grid)
+
+    def fit(job: tuple[int, int]) -> float:
+        i, fold = job
+        rows = sum(n for f, n in sizes.items() if f < fold)
+        model = spec.build(points[i], rows).fit(data.filter(F.col("fold") < fold))
+        return float(model.transform(data.filter(F.col("fold") == fold)).agg(score.alias("s")).first()["s"])
+
+    jobs = list(itertools.product(range(len(points)), folds))
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs))
+    results = []
+    for i, point in enumerate(points):
+        own = [s for (j, _), s in zip(jobs, scores) if j == i]
+        results.append({"params": point, "mean_score": sum(own) / len(own), "fold_scores": own})
+    best = max(results, key=lambda r: r["mean_score"])
+    model = spec.build(best["params"], sum(sizes.values())).fit(data)
+    return Trained(model, best["mean_score"], best["params"], results)
 
 
 def train_classifiers(

@@ -45,28 +45,37 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def running_by_value(counts: DataFrame, keys: list[str], value: str, sums: list[str], low: float, high: float) -> DataFrame:
+def running_by_value(
+    counts: DataFrame, keys: list[str], value: str, sums: list[str], low: float, high: float, previous: str | None = None
+) -> DataFrame:
     """``{s}_before`` (sum over strictly smaller values of the key) and ``{s}_total`` for each s.
 
     ``counts`` has one row per (keys, value). Values are cut into fixed-width steps - multiplying by
     a power of two and flooring is exact, so steps never reorder values - and the running sum is
     taken over step totals and then inside each step. The step table has at most
-    (high - low) * 65,536 rows per key; no task sees a whole key.
+    (high - low) * 65,536 rows per key; no task sees a whole key. ``previous`` names a struct with
+    the sums of the next smaller value.
     """
     inside = F.greatest(F.lit(low), F.least(F.lit(high), F.col(value)))
     stepped = counts.withColumn("_step", F.floor(inside * 65536))
-    steps = stepped.groupBy(*keys, "_step").agg(*[F.sum(s).alias(s) for s in sums])
+    group = F.struct(*sums)
+    top = [F.max_by(group, value).alias("_top")] if previous else []
+    steps = stepped.groupBy(*keys, "_step").agg(*[F.sum(s).alias(s) for s in sums], *top)
     by_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    earlier = by_key.orderBy("_step").rowsBetween(W.unboundedPreceding, -1)
+    ordered = by_key.orderBy("_step")
+    earlier = ordered.rowsBetween(W.unboundedPreceding, -1)
+    below = [F.lag("_top", 1).over(ordered).alias("_below")] if previous else []
     steps = steps.select(
         *keys,
         "_step",
         *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_{s}_steps") for s in sums],
         *[F.sum(s).over(by_key).alias(f"{s}_total") for s in sums],
+        *below,
     )
-    in_step = W.partitionBy(*keys, "_step").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    out = stepped.join(steps, [*keys, "_step"])
-    out = out.withColumns(
-        {f"{s}_before": F.col(f"_{s}_steps") + F.coalesce(F.sum(s).over(in_step), F.lit(0)) for s in sums}
-    )
-    return out.drop("_step", *[f"_{s}_steps" for s in sums])
+    in_step = W.partitionBy(*keys, "_step").orderBy(value)
+    so_far = in_step.rowsBetween(W.unboundedPreceding, -1)
+    columns = {f"{s}_before": F.col(f"_{s}_steps") + F.coalesce(F.sum(s).over(so_far), F.lit(0)) for s in sums}
+    if previous:
+        columns[previous] = F.coalesce(F.lag(group, 1).over(in_step), F.col("_below"))
+    out = stepped.join(steps, [*keys, "_step"]).withColumns(columns)
+    return out.drop("_step", "_below", *[f"_{s}_steps" for s in sums])

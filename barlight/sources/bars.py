@@ -117,7 +117,7 @@ def number_days(df: DataFrame, order: str, start: str = "2020-01-01") -> DataFra
 def write_bars(bars: DataFrame, path: str) -> None:
     """Upsert whole tickers: only the partitions present in ``bars`` are replaced."""
     keyed = bars.withColumn("ticker", ticker_key("ticker"))
-    keyed.write.partitionBy("ticker").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    keyed.hint("rebalance", "ticker").write.partitionBy("ticker").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_bars(

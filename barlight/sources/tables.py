@@ -1,4 +1,8 @@
-"""Stored tables between stages: features, news, CSV stages, metrics, and reports."""
+"""Stored tables between stages: features, news, CSV stages, metrics, and reports.
+
+Partitioned sinks are rebalanced on the partition columns first: few files per ticker, and a ticker
+with a large share of the rows is split over several writers.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from pyspark.sql import types as T
 def write_features(features: DataFrame, path: str) -> None:
     """One partition per upper-cased ticker; only the tickers present are replaced."""
     keyed = features.withColumn("ticker", F.upper("ticker"))
-    keyed.write.partitionBy("ticker").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    keyed.hint("rebalance", "ticker").write.partitionBy("ticker").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_features(spark: SparkSession, path: str, ticker: str, schema: T.StructType | None = None) -> DataFrame:
@@ -26,7 +30,7 @@ def read_features(spark: SparkSession, path: str, ticker: str, schema: T.StructT
 
 
 def write_news(news: DataFrame, path: str) -> None:
-    news.write.partitionBy("source", "ticker").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    news.hint("rebalance", "source", "ticker").write.partitionBy("source", "ticker").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_records(news: DataFrame, path: str) -> None:
