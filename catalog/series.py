@@ -539,10 +539,10 @@ def _scratch(spark) -> str:
 _itech_parts, _itech_body = _tech_sql(MINUTES)
 
 
-@query("intraday_indicators", sql_rounded(ctes(*_itech_parts), _itech_body, _TECH_PLAIN, _TECH_NUM, 4))
+@query("intraday_indicators", sql_rounded(ctes(*_itech_parts), _itech_body, _TECH_PLAIN, _TECH_NUM, 7))
 def intraday_indicators(spark, sf):
     out = ind.technical_indicators(minute_bars(spark, sf)).withColumn("date", F.col("date").cast("timestamp_ntz"))
-    return pick(out, _TECH_PLAIN, _TECH_NUM, 4)
+    return pick(out, _TECH_PLAIN, _TECH_NUM, 7)
 
 
 _IGAPPY = "gappy AS (SELECT ticker, date, CASE WHEN close > 20 THEN close END AS close FROM bars)"
