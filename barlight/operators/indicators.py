@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 
 from barlight.functions.numeric import flag, nan_to_null, pd_div, pd_log
 from barlight.operators.layout import BLOCK_ROWS, Lane, fill_forward, lay_out
-from barlight.operators.rolling import change, decay_rows, ewm_mean, roll_mean, roll_std, roll_sum
+from barlight.operators.rolling import (
+    change,
+    decay_rows,
+    ewm_mean,
+    frame_stats,
+    full_mean,
+    full_std,
+    roll_mean,
+    roll_std,
+    roll_sum,
+)
 from barlight.schemas import require
 
 PADDED = "_padded_close"
@@ -41,33 +51,50 @@ def _momentum_price(lane: Lane) -> dict[str, Column]:
     return {"momentum_5": change(lane, "close", 5), "momentum_10": change(lane, "close", 10)}
 
 
-def _averages(lane: Lane) -> dict[str, Column]:
-    return {f"ma_{w}": roll_mean(lane, "close", w) for w in (5, 10, 20)}
+def _average_stats(lane: Lane, windows: tuple[int, ...] = (5, 10, 20)) -> dict[str, Column]:
+    return {k: c for w in windows for k, c in frame_stats(lane, "close", w, "sum").items()}
+
+
+def _averages() -> dict[str, Column]:
+    return {f"ma_{w}": full_mean("close", w) for w in (5, 10, 20)}
 
 
 def _average_ratios() -> dict[str, Column]:
     return {f"price_ma_{w}_ratio": pd_div("close", f"ma_{w}") for w in (5, 10, 20)}
 
 
-def _trends(lane: Lane, windows: tuple[int, ...] = (5, 20, 50)) -> dict[str, Column]:
-    return {f"trend_{w}": flag(F.col("close") > roll_mean(lane, "close", w)) for w in windows}
+def _trends(windows: tuple[int, ...] = (5, 20, 50)) -> dict[str, Column]:
+    return {f"trend_{w}": flag(F.col("close") > full_mean("close", w)) for w in windows}
 
 
 def moving_averages(bars: DataFrame, order: str = "date") -> DataFrame:
     lane = lay_out(bars, back=50, order=order)
-    return lane.add({**_averages(lane), **_trends(lane)}).add(_average_ratios()).finish()
+    stats = _average_stats(lane, (5, 10, 20, 50))
+    return lane.add(stats).add({**_averages(), **_trends()}).add(_average_ratios()).finish(*stats)
+
+
+def _volume_stats(lane: Lane) -> dict[str, Column]:
+    return frame_stats(lane, "volume", 5, "sum")
+
 
+def _volume_ratio() -> dict[str, Column]:
+    return {"volume_ratio": pd_div("volume", full_mean("volume", 5))}
 
-def _volume_ratio(lane: Lane) -> dict[str, Column]:
-    return {"volume_ratio": pd_div("volume", roll_mean(lane, "volume", 5))}
 
+def _change_stats(lane: Lane, windows: tuple[int, ...] = (5, 10)) -> dict[str, Column]:
+    return {k: c for w in windows for k, c in frame_stats(lane, "price_change", w, "std").items()}
 
-def _price_volatility(lane: Lane) -> dict[str, Column]:
-    return {f"volatility_{w}": roll_std(lane, "price_change", w) for w in (5, 10)}
 
+def _price_volatility() -> dict[str, Column]:
+    return {f"volatility_{w}": full_std("price_change", w) for w in (5, 10)}
 
-def _regime(lane: Lane) -> dict[str, Column]:
-    return {"volatility_regime": flag(F.col("volatility_10") > roll_mean(lane, "volatility_10", 20))}
+
+def _regime_stats(lane: Lane) -> dict[str, Column]:
+    return frame_stats(lane, "volatility_10", 20, "sum")
+
+
+def _regime() -> dict[str, Column]:
+    return {"volatility_regime": flag(F.col("volatility_10") > full_mean("volatility_10", 20))}
 
 
 def volatility_stats(lane: Lane, c: str = "volatility") -> Lane:
@@ -90,14 +117,17 @@ def news_count_stats(lane: Lane, c: str = "news_count") -> dict[str, Column]:
 def volatility(bars: DataFrame, order: str = "date") -> DataFrame:
     """Volume ratio, rolling volatility of returns and every regime flag derived from it."""
     lane = lay_out(pad_close(bars, order=order), back=45, order=order)
-    lane = lane.add({"price_change": change(lane, PADDED, 1), **_volume_ratio(lane)})
-    lane = lane.add({**_price_volatility(lane), "volatility": roll_std(lane, "price_change", 20)})
-    lane = lane.add(_regime(lane))
+    volume = _volume_stats(lane)
+    lane = lane.add({"price_change": change(lane, PADDED, 1), **volume}).add(_volume_ratio()).without(volume)
+    spread = _change_stats(lane, (5, 10, 20))
+    lane = lane.add(spread).add({**_price_volatility(), "volatility": full_std("price_change", 20)}).without(spread)
+    regime = _regime_stats(lane)
+    lane = lane.add(regime).add(_regime()).without(regime)
     return volatility_stats(lane).finish(PADDED)
 
 
-def _band_edges(lane: Lane, rows: int = 20, width: float = 2.0) -> dict[str, Column]:
-    mean, std = roll_mean(lane, "close", rows), roll_std(lane, "close", rows)
+def _band_edges(rows: int = 20, width: float = 2.0) -> dict[str, Column]:
+    mean, std = full_mean("close", rows), full_std("close", rows)
     return {"bb_upper": mean + width * std, "bb_lower": mean - width * std}
 
 
@@ -108,25 +138,38 @@ def _band_place() -> dict[str, Column]:
 
 def bollinger(bars: DataFrame, order: str = "date") -> DataFrame:
     lane = lay_out(bars, back=20, order=order)
-    return lane.add(_band_edges(lane)).add(_band_place()).finish()
+    stats = frame_stats(lane, "close", 20, "sum", "std")
+    return lane.add(stats).add(_band_edges()).add(_band_place()).finish(*stats)
 
 
 def _delta(lane: Lane) -> dict[str, Column]:
     return {"_delta": F.col("close") - F.lag("close", 1).over(lane.window)}
 
 
-def _relative_strength(lane: Lane, name: str, window: int = 14) -> dict[str, Column]:
-    """Simple-mean RSI from ``_delta``. A missing first difference counts as no gain and no loss."""
-    gain = F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(0.0)
-    loss = F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(0.0)
-    ratio = pd_div(roll_mean(lane, gain, window), roll_mean(lane, loss, window))
+def _gains() -> dict[str, Column]:
+    """A missing first difference counts as no gain and no loss."""
+    delta = F.col("_delta")
+    return {"_gain": F.when(delta > 0, delta).otherwise(0.0), "_loss": F.when(delta < 0, -delta).otherwise(0.0)}
+
+
+def _strength_stats(lane: Lane, window: int = 14) -> dict[str, Column]:
+    return {**frame_stats(lane, "_gain", window, "sum"), **frame_stats(lane, "_loss", window, "sum")}
+
+
+def _relative_strength(name: str, window: int = 14) -> dict[str, Column]:
+    """Simple-mean RSI."""
+    ratio = pd_div(full_mean("_gain", window), full_mean("_loss", window))
     return {name: 100.0 - 100.0 / (1.0 + ratio)}
 
 
+def _rsi(lane: Lane, name: str, window: int = 14) -> Lane:
+    lane = lane.add(_delta(lane)).add(_gains())
+    stats = _strength_stats(lane, window)
+    return lane.add(stats).add(_relative_strength(name, window)).without(["_delta", "_gain", "_loss", *stats])
+
+
 def rsi(bars: DataFrame, window: int = 14, name: str = "rsi_14", order: str = "date") -> DataFrame:
-    lane = lay_out(bars, back=window + 1, order=order)
-    lane = lane.add(_delta(lane))
-    return lane.add(_relative_strength(lane, name, window)).finish("_delta")
+    return _rsi(lay_out(bars, back=window + 1, order=order), name, window).finish()
 
 
 def macd_back(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
@@ -204,25 +247,22 @@ def technical_lane(lane: Lane) -> Lane:
     """The indicator set on a block lane whose frame carries the padded close.
 
     Windows are grouped by depth - on prices, on those results, on theirs - so the blocks are walked
-    three times in all.
+    three times in all, and each frame's aggregates are evaluated once.
     """
+    prices = {**_average_stats(lane, (5, 10)), **frame_stats(lane, "close", 20, "sum", "std"), **_volume_stats(lane)}
     lane = lane.add(
-        {
-            "price_change": change(lane, PADDED, 1),
-            **candle_ratios(),
-            **_volume_ratio(lane),
-            **_averages(lane),
-            **_momentum_price(lane),
-            **_band_edges(lane),
-            **_delta(lane),
-            **_macd_line(lane),
-            **_trends(lane, (5, 20)),
-            **candles_range(),
-        }
+        {**prices, "price_change": change(lane, PADDED, 1), **_momentum_price(lane), **_delta(lane), **_macd_line(lane)}
     )
-    lane = lane.add({**_price_volatility(lane), **_relative_strength(lane, "rsi_14"), **_macd_signal(lane)})
-    lane = lane.add({**_average_ratios(), **_band_place(), **_macd_histogram(), **_regime(lane)})
-    return lane._replace(df=lane.df.drop("_delta"))
+    lane = lane.add({**candle_ratios(), **candles_range(), **_volume_ratio(), **_averages(), **_band_edges()})
+    lane = lane.add({**_trends((5, 20)), **_average_ratios(), **_band_place(), **_gains()}).without(prices)
+
+    spread, strength = _change_stats(lane), _strength_stats(lane)
+    lane = lane.add({**spread, **strength, **_macd_signal(lane)})
+    lane = lane.add({**_price_volatility(), **_relative_strength("rsi_14"), **_macd_histogram()})
+    lane = lane.without(["_delta", "_gain", "_loss", *spread, *strength])
+
+    regime = _regime_stats(lane)
+    return lane.add(regime).add(_regime()).without(regime)
 
 
 def technical_indicators(bars: DataFrame, order: str = "date") -> DataFrame:

@@ -17,7 +17,7 @@ day totals.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, WindowSpec
@@ -57,6 +57,9 @@ class Lane(NamedTuple):
     def add(self, columns: dict[str, Column]) -> "Lane":
         return self._replace(df=self.df.withColumns(columns)) if columns else self
 
+    def without(self, columns: Iterable[str]) -> "Lane":
+        return self._replace(df=self.df.drop(*columns))
+
     def finish(self, *scratch: str) -> DataFrame:
         df = self.df.filter(F.col(_OWN)) if self.width else self.df
         return df.drop(*scratch, _ROW, _BLOCK, _OWN, _POS)

@@ -18,6 +18,27 @@ def _full(lane: Lane, c: Column | str, rows: int, agg: Callable[[Column], Column
     return F.when(F.count(c).over(frame) == rows, agg(c).over(frame))
 
 
+_STATS: dict[str, Callable[[Column], Column]] = {"n": F.count, "sum": F.sum, "std": F.stddev_samp}
+
+
+def frame_stats(lane: Lane, c: str, rows: int, *stats: str) -> dict[str, Column]:
+    """Scratch columns ``_{c}_{rows}_{stat}`` for :func:`full_mean` and :func:`full_std`.
+
+    Spark evaluates every mention of a window aggregate anew; naming the few a frame needs keeps each
+    to one evaluation however many indicators read it.
+    """
+    x, frame = finite(c), lane.last(rows)
+    return {f"_{c}_{rows}_{s}": _STATS[s](x).over(frame) for s in ("n", *stats)}
+
+
+def full_mean(c: str, rows: int) -> Column:
+    return F.when(F.col(f"_{c}_{rows}_n") == rows, F.col(f"_{c}_{rows}_sum") / rows)
+
+
+def full_std(c: str, rows: int) -> Column:
+    return F.when(F.col(f"_{c}_{rows}_n") == rows, F.col(f"_{c}_{rows}_std"))
+
+
 def roll_mean(lane: Lane, c: Column | str, rows: int, partial: bool = False) -> Column:
     return F.avg(finite(c)).over(lane.last(rows)) if partial else _full(lane, c, rows, F.avg)
 
