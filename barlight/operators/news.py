@@ -87,11 +87,18 @@ def union_feeds(feeds: list[DataFrame]) -> DataFrame:
     return out
 
 
-def collect_news(feeds: dict[str, DataFrame | None], max_articles: int | None = None) -> DataFrame:
+def collect_news(
+    feeds: dict[str, DataFrame | None],
+    max_articles: int | None = None,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
     """All feeds in one frame: tagged, capped at a quarter of the budget each, unioned, de-duplicated.
 
-    A feed that is absent (``None``) is skipped; an empty one adds no rows. Sorting for display is
-    left to :func:`newest_first`, so that the collection itself needs no global sort.
+    A duplicate URL is kept from the feed named first. A feed that is absent (``None``) is skipped; an
+    empty one adds no rows. With ``start`` and ``end`` only articles published in that range (last day
+    included) take part. Sorting for display is left to :func:`newest_first`, so that the collection
+    itself needs no global sort.
     """
     landed = {name: df for name, df in feeds.items() if df is not None}
     if not landed:
@@ -99,7 +106,10 @@ def collect_news(feeds: dict[str, DataFrame | None], max_articles: int | None =
     tagged = [tag_source(df, name) for name, df in landed.items()]
     if max_articles is not None:
         tagged = [cap_per_source(df, max(1, max_articles // 4)) for df in tagged]
-    return dedupe_across_sources(union_feeds(tagged), [*feeds])
+    collected = union_feeds(tagged)
+    if start and end:
+        collected = in_date_range(with_published(collected), start, end)
+    return dedupe_across_sources(collected, [*feeds])
 
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:

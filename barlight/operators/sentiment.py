@@ -87,17 +87,22 @@ def score_texts(
     text: str = "text",
     batch_size: int = 16,
     max_chars: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """SCORED rows (text_hash, text, label, score) for every distinct text.
 
     ``scorer_factory`` runs once per task and hides model loading and device choice; the scorer gets
     lists of at most ``batch_size`` texts. Duplicate texts are scored once. Whole texts are passed
-    on unless ``max_chars`` asks for the guard of :func:`barlight.functions.text.shorten`.
+    on unless ``max_chars`` asks for the guard of :func:`barlight.functions.text.shorten`. ``tasks``
+    spreads the distinct texts over that many tasks, where byte-sized partitions would be too few for
+    a slow model.
     """
     keyed = with_text_key(texts, text)
     distinct = keyed.groupBy("text_hash").agg(F.first(as_text(text)).alias("text"))
     given = shorten("text", max_chars // 4) if max_chars else F.col("text")
     distinct = distinct.withColumn("_given", given)
+    if tasks:
+        distinct = distinct.repartition(tasks, "text_hash")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = scorer_factory()

@@ -21,18 +21,23 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame that a plan reads more than once.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder already set.
 
-    Goes to the shared folder of ``spark.checkpoint.dir``. A private folder is made only in
-    local mode, where driver and executors are one machine.
+    A private folder is made only in local mode, where driver and executors are one machine.
     """
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="barlight-")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Checkpoint a frame that a plan reads more than once."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="barlight-checkpoint-")
-        sc.setCheckpointDir(shared)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -59,6 +59,21 @@ def news_union_dedupe(spark, sf):
     return naive(nw.newest_first(collected), "published").select("ticker", "url", "source", "title", "text", "published")
 
 
+@query(
+    "news_for_window",
+    f"""{ctes(NEWS)}, u AS (SELECT 0 AS r, 'RSS' AS source, ticker, {_SHORT} AS url, title, published FROM news
+      UNION ALL SELECT 1, 'NewsAPI', ticker, url, title, published FROM news UNION ALL SELECT 2, 'MarketAux', ticker, {_SHORT}, text, published FROM news)
+    SELECT ticker, url, source, title, published FROM u WHERE published >= TIMESTAMP '2024-01-05' AND published < TIMESTAMP '2024-01-12'
+    QUALIFY row_number() OVER (PARTITION BY ticker, url ORDER BY r, published) = 1""",
+)
+def news_for_window(spark, sf):
+    n = news(spark, sf).select("ticker", "url", "title", "published", "text")
+    short = n.withColumn("url", F.regexp_replace("url", "[?].*$", ""))
+    feeds_ = {"RSS": short.drop("text"), "NewsAPI": n.drop("text"), "MarketAux": short.withColumn("title", F.col("text")).drop("text")}
+    out = nw.collect_news(feeds_, start="2024-01-05", end="2024-01-11")
+    return naive(out, "published").select("ticker", "url", "source", "title", "published")
+
+
 @query(
     "news_cap_per_source",
     f"""{ctes(NEWS)} SELECT ticker, source, doc_id, published FROM news

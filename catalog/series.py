@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
-from barlight.functions.numeric import infinite_to_zero
 from barlight.functions.times import date_parts, recent_window
 from barlight.operators import daily as dl
 from barlight.operators import features as ft
 from barlight.operators import indicators as ind
-from barlight.operators.backtest import run_backtest
-from barlight.operators.layout import fill_forward, running
+from barlight.operators.layout import lay_out, running
 from barlight.operators.splits import expanding_folds, holdout, lookup_with_fallback
 from barlight.operators.calendar import align_to_trading_day, session_map
 from barlight.plans import pipeline as pl
 from barlight.schemas import ensure
+from barlight.session import shared_folder
 from barlight.sources import bars as sb
 from barlight.sources import tables as st
 from catalog.base import *  # noqa: F403
@@ -432,6 +430,44 @@ def news_daily_text(spark, sf):
     return text.join(dl.daily_news_count(aligned), ["ticker", "trading_date"])
 
 
+_STUB_BARS = """nbars AS (SELECT ticker, CAST(published AS DATE) AS date, avg(length(text)) AS close FROM news GROUP BY 1, 2)"""
+
+
+@query(
+    "preprocess_with_news",
+    f"""{ctes(NEWS, _NEWS_DAYS, _STUB_BARS)}, agg AS (SELECT ticker, trading_date, count(title) AS news_count, string_agg(text, ' ' ORDER BY published, url, text) AS combined_text FROM nday GROUP BY 1, 2)
+    SELECT b.ticker, b.date, coalesce(a.news_count, 0) AS news_count, coalesce(a.combined_text, '') AS combined_text, 0 AS text_part,
+    round(coalesce(b.close / lag(b.close) OVER (PARTITION BY b.ticker ORDER BY b.date) - 1, 0), 6) + 0.0 AS returns
+    FROM nbars b LEFT JOIN agg a ON a.ticker = b.ticker AND a.trading_date = b.date""",
+)
+def preprocess_with_news(spark, sf):
+    """Basic indicators with each bar's news count and text; articles also supply the bars."""
+    n = news(spark, sf)
+    b = n.groupBy("ticker", F.to_date("published").alias("date")).agg(F.avg(F.length("text")).alias("close"))
+    return pick(pl.preprocess(b, n), "ticker, date, news_count, combined_text, text_part", "returns")
+
+
+_NC = "nc AS (SELECT ticker, date, daily_count AS news_count, ret AS returns FROM merged)"
+_NC_NUM = "news_count_ma5, news_count_ma20, news_count_std, news_count_roll_20, returns_lag_7, returns_roll_10"
+
+
+@query(
+    "news_count_features",
+    sql_rounded(
+        ctes(SENT, DAILY, EBARS, MERGED, _NC),
+        f"""SELECT ticker, date, {sql_full('avg', 'news_count', 5)} AS news_count_ma5, {sql_full('avg', 'news_count', 20)} AS news_count_ma20,
+        {sql_full('stddev_samp', 'news_count', 20)} AS news_count_std, CAST(sum(news_count) {over(20)} AS DOUBLE) AS news_count_roll_20,
+        {sql_lag('returns', 7)} AS returns_lag_7, avg(returns) {over(10)} AS returns_roll_10 FROM nc""",
+        "ticker, date", _NC_NUM,
+    ),
+)
+def news_count_features(spark, sf):
+    m = merged(spark, sf).select("ticker", "date", F.col("daily_count").alias("news_count"), F.col("return").alias("returns"))
+    lane = lay_out(ft.lag_and_roll(m, [1, 3, 7, 14], [5, 10, 20]), back=20)
+    out = lane.add(ind.news_count_stats(lane)).finish()
+    return pick(out.withColumn("news_count_roll_20", F.col("news_count_roll_20").cast("double")), "ticker, date", _NC_NUM)
+
+
 @query("fold_assignment", f"""{ctes(BARS)}, n AS (SELECT ticker, date, row_number() OVER ({SERIES}) - 1 AS rn, count(*) OVER (PARTITION BY ticker) AS n FROM bars)
   SELECT ticker, date, CAST(CASE WHEN rn >= n - 5 * (n // 6) THEN (rn - (n - 5 * (n // 6))) // (n // 6) ELSE -1 END AS INTEGER) AS fold FROM n""")
 def fold_assignment(spark, sf):
@@ -513,7 +549,7 @@ def date_window(spark, sf):
 )
 def features_roundtrip(spark, sf):
     """Bars through the parquet, CSV and JSON tables and back, then a synthetic daily date."""
-    root = _scratch(spark)
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
     b = bars(spark, sf)
     st.write_features(b, f"{root}/features")
     back = spark.read.schema(b.schema).parquet(f"{root}/features")
@@ -525,14 +561,6 @@ def features_roundtrip(spark, sf):
     return pick(ensure(day, target_return=0.0), "ticker, date, synthetic", "open, close, volume, target_return", 8)
 
 
-def _scratch(spark) -> str:
-    """A new folder beside the checkpoints, or a private one in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="barlight-tables-")
-    return f"{shared.rstrip('/')}/barlight-tables-{uuid.uuid4().hex}"
-
-
 # ---- the same operators on intraday bars: block layout with borrowed rows, two-level running aggregates
 
 

@@ -62,6 +62,13 @@ def test_scores_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_reports_as_csv(spark, tmp_path):
+    path = str(tmp_path / "corr")
+    st.write_report(spark.createDataFrame([("T", "a", "b", 0.5)], "ticker string, x string, y string, corr double"), path)
+    back = st.read_stage(spark, path, spark.sql("SELECT '' AS ticker, '' AS x, '' AS y, 0.0D AS corr").schema)
+    assert [tuple(r) for r in back.collect()] == [("T", "a", "b", 0.5)]
+
+
 def test_observed_rows_cost_no_extra_job(spark):
     df, seen = st.observed(spark.range(7), "stage")
     df.collect()
