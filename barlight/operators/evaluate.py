@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from barlight.functions.numeric import flag, ratio_or_zero
 from barlight.operators.layout import KEY, lay_out
@@ -94,22 +95,32 @@ def _by_probability(scored: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def roc_auc(scored: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def _calendar_bounds(scored: DataFrame, keys: list[str], order: str) -> bool:
+    """Per ticker over a daily column, a key has at most one row per calendar day."""
+    return KEY in keys and order in scored.columns and isinstance(scored.schema[order].dataType, DateType)
+
+
+def roc_auc(scored: DataFrame, keys: list[str] = KEYS, order: str = "date") -> DataFrame:
     """Exact rank-sum AUC with ties counted half; missing when a key has one class only."""
-    ranked = running_by_value(_by_probability(scored, keys), keys, "prob", ["pos", "neg"], 0.0, 1.0)
+    bounded = _calendar_bounds(scored, keys, order)
+    counts = _by_probability(scored, keys)
+    ranked = running_by_value(counts, keys, "prob", ["pos", "neg"], 0.0, 1.0, bounded=bounded)
     won = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
     totals = F.first("pos_total"), F.first("neg_total")
     return ranked.groupBy(*keys).agg(F.try_divide(F.sum(won), totals[0].cast("double") * totals[1]).alias("auc"))
 
 
-def roc_curve(scored: DataFrame, keys: list[str] = KEYS, drop_intermediate: bool = True) -> DataFrame:
+def roc_curve(
+    scored: DataFrame, keys: list[str] = KEYS, drop_intermediate: bool = True, order: str = "date"
+) -> DataFrame:
     """(threshold, fpr, tpr) with the (0, 0) start at threshold Infinity.
 
     A point on a straight stretch between its neighbours is left out unless ``drop_intermediate`` is
     off: that is when the next lower probability adds the same class counts as this one.
     """
     counts = _by_probability(scored, keys)
-    points = running_by_value(counts, keys, "prob", ["pos", "neg"], 0.0, 1.0, previous="_lower")
+    bounded = _calendar_bounds(scored, keys, order)
+    points = running_by_value(counts, keys, "prob", ["pos", "neg"], 0.0, 1.0, previous="_lower", bounded=bounded)
     tp, fp = (F.col(f"{c}_total") - F.col(f"{c}_before") for c in ("pos", "neg"))
     is_first = (tp == F.col("pos")) & (fp == F.col("neg"))
     if drop_intermediate:

@@ -36,7 +36,9 @@ class ModelSpec(NamedTuple):
 
 
 class Trained(NamedTuple):
-    model: PipelineModel | None
+    """``model`` is the fitted pipeline; for an ensemble the list of its members."""
+
+    model: PipelineModel | list[PipelineModel]
     best_score: float
     best_params: Params
     cv_results: list[dict] | None
@@ -191,9 +193,10 @@ def _train(df, columns, label, config, n_splits, order, score, vote, vote_score)
     try:
         results = {name: grid_search(data, spec, score) for name, spec in config.items()}
         if len(results) >= 2:
-            voted = vote(data, [r.model for r in results.values()])
+            members = [r.model for r in results.values()]
+            voted = vote(data, members)
             value = voted.agg(vote_score.alias("s")).first()["s"]  # on the training rows
-            results["ensemble"] = Trained(None, float("nan") if value is None else float(value), {}, None)
+            results["ensemble"] = Trained(members, float("nan") if value is None else float(value), {}, None)
         return results
     finally:
         data.unpersist()

@@ -46,7 +46,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
 
 
 def running_by_value(
-    counts: DataFrame, keys: list[str], value: str, sums: list[str], low: float, high: float, previous: str | None = None
+    counts: DataFrame,
+    keys: list[str],
+    value: str,
+    sums: list[str],
+    low: float,
+    high: float,
+    previous: str | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """``{s}_before`` (sum over strictly smaller values of the key) and ``{s}_total`` for each s.
 
@@ -54,8 +61,18 @@ def running_by_value(
     a power of two and flooring is exact, so steps never reorder values - and the running sum is
     taken over step totals and then inside each step. The step table has at most
     (high - low) * 65,536 rows per key; no task sees a whole key. ``previous`` names a struct with
-    the sums of the next smaller value.
+    the sums of the next smaller value. ``bounded`` says that a key's rows are bounded anyway (a daily
+    series); then one window per key does.
     """
+    if bounded:
+        whole = W.partitionBy(*keys)
+        ordered = whole.orderBy(value)
+        smaller = ordered.rowsBetween(W.unboundedPreceding, -1)
+        columns = {f"{s}_before": F.coalesce(F.sum(s).over(smaller), F.lit(0)) for s in sums}
+        columns |= {f"{s}_total": F.sum(s).over(whole) for s in sums}
+        if previous:
+            columns[previous] = F.lag(F.struct(*sums), 1).over(ordered)
+        return counts.withColumns(columns)
     inside = F.greatest(F.lit(low), F.least(F.lit(high), F.col(value)))
     stepped = counts.withColumn("_step", F.floor(inside * 65536))
     group = F.struct(*sums)

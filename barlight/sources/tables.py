@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlight.operators.ml import Trained
+
 
 def write_features(features: DataFrame, path: str) -> None:
     """One partition per upper-cased ticker; only the tickers present are replaced."""
@@ -67,6 +69,16 @@ def save_model(model: PipelineModel, path: str, features: list[str]) -> None:
     spark.createDataFrame([(json.dumps(features),)], "names string").coalesce(1).write.mode("overwrite").json(f"{path}_features")
 
 
+def save_results(results: dict[str, Trained], folder: str, prefix: str, features: list[str]) -> list[str]:
+    """Every fitted model under ``{folder}/{prefix}_{name}``; an ensemble is its members, saved on their own."""
+    paths = []
+    for name, trained in results.items():
+        if not isinstance(trained.model, list):
+            paths.append(f"{folder}/{prefix}_{name}")
+            save_model(trained.model, paths[-1], features)
+    return paths
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

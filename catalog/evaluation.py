@@ -40,10 +40,10 @@ def intraday_preds(spark, sf):
     m = minute_bars(spark, sf)
     prob = (F.pmod(F.unix_timestamp("date") / 60, F.lit(997)) / 997).alias("prob_up")
     up = F.when(F.col("close") > F.col("open"), 1).otherwise(0).alias("label")
-    return m.select("ticker", "date", (0.02 * (F.col("close") - 20) / (F.col("close") + 20)).alias("return"), prob, up)
+    return m.select("ticker", "date", (0.000282842712474619 * (F.col("close") - 20) / (F.col("close") + 20)).alias("return"), prob, up)
 
 
-_IPREDS = f"""preds AS (SELECT ticker, date, 0.02 * (close - 20) / (close + 20) AS ret,
+_IPREDS = f"""preds AS (SELECT ticker, date, 0.000282842712474619 * (close - 20) / (close + 20) AS ret,
   ((CAST(epoch(date) AS BIGINT) // 60) % 997) / 997.0::DOUBLE AS prob_up, {sql_flag('close > open')} AS label FROM bars)"""
 
 
@@ -140,6 +140,16 @@ def roc_curve(spark, sf):
     return rounded(_plain_start(ev.roc_curve(preds(spark, sf))), 8)
 
 
+@query("intraday_roc_curve", sql_rounded(ctes(MINUTES, _IPREDS, _ROC), _roc_sql(_ROC_KEEP), "ticker", "threshold, fpr, tpr", 8))
+def intraday_roc_curve(spark, sf):
+    return rounded(_plain_start(ev.roc_curve(intraday_preds(spark, sf))), 8)
+
+
+@query("intraday_roc_auc", sql_rounded(ctes(MINUTES, _IPREDS), _auc_sql("ticker"), "ticker", "auc", 8))
+def intraday_roc_auc(spark, sf):
+    return rounded(ev.roc_auc(intraday_preds(spark, sf)), 8)
+
+
 @query("roc_curve_all_points", sql_rounded(ctes(BARS, PREDS, _ROC), _roc_sql("true"), "ticker", "threshold, fpr, tpr", 8))
 def roc_curve_all_points(spark, sf):
     return rounded(_plain_start(ev.roc_curve(preds(spark, sf), drop_intermediate=False)), 8)

@@ -30,7 +30,7 @@ def rows(spark):
     return spark.createDataFrame(out, "ticker string, date date, x1 double, x2 double, target_dir_1d int, target_return_1d double").cache()
 
 
-def test_classifiers(rows):
+def test_classifiers(rows, tmp_path):
     config = {
         "logreg": ml.CLASSIFIERS["logreg"],
         "rf": ml.CLASSIFIERS["rf"]._replace(grid=TINY),
@@ -39,7 +39,10 @@ def test_classifiers(rows):
     out = ml.train_classifiers(rows, COLUMNS, models_config=config, n_splits=3)
     assert set(out) == {"logreg", "rf", "xgb", "ensemble"}
     assert out["logreg"].best_score > 0.9 and len(out["logreg"].cv_results) == 3
-    assert 0.8 < out["ensemble"].best_score <= 1.0
+    assert 0.8 < out["ensemble"].best_score <= 1.0 and len(out["ensemble"].model) == 3
+    paths = st.save_results(out, str(tmp_path), "clf", COLUMNS)
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["clf_logreg", "clf_rf", "clf_xgb"]
+    assert st.load_first_model([f"{tmp_path}/clf_rf", paths[0]])[0].endswith("clf_rf")
     again = ml.train_classifiers(rows, COLUMNS, models_config={"rf": config["rf"]}, n_splits=3)
     assert again["rf"].best_score == out["rf"].best_score and "ensemble" not in again
 
