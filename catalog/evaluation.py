@@ -226,17 +226,26 @@ def _spearman(y: str, name: str) -> str:
       FROM (SELECT ticker, daily_mean_sentiment AS a, {y} AS b FROM merged WHERE {y} IS NOT NULL) q) t GROUP BY 1"""
 
 
+def _p_value(r: str) -> str:
+    """Two-sided t tail of a correlation with n - 2 degrees of freedom, as its finite cosine series."""
+    even = f"abs({r}) * list_sum(list_transform(generate_series(0, (n - 2) // 2 - 1), lambda j: exp(lgamma(j + 0.5) - lgamma(j + 1)) / sqrt(pi()) * pow(1 - {r} * {r}, j)))"
+    odd = f"2 / pi() * (asin(abs({r})) + abs({r}) * list_sum(list_transform(generate_series(0, (n - 5) // 2), lambda j: sqrt(pi()) / 2 * exp(lgamma(j + 1) - lgamma(j + 1.5)) * pow(1 - {r} * {r}, j + 0.5))))"
+    return f"1 - CASE WHEN n % 2 = 0 THEN {even} ELSE {odd} END"
+
+
+_PS_NUM = "pearson_r, pearson_p, spearman_rho, spearman_p"
+
+
+def _with_p(body: str) -> str:
+    return f"SELECT *, {_p_value('pearson_r')} AS pearson_p, {_p_value('spearman_rho')} AS spearman_p FROM ({body}) c"
+
+
 @query(
     "pearson_spearman",
-    sql_rounded(ctes(*_M), f"{_spearman('ret', 'return')} UNION ALL {_spearman('target_return_1d', 'target_return_1d')}", "ticker, metric, n", "pearson_r, spearman_rho", 7),
+    sql_rounded(ctes(*_M), _with_p(f"{_spearman('ret', 'return')} UNION ALL {_spearman('target_return_1d', 'target_return_1d')}"), "ticker, metric, n", _PS_NUM, 7),
 )
 def pearson_spearman(spark, sf):
-    return pick(ss.sentiment_correlations(priced(spark, sf)), "ticker, metric, n", "pearson_r, spearman_rho", 7)
-
-
-@query("correlation_p_values")
-def correlation_p_values(spark, sf):
-    return ss.sentiment_correlations(priced(spark, sf))
+    return pick(ss.sentiment_correlations(priced(spark, sf)), "ticker, metric, n", _PS_NUM, 7)
 
 
 @query(

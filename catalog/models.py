@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barlight.operators import features as ft
 from barlight.operators import ml
 from barlight.operators.backtest import backtest_metrics, run_backtest
 from barlight.operators.daily import add_targets
+from barlight.operators.evaluate import top_importances
+from barlight.operators.indicators import technical_indicators
 from barlight.operators.splits import holdout
 from barlight.plans import pipeline as pl
-from catalog.articles import length_scorer
+from catalog.articles import _TOKENS, length_scorer
 from catalog.base import *  # noqa: F403
-from catalog.evaluation import BACKTEST
+from catalog.evaluation import BACKTEST, _auc_sql
 
 COLUMNS = ["momentum_5", "momentum_10", "price_ma_5_ratio", "price_ma_20_ratio", "volatility_10", "rsi_14", "bb_position"]
 SMALL_CLASSIFIERS = {
@@ -32,8 +33,6 @@ FOREST_POINT = {"trees": 10, "depth": 5, "min_leaf": 1}
 
 
 def model_frame(spark, sf):
-    from barlight.operators.indicators import technical_indicators
-
     return technical_indicators(add_targets(with_returns(bars(spark, sf))))
 
 
@@ -79,8 +78,6 @@ def predict_requests(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    from barlight.operators.evaluate import top_importances
-
     frame, model = _fit(spark, sf)
     return top_importances(ml.feature_importances(model, COLUMNS, frame))
 
@@ -121,10 +118,31 @@ def backtest_full(spark, sf):
     return pick(out, "ticker, date", "equity, drawdown, buy_hold, total_return", 8)
 
 
-@query("metrics_payload")
+_HELD = "held AS (SELECT * FROM preds QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 250)"
+_SCORES = """sc AS (SELECT ticker, count(*) AS holdout_rows, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0 END) AS accuracy,
+    2 * count(*) FILTER (label = 1 AND prediction = 1) / (count(*) FILTER (prediction = 1) + count(*) FILTER (label = 1)) AS f1,
+    count(*) FILTER (label = 0 AND prediction = 1) AS false_up, count(*) FILTER (label = 0) AS support_0 FROM held GROUP BY 1)"""
+
+
+@query(
+    "metrics_payload",
+    sql_rounded(
+        ctes(BARS, PREDS, BACKTEST, _HELD, _SCORES, f"au AS ({_auc_sql('ticker').replace('FROM preds', 'FROM held')})"),
+        """SELECT sc.*, 1 AS feature_count, auc, t.total_return FROM sc JOIN au USING (ticker) JOIN (
+        SELECT ticker, arg_max(equity, date) FILTER (equity IS NOT NULL) - 1 AS total_return FROM curves GROUP BY 1) t USING (ticker)""",
+        "ticker, holdout_rows, feature_count, false_up, support_0", "accuracy, f1, auc, total_return", 8,
+    ),
+)
 def metrics_payload(spark, sf):
     scored = holdout(preds(spark, sf), 250).filter("is_holdout")
-    return pl.metrics_payload(scored, backtest_metrics(run_backtest(preds(spark, sf))), feature_count=1)
+    payload = pl.metrics_payload(scored, backtest_metrics(run_backtest(preds(spark, sf))), feature_count=1)
+    e = F.col("eval_holdout")
+    flat = payload.select(
+        "ticker", "holdout_rows", "feature_count", e["confusion_matrix"][1]["n"].alias("false_up"),
+        e["report"][0]["support"].alias("support_0"), e["accuracy"].alias("accuracy"), e["f1"].alias("f1"), e["auc"].alias("auc"),
+        F.col("backtest.total_return").alias("total_return"),
+    )
+    return rounded(flat, 8)
 
 
 def _article_bars(spark, sf):
@@ -136,13 +154,6 @@ def _article_bars(spark, sf):
     return with_returns(b.withColumn("open", F.col("close")))
 
 
-@query("end_to_end")
-def end_to_end(spark, sf):
-    """Articles to trading days, batch scores, daily sentiment, join, targets, lags, indicators."""
-    out = pl.feature_build(_article_bars(spark, sf), news(spark, sf), scorer_factory=length_scorer)
-    return out.select("ticker", "date", "close", *ft.model_columns(out), "target_return_1d", "target_dir_1d")
-
-
 _STUB_SENT = "CASE length(text) % 3 WHEN 0 THEN -0.7 WHEN 1 THEN 0.0 ELSE 0.7 END::DOUBLE"
 _NDAYS = f"""sent AS (SELECT ticker, {_STUB_SENT} AS sent_score, CASE WHEN isodow(lts) = 6 THEN CAST(lts AS DATE) + 2 WHEN isodow(lts) = 7 THEN CAST(lts AS DATE) + 1
     WHEN CAST(lts AS TIME) > TIME '16:00:00' THEN CAST(lts AS DATE) + CASE WHEN isodow(lts) = 5 THEN 3 ELSE 1 END
@@ -166,7 +177,53 @@ def end_to_end_sentiment(spark, sf):
     return pick(out, "ticker, date, daily_count, daily_pos_count, daily_neg_count, daily_neutral_count", "daily_mean_sentiment", 8)
 
 
-@query("comprehensive_features")
+_ARTICLE_BARS = """nb AS (SELECT *, 0.02 * (close - lag(close) OVER w) / (close + lag(close) OVER w) AS ret FROM (
+    SELECT ticker, CAST(published AS DATE) AS date, avg(length(text)) AS close FROM news GROUP BY 1, 2) b WINDOW w AS (PARTITION BY ticker ORDER BY date)),
+  nm AS (SELECT b.ticker, b.date, b.close, b.ret, coalesce(daily_mean_sentiment, 0) AS daily_mean_sentiment, coalesce(daily_count, 0) AS daily_count,
+    lead(b.ret) OVER (PARTITION BY b.ticker ORDER BY b.date) AS target_return_1d FROM nb b LEFT JOIN daily d ON b.ticker = d.ticker AND b.date = d.trading_date)"""
+_E2E_NUM = "close, daily_mean_sentiment, sent_lag_1, sent_roll_3, ma_5, momentum_5, bb_upper, volatility_10, target_return_1d"
+
+
+@query(
+    "end_to_end",
+    sql_rounded(
+        ctes(NEWS, _NDAYS, DAILY, _ARTICLE_BARS, f"pc AS (SELECT *, {sql_change('close', 1)} AS pc FROM nm)"),
+        f"""SELECT *, {sql_lag('daily_mean_sentiment', 1)} AS sent_lag_1, avg(daily_mean_sentiment) {over(3)} AS sent_roll_3,
+        CAST(sum(daily_count) {over(7)} AS BIGINT) AS count_roll_7, {sql_full('avg', 'close', 5)} AS ma_5, {sql_change('close', 5)} AS momentum_5,
+        {sql_full('avg', 'close', 20)} + 2 * {sql_full('stddev_samp', 'close', 20)} AS bb_upper, {sql_full('stddev_samp', 'pc', 10)} AS volatility_10,
+        {sql_flag('target_return_1d > 0')} AS target_dir_1d FROM pc""",
+        "ticker, date, count_roll_7, target_dir_1d", _E2E_NUM, 7,
+    ),
+)
+def end_to_end(spark, sf):
+    """Articles to trading days, batch scores, daily sentiment, join, targets, lags, indicators."""
+    out = pl.feature_build(_article_bars(spark, sf), news(spark, sf), scorer_factory=length_scorer)
+    return pick(out, "ticker, date, count_roll_7, target_dir_1d", _E2E_NUM, 7)
+
+
+_LEX_SENT = """al AS (SELECT ticker, text, timezone('America/New_York', timezone('UTC', published)) AS lts FROM news),
+  sent AS (SELECT ticker, score AS sent_score, lx.label, CASE WHEN isodow(lts) = 6 THEN CAST(lts AS DATE) + 2 WHEN isodow(lts) = 7 THEN CAST(lts AS DATE) + 1
+    WHEN CAST(lts AS TIME) > TIME '16:00:00' THEN CAST(lts AS DATE) + CASE WHEN isodow(lts) = 5 THEN 3 ELSE 1 END
+    ELSE CAST(lts AS DATE) END AS trading_date FROM al JOIN lx ON lx.text_hash = sha256(al.text))"""
+_FF = "coalesce(last_value({0} IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS {0}"
+_COMP_NUM = "daily_mean_sentiment, sentiment_score, daily_mean_sentiment_lag_3, momentum_5, price_change_5d, target_return_1d"
+
+
+@query(
+    "comprehensive_features",
+    sql_rounded(
+        ctes(
+            NEWS, LEXICON, _TOKENS, _LEX_SENT, DAILY, _ARTICLE_BARS,
+            f"""raw AS (SELECT ticker, date, daily_mean_sentiment, daily_mean_sentiment AS sentiment_score, {sql_lag('daily_mean_sentiment', 3)} AS daily_mean_sentiment_lag_3,
+              {sql_full('sum', 'ret', 5)} AS momentum_5, {sql_change('close', 5)} AS price_change_5d, target_return_1d, CAST(sum(daily_count) {over(5)} AS BIGINT) AS daily_count_roll_5 FROM nm)""",
+        ),
+        f"""SELECT ticker, date, daily_mean_sentiment, sentiment_score, {sql_flag('sentiment_score > 0.1')} AS sentiment_positive, daily_count_roll_5, target_return_1d,
+        CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, {_FF.format('daily_mean_sentiment_lag_3')}, {_FF.format('momentum_5')}, {_FF.format('price_change_5d')} FROM raw""",
+        "ticker, date, sentiment_positive, daily_count_roll_5, day_of_week", _COMP_NUM, 7,
+    ),
+)
 def comprehensive_features(spark, sf):
-    out = pl.comprehensive_build(_article_bars(spark, sf), news(spark, sf), lexicon=lexicon(spark))
-    return out.select("ticker", "date", *ft.remaining_columns(out), "target_return_1d", "target_dir_1d")
+    """The full feature set over lexicon sentiment."""
+    bars_ = _article_bars(spark, sf)
+    out = pl.comprehensive_build(bars_, news(spark, sf), lexicon=lexicon(spark))
+    return pick(out, "ticker, date, sentiment_positive, daily_count_roll_5, day_of_week", _COMP_NUM, 7)
