@@ -13,9 +13,14 @@ FEED_PATTERNS = [
     "yyyyMMddHHmmss",
     "d MMM yyyy HH:mm:ss Z",
     "d MMM yyyy HH:mm:ss z",
+    "d MMM yyyy HH:mm:ss XXX",
     "d MMM yyyy HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mmX",
     "MMM d, yyyy",
+    "MMMM d, yyyy",
     "yyyy/MM/dd",
+    "MM/dd/yyyy",
+    "yyyyMMdd",
 ]
 WEEKDAY_PREFIX = r"^\s*[A-Za-z]{3,9},\s*"
 

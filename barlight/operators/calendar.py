@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from barlight.functions.times import after_close, is_weekday, market_time, next_weekday, session_date, to_utc
 from barlight.schemas import require
+from barlight.session import use_utc
 
 
 def session_map(spark: SparkSession, holidays: DataFrame, start: str = "1970-01-01", end: str = "2100-01-01") -> DataFrame:
@@ -58,6 +59,7 @@ def align_to_trading_day(
 
 def normalize_timestamps(df: DataFrame, timestamp_col: str = "published") -> DataFrame:
     require(df, timestamp_col)
+    use_utc(df.sparkSession)
     kind = dict(df.dtypes)[timestamp_col]
     utc = to_utc(timestamp_col) if kind == "string" else F.col(timestamp_col).cast("timestamp")
     return df.withColumn(timestamp_col, utc)

@@ -108,7 +108,7 @@ def full_features(df: DataFrame, order: str = "date") -> DataFrame:
         extra |= {c: F.lit(0.0) for c in ("news_count_ma5", "news_count_ma20", "news_count_std")}
     if "returns" in df.columns:
         extra |= ind.return_momentum(lane)
-    extra |= {name: ind.change(lane, ind.PADDED, k) for name, k in ind._price_changes().items()}
+    extra |= {name: ind.change(lane, ind.PADDED, k) for name, k in ind.PRICE_CHANGES.items()}
     extra |= {f"price_ratio_{w}": pd_div("close", f"ma_{w}") for w in (5, 20)}
     extra["trend_50"] = flag(F.col("close") > roll_mean(lane, "close", 50))
     lane = lane.add(extra)
@@ -143,7 +143,7 @@ def basic_features(bars: DataFrame, order: str = "date") -> DataFrame:
             "target_return": F.col("returns"),
         }
     )
-    return ind._rsi(lane, "rsi").finish(ind.PADDED)
+    return ind.add_rsi(lane, "rsi").finish(ind.PADDED)
 
 
 # Which columns a trained model may read.

@@ -37,13 +37,13 @@ def returns(bars: DataFrame, price: str = "adj_close", order: str = "date") -> D
     return lane.add(out).finish(PADDED)
 
 
-def _price_changes() -> dict[str, int]:
-    return {"price_change_1d": 1, "price_change_5d": 5, "price_change_20d": 20}
+# Percent-change columns and how many bars each looks back.
+PRICE_CHANGES = {"price_change_1d": 1, "price_change_5d": 5, "price_change_20d": 20}
 
 
 def price_changes(bars: DataFrame, order: str = "date") -> DataFrame:
     lane = lay_out(pad_close(bars, order=order), back=20, order=order)
-    cols = {name: change(lane, PADDED, k) for name, k in _price_changes().items()}
+    cols = {name: change(lane, PADDED, k) for name, k in PRICE_CHANGES.items()}
     return lane.add(cols).add(_momentum_price(lane)).finish(PADDED)
 
 
@@ -162,25 +162,25 @@ def _relative_strength(name: str, window: int = 14) -> dict[str, Column]:
     return {name: 100.0 - 100.0 / (1.0 + ratio)}
 
 
-def _rsi(lane: Lane, name: str, window: int = 14) -> Lane:
+def add_rsi(lane: Lane, name: str, window: int = 14) -> Lane:
     lane = lane.add(_delta(lane)).add(_gains())
     stats = _strength_stats(lane, window)
     return lane.add(stats).add(_relative_strength(name, window)).without(["_delta", "_gain", "_loss", *stats])
 
 
 def rsi(bars: DataFrame, window: int = 14, name: str = "rsi_14", order: str = "date") -> DataFrame:
-    return _rsi(lay_out(bars, back=window + 1, order=order), name, window).finish()
+    return add_rsi(lay_out(bars, back=window + 1, order=order), name, window).finish()
 
 
 def macd_back(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
     return max(decay_rows(fast), decay_rows(slow)) + decay_rows(signal)
 
 
-def _macd_line(lane: Lane, fast: int = 12, slow: int = 26) -> dict[str, Column]:
+def macd_line(lane: Lane, fast: int = 12, slow: int = 26) -> dict[str, Column]:
     return {"macd": ewm_mean(lane, "close", fast) - ewm_mean(lane, "close", slow)}
 
 
-def _macd_signal(lane: Lane, signal: int = 9) -> dict[str, Column]:
+def macd_signal(lane: Lane, signal: int = 9) -> dict[str, Column]:
     return {"macd_signal": ewm_mean(lane, "macd", signal)}
 
 
@@ -195,7 +195,7 @@ def block_rows_for(back: int) -> int:
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: str = "date") -> DataFrame:
     back = macd_back(fast, slow, signal)
     lane = lay_out(bars, back=back, order=order, blocks=True, block_rows=block_rows_for(back))
-    return lane.add(_macd_line(lane, fast, slow)).add(_macd_signal(lane, signal)).add(_macd_histogram()).finish()
+    return lane.add(macd_line(lane, fast, slow)).add(macd_signal(lane, signal)).add(_macd_histogram()).finish()
 
 
 def ewm(bars: DataFrame, column: str, spans: list[int], order: str = "date") -> DataFrame:
@@ -251,13 +251,13 @@ def technical_lane(lane: Lane) -> Lane:
     """
     prices = {**_average_stats(lane, (5, 10)), **frame_stats(lane, "close", 20, "sum", "std"), **_volume_stats(lane)}
     lane = lane.add(
-        {**prices, "price_change": change(lane, PADDED, 1), **_momentum_price(lane), **_delta(lane), **_macd_line(lane)}
+        {**prices, "price_change": change(lane, PADDED, 1), **_momentum_price(lane), **_delta(lane), **macd_line(lane)}
     )
     lane = lane.add({**candle_ratios(), **candles_range(), **_volume_ratio(), **_averages(), **_band_edges()})
     lane = lane.add({**_trends((5, 20)), **_average_ratios(), **_band_place(), **_gains()}).without(prices)
 
     spread, strength = _change_stats(lane), _strength_stats(lane)
-    lane = lane.add({**spread, **strength, **_macd_signal(lane)})
+    lane = lane.add({**spread, **strength, **macd_signal(lane)})
     lane = lane.add({**_price_volatility(), **_relative_strength("rsi_14"), **_macd_histogram()})
     lane = lane.without(["_delta", "_gain", "_loss", *spread, *strength])
 

@@ -43,6 +43,7 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, text: str = "text") ->
         "text_hash", F.posexplode(F.split(F.lower(as_text(text)), TOKEN_BREAK)).alias("pos", "word")
     )
     scored = tokens.join(broadcast_if_small(lexicon.select("word", "tenths")), "word", "left")
+    scored = scored.filter(F.col("tenths").isNotNull() | (F.col("pos") == 0))  # misses carry nothing
     per_text = scored.groupBy("text_hash").agg(
         F.sum(F.coalesce(F.col("tenths"), F.lit(0)).cast("long")).alias("_sum"),
         F.sum((F.col("pos") == 0).cast("long")).alias("_copies"),

@@ -23,6 +23,7 @@ from barlight.operators.news import (
     with_url,
 )
 from barlight.operators.skew import first_per_key, top_per_key
+from barlight.session import use_utc
 
 # Payload fields of the providers.
 NEWSAPI = (
@@ -49,7 +50,7 @@ REGIONAL_FEEDS = 8
 
 def read_payload(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Landed JSON payloads with an explicit schema; nothing is inferred."""
-    return spark.read.schema(schema).json(path)
+    return use_utc(spark).read.schema(schema).json(path)
 
 
 def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame | None:

@@ -14,7 +14,7 @@ from barlight.operators.daily import add_targets
 from barlight.operators.evaluate import top_importances
 from barlight.operators.indicators import technical_indicators
 from barlight.operators.splits import holdout
-from barlight.plans import pipeline as pl
+from barlight.plans import compose as pl
 from catalog.articles import _TOKENS, length_scorer
 from catalog.base import *  # noqa: F403
 from catalog.evaluation import BACKTEST, _auc_sql

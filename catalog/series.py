@@ -13,7 +13,7 @@ from barlight.operators import indicators as ind
 from barlight.operators.layout import lay_out, running
 from barlight.operators.splits import expanding_folds, holdout, lookup_with_fallback
 from barlight.operators.calendar import align_to_trading_day, session_map
-from barlight.plans import pipeline as pl
+from barlight.plans import compose as pl
 from barlight.schemas import ensure
 from barlight.session import shared_folder
 from barlight.sources import bars as sb

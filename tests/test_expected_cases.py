@@ -34,6 +34,9 @@ def test_timestamps_are_parsed_row_by_row(spark):
     df = strings(use_utc(spark), ["2024-06-03T12:00:00Z", "2024-06-03T07:00:00-05:00", "2024-06-03 12:00:00", "Mon, 03 Jun 2024 12:00:00 GMT", "20240603T120000Z", "soon", None])
     out = [r["p"] for r in normalize_timestamps(df).select(F.col("published").cast("string").alias("p")).collect()]
     assert out == ["2024-06-03 12:00:00"] * 5 + [None, None]
+    shapes = ["June 3, 2024", "Jun 3, 2024", "06/03/2024", "20240603", "2024/06/03", "2024-06-03T00:00Z", "3 Jun 2024 05:30:00 +05:30"]
+    days = normalize_timestamps(strings(spark, shapes)).select(F.col("published").cast("string").alias("p")).collect()
+    assert {r["p"] for r in days} == {"2024-06-03 00:00:00"}
 
 
 @pytest.mark.parametrize(

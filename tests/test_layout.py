@@ -99,7 +99,7 @@ def test_short_span_in_long_blocks_uses_the_fold(ticks):
 def test_macd_across_small_blocks(ticks):
     back = ind.macd_back()
     lane = lo.lay_out(ticks.dropna(), back=back, blocks=True, block_rows=200)
-    out = frame(lane.add(ind._macd_line(lane)).add(ind._macd_signal(lane)).finish())
+    out = frame(lane.add(ind.macd_line(lane)).add(ind.macd_signal(lane)).finish())
     for _, g in out.groupby("ticker"):
         line = g["close"].ewm(span=12).mean() - g["close"].ewm(span=26).mean()
         np.testing.assert_allclose(g["macd"], line, atol=1e-9)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barlight.operators import ml
 from barlight.operators.features import align_columns, model_columns, remaining_columns, sentiment_columns
-from barlight.plans import pipeline as pl
+from barlight.plans import compose as pl
 from barlight.sources import tables as st
 
 COLUMNS = ["x1", "x2"]
