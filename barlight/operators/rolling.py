@@ -67,7 +67,8 @@ def ewm_mean(lane: Lane, c: Column | str, span: float) -> Column:
     """Bias-adjusted exponentially weighted mean; needs a block lane with ``decay_rows(span)`` behind it.
 
     Weights are taken relative to the middle of the block, so numerator and denominator are running
-    sums of x * (1/q)^(position - middle): one pass over the block instead of a fold per row.
+    sums of x * (1/q)^(position - middle): one pass over the block instead of a fold per row. A missing
+    value repeats the mean before it, unless all of the ``decay_rows`` before its block are missing too.
     """
     c = as_col(c)
     q = 1.0 - 2.0 / (span + 1.0)

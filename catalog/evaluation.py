@@ -326,8 +326,45 @@ def granger_lag1(spark, sf):
     return pick(out, "ticker, lag, n, test", "statistic")
 
 
-@query("granger")
+def _sweep(lag: int) -> tuple[list[str], str]:
+    """Both residual sums of squares by sweeping one regressor after another out of the rest."""
+    own, other = [f"y{k}" for k in range(1, lag + 1)], [f"x{k}" for k in range(1, lag + 1)]
+    rest = ["one", *own, *other, "y"]
+    parts = [f"g{lag}_0 AS (SELECT ticker, n, 1.0::DOUBLE AS one, y, {', '.join(own + other)} FROM glags WHERE y{lag} IS NOT NULL)"]
+    for k in range(2 * lag + 1):
+        q, rest = rest[0], rest[1:]
+        swept = [f"{c} - {q} * (sum({c} * {q}) OVER (PARTITION BY ticker) / sum({q} * {q}) OVER (PARTITION BY ticker)) AS {c}" for c in rest]
+        kept = ", y AS y_own" if k == lag + 1 else (", y_own" if k > lag + 1 else "")
+        parts.append(f"g{lag}_{k + 1} AS (SELECT ticker, n, {', '.join(swept)}{kept} FROM g{lag}_{k})")
+    body = f"SELECT ticker, {lag} AS lag, count(*) AS n, sum(y_own * y_own) AS ssr0, sum(y * y) AS ssr1 FROM g{lag}_{2 * lag + 1} GROUP BY 1"
+    return parts, body
+
+
+_GLAGS = (
+    "glags AS (SELECT ticker, y, count(*) OVER (PARTITION BY ticker) AS n, "
+    + ", ".join(f"{sql_lag(v, k)} AS {v}{k}" for k in range(1, 6) for v in ("y", "x"))
+    + " FROM (SELECT ticker, date, ret AS y, prob_up AS x FROM preds WHERE ret IS NOT NULL) q)"
+)
+_SWEEPS = [_sweep(lag) for lag in range(1, 6)]
+
+
+@query(
+    "granger",
+    sql_rounded(
+        ctes(BARS, PREDS, _GLAGS, *[p for parts, _ in _SWEEPS for p in parts], "ssr AS (" + " UNION ALL ".join(b for _, b in _SWEEPS) + ")"),
+        """SELECT ticker, lag, n, 'ssr_ftest' AS test, ((ssr0 - ssr1) / lag) / (ssr1 / (n - 2 * lag - 1)) AS statistic FROM ssr
+        UNION ALL SELECT ticker, lag, n, 'params_ftest', ((ssr0 - ssr1) / lag) / (ssr1 / (n - 2 * lag - 1)) FROM ssr
+        UNION ALL SELECT ticker, lag, n, 'ssr_chi2test', n * (ssr0 - ssr1) / ssr1 FROM ssr
+        UNION ALL SELECT ticker, lag, n, 'lrtest', n * ln(ssr0 / ssr1) FROM ssr""",
+        "ticker, lag, n, test", "statistic", 6,
+    ),
+)
 def granger(spark, sf):
+    return pick(ss.granger(preds(spark, sf), x="prob_up"), "ticker, lag, n, test", "statistic")
+
+
+@query("granger_p_values")
+def granger_p_values(spark, sf):
     return ss.granger(preds(spark, sf), x="prob_up")
 
 
