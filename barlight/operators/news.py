@@ -43,6 +43,13 @@ def in_date_range(news: DataFrame, start: str, end: str, whole_last_day: bool =
     return news.filter((published >= lower) & (published <= upper))
 
 
+def with_keys(news: DataFrame) -> DataFrame:
+    """``url`` and ``published`` as typed nulls where a feed lacks them."""
+    absent = {"url": "string", "published": "timestamp"}
+    missing = {c: F.lit(None).cast(kind) for c, kind in absent.items() if c not in news.columns}
+    return news.withColumns(missing) if missing else news
+
+
 def with_url(news: DataFrame) -> DataFrame:
     return news.filter(F.coalesce(F.col("url"), F.lit("")) != "")
 
@@ -57,7 +64,7 @@ def tag_source(news: DataFrame, source: str) -> DataFrame:
 
 def dedupe_canonical(news: DataFrame) -> DataFrame:
     """One article per ticker and canonical URL: the earliest published, then the smallest URL."""
-    keyed = news.withColumn("url_canon", canonical_url("url"))
+    keyed = with_keys(news).withColumn("url_canon", canonical_url("url"))
     order = [*missing_last("published"), *missing_last("url")]
     return first_per_key(keyed, [KEY, "url_canon"], order).drop("url_canon")
 
@@ -67,13 +74,15 @@ def dedupe_across_sources(news: DataFrame, source_order: list[str] | None = None
     ranks = {name: i for i, name in enumerate(source_order or SOURCE_ORDER)}
     pairs = [F.lit(x) for item in ranks.items() for x in item]
     rank = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("source")), F.lit(len(ranks)))
-    return first_per_key(news, [KEY, "url"], [rank, *missing_last("published")])
+    return first_per_key(with_keys(news), [KEY, "url"], [rank, *missing_last("published")])
 
 
 def cap_per_source(news: DataFrame, max_results: int) -> DataFrame:
     """Newest ``max_results`` articles of each ticker and source."""
+    news = with_keys(news)
     order = [F.col("published").desc_nulls_last(), F.col("url").asc_nulls_last()]
-    return top_per_key(news, [KEY, "source"], order, max_results, F.coalesce(F.col("url"), F.col("title")))
+    spread = [F.col(c) for c in ("url", "title") if c in news.columns]
+    return top_per_key(news, [KEY, "source"], order, max_results, F.coalesce(*spread))
 
 
 def newest_first(news: DataFrame) -> DataFrame:

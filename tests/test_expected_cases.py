@@ -180,6 +180,9 @@ def test_missing_feed_is_skipped_and_unknown_columns_align(spark, tmp_path):
     assert [(r["title"], r["source"]) for r in rows.collect()] == [("a", "S")]
     both = nw.collect_news({"NewsAPI": rows, "RSS": None})
     assert [r["source"] for r in both.collect()] == ["NewsAPI"]
+    bare = spark.createDataFrame([("T", "https://x.com/1?a"), ("T", "https://x.com/2"), ("T", "https://x.com/3")], "ticker string, url string")
+    capped = nw.collect_news({"NewsAPI": rows, "RSS": bare, "GDELT": None}, max_articles=8)
+    assert sorted((r["source"], r["url"][-1]) for r in capped.collect()) == [("NewsAPI", "a"), ("RSS", "2")]
     with pytest.raises(ValueError):
         nw.collect_news({"RSS": None})
 
