@@ -33,3 +33,9 @@ def fingerprint(c: Column, *salt: Column) -> tuple[Column, Column]:
 def stored(df: DataFrame) -> DataFrame:
     """The frame, written to the shared checkpoint folder: read more than once, computed once."""
     return settle(df)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 256) -> SparkSession:
+    """Whole texts travel to Python in batches of few rows, so that a run of very long ones fits in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark

@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import pii, sharding
+from barlight.llm import language, pii, sharding, token_counts
 from barlight.llm.common import read
 
+#: Folder of the public vocabulary files; their module names it where it is installed.
+WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -37,3 +47,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = {i})) as long)").alias(f"n_{k.name}") for i, k in enumerate(pii.ALL)]
     scores = F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores")
     return found.select("doc_id", *counts, F.sha2(pii.spell(base), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"), scores)
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(WORD_BPE))
+    return counted.select("*", (F.col("n_tokens") > 2048).alias("over_limit"))
