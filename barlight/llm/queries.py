@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import language, pii, sharding, token_counts
+from barlight.llm import decontaminate, language, line_dedup, pieces, pii, sharding, token_counts, topk
 from barlight.llm.common import read
 
 #: Folder of the public vocabulary files; their module names it where it is installed.
@@ -49,12 +49,43 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.spell(base), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"), scores)
 
 
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.drop("uid")
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(WORD_BPE))
     return counted.select("*", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(PIECES), with_ids=False)
+
+
+@query(
+    "op9_top_k",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0, k=10)
