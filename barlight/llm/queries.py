@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import decontaminate, language, line_dedup, pieces, pii, sharding, token_counts, topk
+from barlight.llm import decontaminate, language, line_dedup, ngram_join, pieces, pii, sharding, token_counts, topk
 from barlight.llm.common import read
 
 #: Folder of the public vocabulary files; their module names it where it is installed.
@@ -55,6 +55,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
 
 
+@query("op4_ngram_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.join_ngrams(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
