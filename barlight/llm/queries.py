@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import decontaminate, language, line_dedup, ngram_join, pieces, pii, sharding, token_counts, topk
+from barlight.llm import decontaminate, language, line_dedup, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
 from barlight.llm.common import read
 
 #: Folder of the public vocabulary files; their module names it where it is installed.
@@ -95,3 +95,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents", "doc_id", "text"))
