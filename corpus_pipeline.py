@@ -1,20 +1,70 @@
-"""Documents through language ID, line dedup, near-duplicate removal, decontamination and tokenisation."""
+"""Documents through language ID, line dedup, near-duplicate removal, decontamination and SentencePiece encoding.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept, read again from Parquet files. All but the
+last return the columns of ``documents``. A null text counts as empty and has no language, so the first stage rejects it.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlight.session import shared_folder
+from barlight.llm import decontaminate, language, line_dedup, ngram_join, pieces
+from barlight.llm.queries import PIECES, vocabulary
+from barlight.session import shared_folder, use_utc
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is predicted with margin; those without a letter or with a tie go."""
+    return language.keep_accepted(docs)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of line runs, ``n_chars`` to match; a document of which no line is left goes."""
+    kept = line_dedup.dedup_lines(docs).filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_removed") == 0))
+    changed = {"text": F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))
+    return kept.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of shingle links."""
+    return ngram_join.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, round_trip, ids)."""
+    return pieces.encode(docs, vocabulary(PIECES))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("line_dedup", repeated_lines),
+    ("ngram_join", near_duplicates),
+    ("decontamination", decontamination),
+    ("sentencepiece", sentencepiece),
+]
 
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. Stages are written to a folder of this run under ``spark.checkpoint.dir``."""
+    folder = f"{shared_folder(use_utc(spark))}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs
