@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +40,16 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> SparkSession:
     """Whole texts travel to Python in batches of few rows, so that a run of very long ones fits in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return spark
+
+
+def stretches(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array, and where each one's stretch begins and ends."""
+    own, begin = np.unique(ordered, return_index=True)
+    return own, begin, np.append(begin[1:], len(ordered))[: len(begin)]
+
+
+def cut(values: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """Stretches of an array as an Arrow array of their bytes."""
+    import pyarrow as pa
+
+    return pa.array([values[i:j].tobytes() for i, j in zip(begin, end, strict=True)], pa.binary())

@@ -98,10 +98,3 @@ def spell(spans: Column) -> Column:
     names = F.array(*[F.lit(k.name) for k in ALL])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-
-def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with every base pattern's match replaced by its kind in angle brackets; unconfirmed matches too."""
-    masked = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    for k in ALL:
-        masked = F.regexp_replace(masked, k.pattern, f"<{k.name}>")
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), masked.alias("text"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, stored, texts
+from barlight.llm.common import bounded_batches, cut, stored, stretches, texts
 
 LENGTH = 50  # bytes of a string that counts
 GRAM = 24  # bytes of an anchor
@@ -117,11 +117,11 @@ def _post(buckets: int):
             c, r = c[order], r[order]
             same = np.concatenate([[False], (c[1:] == c[:-1]) & (r[1:] == r[:-1])])
             c, r = c[~same], r[~same]
-            own, at = np.unique(c >> np.uint64(32), return_index=True)
-            ends = np.append(at[1:], len(c))
-            cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(at, ends, strict=True)], pa.binary())
+            own, at, ends = stretches(c >> np.uint64(32))
             codes.clear(), rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(np.full(len(own), base), pa.int64()), cut(c.astype(np.uint32)), cut(r)], names=["bucket", "base", "c", "r"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(own.astype(np.int32)), pa.array(np.full(len(own), base), pa.int64()), cut(c.astype(np.uint32), at, ends), cut(r, at, ends)], names=["bucket", "base", "c", "r"]
+            )
 
         for batch in batches:
             uid = batch.column("uid").to_numpy()
@@ -159,10 +159,8 @@ def _shared(table: pa.Table) -> pa.Table:
     code, r, base = code[keep], r[keep], base[keep]
     order = np.argsort(base, kind="stable")
     code, r, base = code[order], r[order], base[order]
-    own, at = np.unique(base, return_index=True)
-    ends = np.append(at[1:], len(base))
-    cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(at, ends, strict=True)], pa.binary())
-    return pa.table({"base": pa.array(own), "r": cut(r), "code": cut(code)})
+    own, at, ends = stretches(base)
+    return pa.table({"base": pa.array(own), "r": cut(r, at, ends), "code": cut(code, at, ends)})
 
 
 def _by_row(table: pa.Table) -> pa.Table:
@@ -172,9 +170,8 @@ def _by_row(table: pa.Table) -> pa.Table:
     code = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("code").to_pylist()])
     order = np.lexsort((code & ~_HOT_BIT, r))
     r, code = r[order], code[order]
-    own, at = np.unique(r, return_index=True)
-    ends = np.append(at[1:], len(r))
-    return pa.table({"uid": pa.array(own.astype(np.int64) + base), "codes": pa.array([code[i:j].tobytes() for i, j in zip(at, ends, strict=True)], pa.binary())})
+    own, at, ends = stretches(r)
+    return pa.table({"uid": pa.array(own.astype(np.int64) + base), "codes": cut(code, at, ends)})
 
 
 _RUN_FIELDS = "bucket int, n int, lcp binary, size binary, tails binary, lsize binary, lefts binary, ord binary, uid binary, at binary"
@@ -186,8 +183,7 @@ def _packed_spans(uid: np.ndarray, start: np.ndarray, size: np.ndarray, groups:
     g = (_mix(uid.astype(np.uint64)) >> np.uint64(20)) % np.uint64(groups)
     order = np.argsort(g, kind="stable")
     uid, start, size, g = uid[order], start[order], size[order], g[order]
-    own, at = np.unique(g, return_index=True)
-    ends = np.append(at[1:], len(g))
+    own, at, ends = stretches(g)
     return [(int(k), uid[i:j].astype(np.int64).tobytes(), start[i:j].astype(np.int64).tobytes(), size[i:j].astype(np.uint8).tobytes()) for k, i, j in zip(own, at, ends, strict=True)]
 
 
@@ -225,14 +221,14 @@ def _runs(buckets: int, groups: int):
             differ = right[1:] != right[:-1]
             lcp = np.where(differ.any(1), differ.argmax(1), LENGTH)
             lcp = np.concatenate([[0], np.minimum(lcp, np.minimum(size[1:], size[:-1]))])
-            own, first = np.unique(bucket, return_index=True)
+            own, first, stop = stretches(bucket)
             lcp[first] = 0
             place = np.arange(LENGTH)[None, :]
             in_tail = (place >= lcp[:, None]) & (place < size[:, None])
             tails, tail_ends = right[in_tail], np.concatenate([[0], np.cumsum(size - lcp)])
             in_left = np.arange(left.shape[1])[None, :] < lsize[:, None]
             lefts, left_ends = left[in_left], np.concatenate([[0], np.cumsum(lsize.astype(np.int64))])
-            for k, i, j in zip(own.tolist(), first, np.append(first[1:], len(bucket)), strict=True):
+            for k, i, j in zip(own.tolist(), first, stop, strict=True):
                 rows.append((
                     k, int(j - i), lcp[i:j].astype(np.uint8).tobytes(), size[i:j].tobytes(), tails[tail_ends[i] : tail_ends[j]].tobytes(), lsize[i:j].tobytes(),
                     lefts[left_ends[i] : left_ends[j]].tobytes(), ord_[i:j].tobytes(), uid[i:j].tobytes(), at[i:j].tobytes(),
@@ -404,9 +400,9 @@ def _strings(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         fresh = np.concatenate([[True], (i[1:] != i[:-1]) | (b[1:] != b[:-1])])
         least = d[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
         covered.append((has[rank[d > least]], np.full(int((d > least).sum()), o)))
-    if not covered:
+    who, o = (np.concatenate(x) for x in zip(*covered, strict=True)) if covered else ((np.empty(0, np.int64),) * 2)
+    if not len(who):
         return (np.empty(0, np.int64),) * 3
-    who, o = (np.concatenate(x) for x in zip(*covered, strict=True))
     rank = np.lexsort((-o, who))
     who, start = who[rank], (at[who] - o)[rank]
     new = np.concatenate([[True], (who[1:] != who[:-1]) | (start[1:] > start[:-1] + LENGTH)])
@@ -428,9 +424,8 @@ def _spans(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(uid)) - 1
     pairs = np.stack([start[first], reach[last] - rank[last] * stride], axis=1)
-    own, at = np.unique(uid[first], return_index=True)
-    ends = np.append(at[1:], len(first))
-    return pa.table({"uid": pa.array(own), "spans": pa.array([pairs[i:j].tobytes() for i, j in zip(at, ends, strict=True)], pa.binary())})
+    own, at, ends = stretches(uid[first])
+    return pa.table({"uid": pa.array(own), "spans": cut(pairs, at, ends)})
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
