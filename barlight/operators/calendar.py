@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from barlight.functions.times import after_close, is_weekday, market_time, next_weekday, session_date, to_utc
+from barlight.functions.times import after_close, is_weekday, market_time, session_date, to_utc
 from barlight.schemas import require
 from barlight.session import use_utc
 
@@ -14,7 +14,8 @@ from barlight.session import use_utc
 def session_map(spark: SparkSession, holidays: DataFrame, start: str = "1970-01-01", end: str = "2100-01-01") -> DataFrame:
     """One row per calendar day: is it a session, and which session comes next.
 
-    Monday to Friday less the ``holiday`` column of ``holidays``. Its size is the number of days
+    Monday to Friday less the ``holiday`` column of ``holidays``, however long a closure lasts; null for
+    days after the last session. Its size is the number of days
     asked for (some 47,000 by default), so it carries a broadcast hint. The window runs in one task
     over those days only.
     """
@@ -24,10 +25,7 @@ def session_map(spark: SparkSession, holidays: DataFrame, start: str = "1970-01-
     days = days.select("cal_date", (is_weekday("cal_date") & F.col("closed").isNull()).alias("is_session"))
     later = W.orderBy(F.col("cal_date").desc()).rowsBetween(W.unboundedPreceding, -1)  # grows row by row
     upcoming = F.min(F.when(F.col("is_session"), F.col("cal_date"))).over(later)
-    near = F.when(upcoming <= F.date_add("cal_date", 10), upcoming)
-    return F.broadcast(
-        days.select("cal_date", "is_session", F.coalesce(near, next_weekday("cal_date")).alias("next_session"))
-    )
+    return F.broadcast(days.select("cal_date", "is_session", upcoming.alias("next_session")))
 
 
 def align_to_trading_day(
@@ -41,7 +39,8 @@ def align_to_trading_day(
     """Normalise ``timestamp_col`` to UTC and add ``trading_date``.
 
     Without a calendar every rule is a column expression (no join, no shuffle). With one, the
-    next-session lookup is an equi-join on the local date (broadcast for :func:`session_map`). ``market_open`` never changes the date:
+    next-session lookup is an equi-join on the local date (broadcast for :func:`session_map`); a date that
+    the calendar does not cover, or after its last session, is an error. ``market_open`` never changes the date:
     an article before the open belongs to the same day as one inside the session.
     """
     out = normalize_timestamps(news, timestamp_col)
@@ -50,9 +49,9 @@ def align_to_trading_day(
         return out.withColumn("trading_date", session_date("_local", market_close)).drop("_local")
     out = out.withColumns({"cal_date": F.to_date("_local"), "_late": after_close(F.col("_local"), market_close)})
     out = out.join(calendar, "cal_date", "left")
-    session = F.coalesce(F.col("is_session"), is_weekday("cal_date"))
-    following = F.coalesce(F.col("next_session"), next_weekday("cal_date"))
-    moved: Column = F.when(session & ~F.col("_late"), F.col("cal_date")).otherwise(following)
+    unknown = F.raise_error(F.concat(F.lit("the calendar has no session for "), F.col("cal_date").cast("string"))).cast("date")
+    following = F.coalesce(F.col("next_session"), unknown)
+    moved: Column = F.when(F.col("is_session") & ~F.col("_late"), F.col("cal_date")).otherwise(following)
     aligned = out.withColumn("trading_date", F.when(F.col(timestamp_col).isNotNull(), moved))
     return aligned.drop("_local", "cal_date", "_late", "is_session", "next_session")
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from barlight.functions.numeric import flag
 from barlight.operators.layout import KEY, lay_out
 from barlight.schemas import COUNT_COLUMNS, DAILY_SENT, require
 
-CELL_CHARS = 16_000_000  # characters of one text cell; a longer day continues in further parts
+CELL_CHARS = 16_000_000  # characters of one text part; a longer day continues in the next
 
 
 def daily_sentiment(news: DataFrame) -> DataFrame:
@@ -91,37 +92,43 @@ def daily_news_count(news: DataFrame) -> DataFrame:
 
 
 def daily_news_text(news: DataFrame, cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Space-joined text per ticker and trading date, ordered by (published, url, text).
+    """Space-joined text per ticker and trading date in parts 0, 1, ..., ordered by (published, url, text).
 
-    A day whose text would outgrow one cell is spread over ``text_part`` 0, 1, ... by a hash of the
-    article, so no task ever gathers an unbounded day and no text is dropped. Ordinary days have
-    the single part 0.
+    Joining the parts of a day by a space gives its whole text. A part ends with the article that
+    fills ``cell_chars``. Positions are running sums over the minutes of a day and then inside a minute,
+    so no task orders a whole day. A day without any text has the single part 0 with ''.
     """
     keys = [KEY, "trading_date"]
     rows = news.filter(F.col("trading_date").isNotNull())
-    chars = F.coalesce(F.length("text"), F.lit(0)) + 1
-    sizes = rows.groupBy(*keys).agg(F.sum(chars).alias("_chars"))
-    long_days = sizes.filter(F.col("_chars") > cell_chars).select(
-        *keys, F.ceil(F.col("_chars") * 2 / cell_chars).alias("_parts")
-    )
-    slot = F.pmod(F.xxhash64("published", "url", "text"), F.col("_parts"))
-    rows = rows.join(long_days, keys, "left").withColumn("text_part", F.coalesce(slot, F.lit(0)).cast("int"))
+    undated = F.expr("TIMESTAMP '0001-01-01 00:00:00'").cast(rows.schema["published"].dataType)
+    minute = F.coalesce(F.date_trunc("minute", "published"), undated)
+    rows = rows.withColumns({"_minute": minute, "_chars": F.coalesce(F.length("text") + 1, F.lit(0))})
+    earlier = W.partitionBy(*keys).orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
+    minutes = rows.groupBy(*keys, "_minute").agg(F.sum("_chars").alias("_sum"))
+    minutes = minutes.select(*keys, "_minute", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    placed = rows.join(minutes, [*keys, "_minute"])
+    inside = W.partitionBy(*keys, "_minute").orderBy("published", "url", "text").rowsBetween(W.unboundedPreceding, -1)
+    before = F.col("_start") + F.coalesce(F.sum("_chars").over(inside), F.lit(0))
+    placed = placed.withColumn("text_part", F.floor(before / cell_chars).cast("int"))
     present = F.when(F.col("text").isNotNull(), F.struct("published", "url", "text"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(present)), lambda a: a["text"]), " ")
-    return rows.groupBy(*keys, "text_part").agg(joined.alias("combined_text"))
+    return placed.groupBy(*keys, "text_part").agg(joined.alias("combined_text"))
 
 
 def attach_news(bars: DataFrame, news: DataFrame | None, cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Left join of daily news count and text onto bars by day.
+    """Left join of daily news count and text onto bars by day: one row per bar, whatever its day holds.
 
-    One row per bar and text part; ``text_part`` is 0 on every bar whose day fits one cell, so
-    ``filter("text_part = 0")`` is exactly one row per bar.
+    ``text_parts`` counts the parts of the day in :func:`daily_news_text` (0 without news) and
+    ``combined_text`` is the text of a day of one part; a longer day's text stays in that table and is
+    null here.
     """
     if news is None:
-        return bars.withColumns(
-            {"news_count": F.lit(0).cast("long"), "text_part": F.lit(0), "combined_text": F.lit("")}
-        )
+        return bars.withColumns({"news_count": F.lit(0).cast("long"), "text_parts": F.lit(0).cast("long"), "combined_text": F.lit("")})
+    keys = [KEY, "trading_date"]
+    parts = daily_news_text(news, cell_chars).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("text_parts"), F.max(F.when(F.col("text_part") == 0, F.col("combined_text"))).alias("_first")
+    )
     day = F.to_date("date").alias("trading_date")
-    out = bars.withColumn("trading_date", day).join(daily_news_count(news), [KEY, "trading_date"], "left")
-    out = out.join(daily_news_text(news, cell_chars), [KEY, "trading_date"], "left").drop("trading_date")
-    return out.fillna({"news_count": 0, "text_part": 0, "combined_text": ""})
+    out = bars.withColumn("trading_date", day).join(daily_news_count(news), keys, "left").join(parts, keys, "left")
+    text = F.when(F.coalesce("text_parts", F.lit(0)) <= 1, F.coalesce("_first", F.lit("")))
+    return out.withColumn("combined_text", text).drop("trading_date", "_first").fillna({"news_count": 0, "text_parts": 0})

@@ -88,8 +88,12 @@ def headline(scored: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 
 def _by_probability(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """Class counts per distinct probability: the only table the ranking metrics ever order."""
-    return scored.groupBy(*keys, F.col("prob_up").cast("double").alias("prob")).agg(
+    """Class counts per distinct probability: the only table the ranking metrics ever order.
+
+    A row without a probability (missing or NaN) or label has no rank and takes no part.
+    """
+    prob = F.col("prob_up").cast("double")
+    return scored.filter(prob.isNotNull() & ~F.isnan(prob)).groupBy(*keys, F.col("prob_up").cast("double").alias("prob")).agg(
         F.sum(flag(F.col("label") == 1)).cast("long").alias("pos"),
         F.sum(flag(F.col("label") == 0)).cast("long").alias("neg"),
     )

@@ -81,8 +81,7 @@ def cap_per_source(news: DataFrame, max_results: int) -> DataFrame:
     """Newest ``max_results`` articles of each ticker and source."""
     news = with_keys(news)
     order = [F.col("published").desc_nulls_last(), F.col("url").asc_nulls_last()]
-    spread = [F.col(c) for c in ("url", "title") if c in news.columns]
-    return top_per_key(news, [KEY, "source"], order, max_results, F.coalesce(*spread))
+    return top_per_key(news, [KEY, "source"], order, max_results)
 
 
 def newest_first(news: DataFrame) -> DataFrame:
@@ -101,24 +100,30 @@ def collect_news(
     max_articles: int | None = None,
     start: str | None = None,
     end: str | None = None,
+    query: Column | str | None = None,
+    shares: int = 4,
 ) -> DataFrame:
-    """All feeds in one frame: tagged, capped at a quarter of the budget each, unioned, de-duplicated.
+    """All feeds in one frame: tagged, window, relevance, cap, union, de-duplication, in this order.
 
-    A duplicate URL is kept from the feed named first. A feed that is absent (``None``) is skipped; an
-    empty one adds no rows. With ``start`` and ``end`` only articles published in that range (last day
-    included) take part. Sorting for display is left to :func:`newest_first`, so that the collection
+    With ``start`` and ``end`` only articles published in that range (last day included) take part, with
+    ``query`` only those that mention one of its terms; each feed's cap counts what is left then.
+    ``max_articles`` gives every feed one of ``shares`` equal shares, whatever the number of feeds. A
+    duplicate URL is kept from the feed named first. A feed that is absent (``None``) is skipped; an
+    empty one adds no rows. Sorting for display is left to :func:`newest_first`, so that the collection
     itself needs no global sort.
     """
     landed = {name: df for name, df in feeds.items() if df is not None}
     if not landed:
         raise ValueError("no feed has landed")
-    tagged = [tag_source(df, name) for name, df in landed.items()]
-    if max_articles is not None:
-        tagged = [cap_per_source(df, max(1, max_articles // 4)) for df in tagged]
-    collected = union_feeds(tagged)
-    if start and end:
-        collected = in_date_range(with_published(collected), start, end)
-    return dedupe_across_sources(collected, [*feeds])
+    taken = []
+    for name, df in landed.items():
+        df = tag_source(df, name)
+        if start and end:
+            df = in_date_range(with_published(with_keys(df)), start, end)
+        if query is not None:
+            df = relevant(df, query)
+        taken.append(df if max_articles is None else cap_per_source(df, max(1, max_articles // shares)))
+    return dedupe_across_sources(union_feeds(taken), [*feeds])
 
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:

@@ -23,13 +23,15 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return out.select(*[c if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns])
 
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, spread_by: Column) -> DataFrame:
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key under ``order``, found in two rounds.
 
     Round one ranks inside (key, salt), so a hot key is shared by ``SALTS`` tasks; round two ranks
-    the at most ``n * SALTS`` rows left per key. Any row of the true top n survives round one.
+    the at most ``n * SALTS`` rows left per key, so ``n`` should be a few thousand at most. Any row of
+    the true top n survives round one. The salt is a hash of the whole row: missing urls or titles
+    do not gather rows.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)))
     for part in ([*keys, "_salt"], keys):
         salted = salted.withColumn("_rank", F.row_number().over(W.partitionBy(*part).orderBy(*order)))
         salted = salted.filter(F.col("_rank") <= n).drop("_rank")

@@ -31,15 +31,17 @@ def holdout(df: DataFrame, rows: int = 10, order: str = "date") -> DataFrame:
 
 
 def lookup_with_fallback(rows: DataFrame, requests: DataFrame, order: str = "date") -> DataFrame:
-    """For each (ticker, target_date) request the row of that date, else the ticker's last row.
+    """For each (ticker, target_date) request the last row of that date, else the ticker's last row.
 
-    The last row is an aggregate (one row per ticker and map task is shuffled), the exact row an
-    equi-join; no ticker is ever ordered as a whole.
+    One row per request: a day of many bars gives its last one, an unknown ticker a row of missing
+    values. Both are aggregates (one row per key and map task is shuffled) and equi-joins; no ticker is
+    ever ordered as a whole.
     """
     values = [c for c in rows.columns if c != KEY]
-    last = rows.groupBy(KEY).agg(F.max_by(F.struct(*values), F.col(order)).alias("_last"))
-    exact = rows.select(KEY, F.to_date(order).alias("target_date"), F.struct(*values).alias("_hit"))
-    found = requests.join(exact, [KEY, "target_date"], "left").join(last, KEY)
+    row = F.struct(*values)
+    last = rows.groupBy(KEY).agg(F.max_by(row, F.col(order)).alias("_last"))
+    exact = rows.groupBy(KEY, F.to_date(order).alias("target_date")).agg(F.max_by(row, F.col(order)).alias("_hit"))
+    found = requests.join(exact, [KEY, "target_date"], "left").join(last, KEY, "left")
     found = found.withColumns(
         {"_row": F.coalesce("_hit", "_last"), "is_exact": F.col("_hit").isNotNull()}
     )

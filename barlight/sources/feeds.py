@@ -45,7 +45,6 @@ RSS = (
 REGIONAL = (
     "ticker string, feed string, entries array<struct<title: string, link: string, published: string, summary: string>>"
 )
-REGIONAL_FEEDS = 8
 
 
 def read_payload(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -120,15 +119,19 @@ def regional_news(
     end: str | None = None,
     max_results: int | None = None,
     more_than: int = 50,
+    feeds: int = 8,
 ) -> DataFrame:
-    """Regional finance feeds: per-feed cap, query match, text = title, length and date filters."""
+    """Regional finance feeds: per-feed cap, query match, text = title, length and date filters.
+
+    ``feeds`` is the number of feeds that were asked for; ``max_results`` is shared among them evenly.
+    """
     rows = _items(payload, "entries", "feed").select(
         KEY, "feed", "a.title", first_text("a.title").alias("text"), "a.summary", F.col("a.link").alias("url"),
         to_utc("a.published").alias("published"),
     )
     if max_results:
         order = [F.col("published").desc_nulls_last(), F.col("url").asc_nulls_last()]
-        rows = top_per_key(rows, [KEY, "feed"], order, max(1, max_results // REGIONAL_FEEDS), F.col("url"))
+        rows = top_per_key(rows, [KEY, "feed"], order, max(1, max_results // feeds))
     rows = with_published(long_enough(relevant(rows, query), "text", more_than)).drop("feed")
     if start and end:
         rows = in_date_range(rows, start, end, whole_last_day=False)
@@ -144,7 +147,7 @@ def _newest(rows: DataFrame, max_results: int | None) -> DataFrame:
     if not max_results:
         return rows
     order = [F.col("published").desc_nulls_last(), F.col("url").asc_nulls_last()]
-    return top_per_key(rows, [KEY], order, max_results, F.coalesce(F.col("url"), F.col("title")))
+    return top_per_key(rows, [KEY], order, max_results)
 
 
 def _capped(rows: DataFrame, max_results: int | None) -> DataFrame:

@@ -40,12 +40,18 @@ def write_records(news: DataFrame, path: str) -> None:
     news.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(path)
 
 
+# A missing value is written as this private-use character, so that it differs from an empty text.
+_STAGE = {"header": True, "quote": '"', "escape": '"', "nullValue": "\ue000", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_stage(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV whose texts keep line ends, quotes, blanks and emptiness; quotes are doubled."""
+    df.write.mode("overwrite").options(**_STAGE, quoteAll=True).csv(path)
 
 
 def read_stage(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """What :func:`write_stage` wrote. Texts with line ends make a file one split; stages are files of bounded size."""
+    return spark.read.schema(schema).options(**_STAGE, multiLine=True).csv(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

@@ -74,6 +74,22 @@ def news_for_window(spark, sf):
     return naive(out, "published").select("ticker", "url", "source", "title", "published")
 
 
+@query(
+    "collect_news_capped_window",
+    f"""{ctes(NEWS)}, u AS (SELECT 0 AS r, 'RSS' AS source, ticker, {_SHORT} AS url, title, published FROM news
+      UNION ALL SELECT 1, 'NewsAPI', ticker, url, title, published FROM news UNION ALL SELECT 2, 'MarketAux', ticker, {_SHORT}, text, published FROM news),
+    c AS (SELECT * FROM u WHERE published >= TIMESTAMP '2024-01-03' AND published < TIMESTAMP '2024-01-25' AND contains(lower(title), 'src1')
+      QUALIFY row_number() OVER (PARTITION BY ticker, source ORDER BY published DESC, url) <= 10)
+    SELECT ticker, url, source, title, published FROM c QUALIFY row_number() OVER (PARTITION BY ticker, url ORDER BY r, published) = 1""",
+)
+def collect_news_capped_window(spark, sf):
+    """Dates, relevance and cap together: the cap counts what the window and the query leave."""
+    n = news(spark, sf).select("ticker", "url", "title", "published", "text")
+    short = n.withColumn("url", F.regexp_replace("url", "[?].*$", ""))
+    feeds_ = {"RSS": short.drop("text"), "NewsAPI": n.drop("text"), "MarketAux": short.withColumn("title", F.col("text")).drop("text")}
+    out = nw.collect_news(feeds_, max_articles=40, start="2024-01-03", end="2024-01-24", query="SRC1")
+    return naive(out, "published").select("ticker", "url", "source", "title", "published")
+
 @query(
     "news_cap_per_source",
     f"""{ctes(NEWS)} SELECT ticker, source, doc_id, published FROM news
@@ -126,34 +142,34 @@ def _iso(pattern: str):
     "feed_newsapi",
     f"""{ctes(NEWS)} SELECT ticker, title, NULL AS description, text AS content, url, published, source FROM news {FIRST_CANON}""",
 )
-def feed_newsapi(spark, sf):
+def feed_newsapi(spark, sf, max_results=None):
     article = F.struct(
         "title", F.col("text").alias("content"), "url", _iso("yyyy-MM-dd'T'HH:mm:ssXXX").alias("publishedAt"),
         F.struct(F.col("source").alias("name")).alias("source"),
     )
     body = F.struct("ticker", F.lit("ok").alias("status"), F.array(article).alias("articles"))
-    return naive(feeds.newsapi_news(_payload(news(spark, sf), feeds.NEWSAPI, body)), "published")
+    return naive(feeds.newsapi_news(_payload(news(spark, sf), feeds.NEWSAPI, body), max_results), "published")
 
 
 @query(
     "feed_marketaux",
     f"""{ctes(NEWS)} SELECT ticker, title, text AS description, url, published, source FROM news {FIRST_CANON}""",
 )
-def feed_marketaux(spark, sf):
+def feed_marketaux(spark, sf, max_results=None):
     as_object = F.to_json(F.struct(F.col("source").alias("name")))
     article = F.struct(
         "title", F.col("text").alias("description"), "url", _iso("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("published_at"),
         F.when(F.col("ticker") == "EN", as_object).otherwise(F.col("source")).alias("source"),
     )
     body = F.struct("ticker", F.array(article).alias("data"))
-    return naive(feeds.marketaux_news(_payload(news(spark, sf), feeds.MARKETAUX, body)), "published")
+    return naive(feeds.marketaux_news(_payload(news(spark, sf), feeds.MARKETAUX, body), max_results), "published")
 
 
 @query(
     "feed_gdelt",
     f"""{ctes(NEWS)} SELECT ticker, title, title AS text, url, published, source FROM news {FIRST_CANON}""",
 )
-def feed_gdelt(spark, sf):
+def feed_gdelt(spark, sf, max_results=None):
     english = F.col("ticker") == "EN"
     stamp = _iso("yyyyMMdd'T'HHmmss'Z'")
     article = F.struct(
@@ -161,14 +177,14 @@ def feed_gdelt(spark, sf):
         F.when(english, F.col("source")).otherwise("").alias("sourceCommonName"), F.col("source").alias("domain"),
     )
     body = F.struct("ticker", F.array(article).alias("articles"))
-    return naive(feeds.gdelt_news(_payload(news(spark, sf), feeds.GDELT, body)), "published")
+    return naive(feeds.gdelt_news(_payload(news(spark, sf), feeds.GDELT, body), max_results), "published")
 
 
 @query(
     "feed_rss",
     f"""{ctes(NEWS)} SELECT ticker, title, title AS text, url, published, CASE WHEN ticker = 'EN' THEN source END AS source FROM news {FIRST_CANON}""",
 )
-def feed_rss(spark, sf):
+def feed_rss(spark, sf, max_results=None):
     english = F.col("ticker") == "EN"
     stamp = _iso("EEE, dd MMM yyyy HH:mm:ss 'GMT'")
     article = F.struct(
@@ -176,7 +192,7 @@ def feed_rss(spark, sf):
         stamp.alias("updated"), F.when(english, F.to_json(F.struct(F.col("source").alias("title")))).otherwise("plain").alias("source"),
     )
     body = F.struct("ticker", F.array(article).alias("entries"))
-    return naive(feeds.rss_news(_payload(news(spark, sf), feeds.RSS, body)), "published")
+    return naive(feeds.rss_news(_payload(news(spark, sf), feeds.RSS, body), max_results), "published")
 
 
 @query(
@@ -185,12 +201,49 @@ def feed_rss(spark, sf):
     WHERE (contains(lower(text), 'the') OR contains(lower(title), 'src1')) AND length(text) > 50
     AND published >= TIMESTAMP '2024-01-02' AND published <= TIMESTAMP '2024-01-25'""",
 )
-def feed_regional(spark, sf):
+def feed_regional(spark, sf, max_results=None):
     article = F.struct(F.col("text").alias("title"), F.col("url").alias("link"), _iso("dd MMM yyyy HH:mm:ss +0000").alias("published"), F.col("title").alias("summary"))
     body = F.struct("ticker", F.col("source").alias("feed"), F.array(article).alias("entries"))
     payload = _payload(news(spark, sf), feeds.REGIONAL, body)
-    return naive(feeds.regional_news(payload, "The OR src1", "2024-01-02", "2024-01-25"), "published")
+    return naive(feeds.regional_news(payload, "The OR src1", "2024-01-02", "2024-01-25", max_results), "published")
+
+
+_CAPPED = "capped AS (SELECT * FROM news QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY published DESC, url) <= 60)"
+
+
+@query("feed_newsapi_capped", f"{ctes(NEWS, _CAPPED)} SELECT ticker, title, NULL AS description, text AS content, url, published, source FROM capped {FIRST_CANON}")
+def feed_newsapi_capped(spark, sf):
+    return feed_newsapi(spark, sf, 60)
+
 
+@query("feed_marketaux_capped", f"{ctes(NEWS, _CAPPED)} SELECT ticker, title, text AS description, url, published, source FROM capped {FIRST_CANON}")
+def feed_marketaux_capped(spark, sf):
+    return feed_marketaux(spark, sf, 60)
+
+
+@query("feed_gdelt_capped", f"{ctes(NEWS, _CAPPED)} SELECT ticker, title, title AS text, url, published, source FROM capped {FIRST_CANON}")
+def feed_gdelt_capped(spark, sf):
+    return feed_gdelt(spark, sf, 60)
+
+
+@query(
+    "feed_rss_capped",
+    f"""{ctes(NEWS)}, once AS (SELECT * FROM news {FIRST_CANON}) SELECT ticker, title, title AS text, url, published,
+    CASE WHEN ticker = 'EN' THEN source END AS source FROM once QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY published DESC, url) <= 60""",
+)
+def feed_rss_capped(spark, sf):
+    return feed_rss(spark, sf, 60)
+
+
+@query(
+    "feed_regional_capped",
+    f"""{ctes(NEWS)}, capped AS (SELECT * FROM news QUALIFY row_number() OVER (PARTITION BY ticker, source ORDER BY published DESC, url) <= 5)
+    SELECT ticker, text AS title, text, title AS summary, url, published, 'MoneyControl' AS source FROM capped
+    WHERE (contains(lower(text), 'the') OR contains(lower(title), 'src1')) AND length(text) > 50
+    AND published >= TIMESTAMP '2024-01-02' AND published <= TIMESTAMP '2024-01-25'""",
+)
+def feed_regional_capped(spark, sf):
+    return feed_regional(spark, sf, 40)
 
 @query(
     "mixed_timestamps",

@@ -436,7 +436,7 @@ _STUB_BARS = """nbars AS (SELECT ticker, CAST(published AS DATE) AS date, avg(le
 @query(
     "preprocess_with_news",
     f"""{ctes(NEWS, _NEWS_DAYS, _STUB_BARS)}, agg AS (SELECT ticker, trading_date, count(title) AS news_count, string_agg(text, ' ' ORDER BY published, url, text) AS combined_text FROM nday GROUP BY 1, 2)
-    SELECT b.ticker, b.date, coalesce(a.news_count, 0) AS news_count, coalesce(a.combined_text, '') AS combined_text, 0 AS text_part,
+    SELECT b.ticker, b.date, coalesce(a.news_count, 0) AS news_count, coalesce(a.combined_text, '') AS combined_text, CAST(CASE WHEN a.news_count IS NULL THEN 0 ELSE 1 END AS BIGINT) AS text_parts,
     round(coalesce(b.close / lag(b.close) OVER (PARTITION BY b.ticker ORDER BY b.date) - 1, 0), 6) + 0.0 AS returns
     FROM nbars b LEFT JOIN agg a ON a.ticker = b.ticker AND a.trading_date = b.date""",
 )
@@ -444,7 +444,7 @@ def preprocess_with_news(spark, sf):
     """Basic indicators with each bar's news count and text; articles also supply the bars."""
     n = news(spark, sf)
     b = n.groupBy("ticker", F.to_date("published").alias("date")).agg(F.avg(F.length("text")).alias("close"))
-    return pick(pl.preprocess(b, n), "ticker, date, news_count, combined_text, text_part", "returns")
+    return pick(pl.preprocess(b, n), "ticker, date, news_count, combined_text, text_parts", "returns")
 
 
 _NC = "nc AS (SELECT ticker, date, daily_count AS news_count, ret AS returns FROM merged)"
@@ -479,7 +479,8 @@ def holdout_split(spark, sf):
     return holdout(bars(spark, sf).select("ticker", "date"))
 
 
-_REQ = """req AS (SELECT DISTINCT l_returnflag AS ticker, CAST(o_orderdate AS DATE) AS target_date FROM orders, (SELECT DISTINCT l_returnflag FROM lineitem) f)"""
+_REQ = """req AS (SELECT DISTINCT l_returnflag AS ticker, CAST(o_orderdate AS DATE) AS target_date FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  UNION ALL SELECT 'unknown', DATE '1995-01-01')"""
 
 
 @query(
@@ -487,15 +488,16 @@ _REQ = """req AS (SELECT DISTINCT l_returnflag AS ticker, CAST(o_orderdate AS DA
     sql_rounded(
         ctes(BARS, _REQ, f"l AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)"),
         """SELECT req.ticker, target_date, bars.date IS NOT NULL AS is_exact, coalesce(bars.date, l.date) AS date,
-        coalesce(bars.close, l.close) AS close FROM req JOIN l USING (ticker) LEFT JOIN bars ON bars.ticker = req.ticker AND bars.date = req.target_date""",
+        coalesce(bars.close, l.close) AS close FROM req LEFT JOIN l USING (ticker) LEFT JOIN bars ON bars.ticker = req.ticker AND bars.date = req.target_date""",
         "ticker, target_date, is_exact, date", "close", 8,
     ),
 )
 def lookup(spark, sf):
-    days = table(spark, sf, "orders", "o_orderdate").select(F.to_date("o_orderdate").alias("target_date")).distinct()
-    flags = table(spark, sf, "lineitem", "l_returnflag").select(F.col("l_returnflag").alias("ticker")).distinct()
-    requests = days.withColumn("ticker", F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R")))).join(flags, "ticker", "left_semi")
-    out = lookup_with_fallback(bars(spark, sf), requests.select("ticker", "target_date"))
+    ordered = table(spark, sf, "orders", "o_orderkey", "o_orderdate").withColumnRenamed("o_orderkey", "l_orderkey")
+    sold = table(spark, sf, "lineitem", "l_orderkey", "l_returnflag").join(ordered, "l_orderkey")
+    requests = sold.select(F.col("l_returnflag").alias("ticker"), F.to_date("o_orderdate").alias("target_date")).distinct()
+    requests = requests.union(spark.sql("SELECT 'unknown', DATE'1995-01-01'"))
+    out = lookup_with_fallback(bars(spark, sf), requests)
     return pick(out, "ticker, target_date, is_exact, date", "close", 8)
 
 
@@ -590,3 +592,54 @@ def intraday_fill(spark, sf):
     b = minute_bars(spark, sf).select("ticker", "date", F.when(F.col("close") > 20, F.col("close")).alias("close"))
     out = running(b, {"filled": ("last", "close"), "peak": ("max", "close")})
     return pick(out.withColumn("date", F.col("date").cast("timestamp_ntz")), "ticker, date", "filled, peak")
+
+
+@query(
+    "lookup_intraday",
+    sql_rounded(
+        ctes(
+            MINUTES,
+            """req AS (SELECT DISTINCT event_type AS ticker, CAST(ts AS DATE) AS target_date FROM events UNION ALL SELECT DISTINCT event_type, DATE '2030-01-01' FROM events)""",
+        ),
+        """SELECT req.ticker, target_date, bool_or(CAST(bars.date AS DATE) = target_date) AS is_exact,
+        max_by(bars.close, CASE WHEN CAST(bars.date AS DATE) = target_date THEN bars.date + INTERVAL 100 YEAR ELSE bars.date END) AS close
+        FROM req JOIN bars USING (ticker) GROUP BY 1, 2""",
+        "ticker, target_date, is_exact", "close", 8,
+    ),
+)
+def lookup_intraday(spark, sf):
+    e = table(spark, sf, "events", "event_type", "ts")
+    requests = e.select(F.col("event_type").alias("ticker"), F.to_date("ts").alias("target_date")).distinct()
+    requests = requests.union(requests.select("ticker", F.lit("2030-01-01").cast("date")).distinct())
+    return pick(lookup_with_fallback(minute_bars(spark, sf), requests), "ticker, target_date, is_exact", "close", 8)
+
+
+_CLOSED = [f"2024-01-{d:02d}" for d in range(4, 20)]  # a closure of sixteen days
+
+
+@query(
+    "align_with_long_closure",
+    f"""WITH days AS (SELECT CAST(d AS DATE) AS d FROM generate_series(DATE '2023-12-25', DATE '2024-03-31', INTERVAL 1 DAY) g(d)),
+    sess AS (SELECT d FROM days WHERE isodow(d) < 6 AND d NOT IN ({", ".join(f"DATE '{d}'" for d in _CLOSED)})),
+    nxt AS (SELECT days.d, min(sess.d) AS n, bool_or(sess.d = days.d) AS open FROM days JOIN sess ON sess.d >= days.d GROUP BY 1),
+    e AS (SELECT event_id, CAST(timezone('America/New_York', timezone('UTC', ts)) AS DATE) AS d,
+          CAST(timezone('America/New_York', timezone('UTC', ts)) AS TIME) > TIME '16:00:00' AS late FROM events)
+    SELECT event_id, CASE WHEN a.open AND NOT late THEN e.d ELSE b.n END AS trading_date
+    FROM e JOIN nxt a ON a.d = e.d JOIN nxt b ON b.d = e.d + 1""",
+)
+def align_with_long_closure(spark, sf):
+    closed = spark.createDataFrame([(d,) for d in _CLOSED], "holiday string")
+    calendar = session_map(spark, closed, "2023-12-25", "2024-03-31")
+    return align_to_trading_day(raw_news_events(spark, sf), calendar=calendar).select("event_id", "trading_date")
+
+
+@query("stage_roundtrip_text", """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN '' ELSE text END AS text,
+  CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END AS source, n_chars FROM documents""")
+def stage_roundtrip_text(spark, sf):
+    """Documents through a CSV stage: line ends, quotes, empty and missing texts come back as they were."""
+    d = table(spark, sf, "documents", "doc_id", "text", "source", "n_chars")
+    text = F.when(F.col("doc_id") % 7 == 1, "").when(F.col("doc_id") % 7 != 0, F.col("text"))
+    d = d.select("doc_id", text.alias("text"), F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("source"), "n_chars")
+    path = f"{shared_folder(spark)}/stage_{uuid.uuid4().hex}"
+    st.write_stage(d, path)
+    return st.read_stage(spark, path, d.schema)

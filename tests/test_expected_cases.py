@@ -277,7 +277,10 @@ def test_two_level_columns(spark):
 
 def test_lookup_falls_back_to_the_last_row(spark, four_bars):
     requests = spark.createDataFrame([("T", D(2024, 6, 4)), ("T", D(2024, 6, 30)), ("NONE", D(2024, 6, 4))], "ticker string, target_date date")
-    out = {r["target_date"]: r for r in lookup_with_fallback(four_bars, requests).collect()}
+    rows = lookup_with_fallback(four_bars, requests).collect()
+    unknown = [r for r in rows if r["ticker"] == "NONE"]
+    assert len(rows) == 3 and [(r["return"], r["is_exact"]) for r in unknown] == [(None, False)]
+    out = {r["target_date"]: r for r in rows if r["ticker"] == "T"}
     assert out[D(2024, 6, 4)]["return"] == -0.02 and out[D(2024, 6, 4)]["is_exact"]
     assert out[D(2024, 6, 30)]["date"] == D(2024, 6, 6) and not out[D(2024, 6, 30)]["is_exact"]
 

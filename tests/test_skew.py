@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barlight.operators import evaluate as ev
 from barlight.operators import skew
-from barlight.operators.daily import daily_news_text
+from barlight.operators.daily import attach_news, daily_news_text
 from barlight.operators.stats import average_ranks
 
 
@@ -32,7 +32,7 @@ def test_first_per_key(copies):
 
 def test_top_per_key(copies):
     df, rows = copies
-    out = skew.top_per_key(df, ["key"], [F.col("at").desc(), F.col("id")], 9, F.col("id"))
+    out = skew.top_per_key(df, ["key"], [F.col("at").desc(), F.col("id")], 9)
     got = {(r["key"], r["id"]) for r in out.collect()}
     pdf = pd.DataFrame(rows, columns=["key", "id", "at", "text"]).sort_values(["at", "id"], ascending=[False, True])
     expected = set(pdf.groupby("key").head(9)[["key", "id"]].itertuples(index=False, name=None))
@@ -83,10 +83,14 @@ def test_long_day_is_spread_over_parts_without_loss(spark):
     whole = daily_news_text(df).filter("trading_date = '2024-06-03'").collect()
     parts = daily_news_text(df, cell_chars=600).collect()
     assert len(whole) == 1 and whole[0]["text_part"] == 0
-    hot = [r for r in parts if str(r["trading_date"]) == "2024-06-03"]
+    hot = sorted((r for r in parts if str(r["trading_date"]) == "2024-06-03"), key=lambda r: r["text_part"])
     assert len(hot) > 5
-    assert max(len(r["combined_text"]) for r in hot) <= 600
-    assert sorted(" ".join(r["combined_text"] for r in hot).split()) == sorted(whole[0]["combined_text"].split())
+    assert max(len(r["combined_text"]) for r in hot) <= 600 + len("word999")
+    assert " ".join(r["combined_text"] for r in hot) == whole[0]["combined_text"]
+    bars = spark.createDataFrame([("T", "2024-06-03"), ("T", "2024-06-04"), ("T", "2024-06-05")], "ticker string, d string")
+    bars = bars.select("ticker", F.to_date("d").alias("date"))
+    got = [(str(r["date"]), r["text_parts"], r["combined_text"]) for r in attach_news(bars, df.withColumn("title", F.lit("t")), cell_chars=600).orderBy("date").collect()]
+    assert got == [("2024-06-03", len(hot), None), ("2024-06-04", 1, "alone"), ("2024-06-05", 0, "")]
     assert [r["combined_text"] for r in parts if str(r["trading_date"]) == "2024-06-04"] == ["alone"]
 
 
