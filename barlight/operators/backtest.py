@@ -61,13 +61,16 @@ def run_backtest(
     return equity_curves(positions(df, pred_col, threshold, tc, position_size, order), order)
 
 
-def backtest_metrics(curves: DataFrame, order: str = "date") -> DataFrame:
-    """Total return, annualised Sharpe (missing without spread), worst drawdown and trades, per ticker."""
+def backtest_metrics(curves: DataFrame, order: str = "date", bars_per_year: float = TRADING_DAYS) -> DataFrame:
+    """Total return, annualised Sharpe (missing without spread), worst drawdown and trades, per ticker.
+
+    ``bars_per_year`` annualises: 252 for daily bars, 252 times the bars of a session for intraday ones.
+    """
     net = F.col("strategy_return")
     per = curves.groupBy(KEY).agg(
         F.max_by("equity", order).alias("_last"),
-        (F.avg(net) * TRADING_DAYS).alias("_mu"),
-        (F.stddev_samp(net) * F.sqrt(F.lit(float(TRADING_DAYS)))).alias("_sigma"),
+        (F.avg(net) * bars_per_year).alias("_mu"),
+        (F.stddev_samp(net) * F.sqrt(F.lit(float(bars_per_year)))).alias("_sigma"),
         F.min("drawdown").alias("max_drawdown"),
         F.sum(flag(F.col("pos_change") > 0)).cast("double").alias("trades"),
     )

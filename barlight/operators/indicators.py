@@ -193,16 +193,20 @@ def block_rows_for(back: int) -> int:
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: str = "date") -> DataFrame:
-    back = macd_back(fast, slow, signal)
+    back = max(decay_rows(fast), decay_rows(slow))
     lane = lay_out(bars, back=back, order=order, blocks=True, block_rows=block_rows_for(back))
-    return lane.add(macd_line(lane, fast, slow)).add(macd_signal(lane, signal)).add(_macd_histogram()).finish()
+    means = lane.add({"_fast": ewm_mean(lane, "close", fast), "_slow": ewm_mean(lane, "close", slow)}).finish()
+    line = fill_forward(means, ["_fast", "_slow"], order).withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    lane = lay_out(line, back=decay_rows(signal), order=order, blocks=True, block_rows=block_rows_for(decay_rows(signal)))
+    return lane.add(macd_signal(lane, signal)).add(_macd_histogram()).finish()
 
 
 def ewm(bars: DataFrame, column: str, spans: list[int], order: str = "date") -> DataFrame:
-    """``{column}_ewm_{span}`` for each span."""
+    """``{column}_ewm_{span}`` for each span; a missing value repeats the mean before it, however long the gap."""
     back = max(decay_rows(s) for s in spans)
     lane = lay_out(bars, back=back, order=order, blocks=True, block_rows=block_rows_for(back))
-    return lane.add({f"{column}_ewm_{s}": ewm_mean(lane, column, s) for s in spans}).finish()
+    names = {f"{column}_ewm_{s}": ewm_mean(lane, column, s) for s in spans}
+    return fill_forward(lane.add(names).finish(), [*names], order)
 
 
 def momentum_sum(bars: DataFrame, order: str = "date") -> DataFrame:

@@ -31,10 +31,15 @@ def compound(valence: Column) -> Column:
     return valence / F.sqrt(valence * valence + F.lit(NORM_ALPHA))
 
 
+def _words(lexicon: DataFrame) -> DataFrame:
+    return lexicon.groupBy("word").agg(F.max("tenths").alias("tenths"))
+
+
 def lexicon_scores(texts: DataFrame, lexicon: DataFrame, text: str = "text") -> DataFrame:
     """(text_hash, valence_tenths, score, label) for every distinct text.
 
-    ``lexicon`` is (word, tenths) with valence in integer tenths, so sums are exact. Tokens join the
+    ``lexicon`` is (word, tenths) with valence in integer tenths, so sums are exact; of a word listed
+    more than once the largest valence counts. Tokens join the
     broadcast lexicon and fold back to one row per text inside the map task; only hashes and partial
     sums are shuffled, never text. Copies of a text fold together and are divided out again: each
     copy contributes exactly one first token.
@@ -42,7 +47,7 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, text: str = "text") ->
     tokens = with_text_key(texts, text).select(
         "text_hash", F.posexplode(F.split(F.lower(as_text(text)), TOKEN_BREAK)).alias("pos", "word")
     )
-    scored = tokens.join(broadcast_if_small(lexicon.select("word", "tenths")), "word", "left")
+    scored = tokens.join(broadcast_if_small(_words(lexicon)), "word", "left")
     scored = scored.filter(F.col("tenths").isNotNull() | (F.col("pos") == 0))  # misses carry nothing
     per_text = scored.groupBy("text_hash").agg(
         F.sum(F.coalesce(F.col("tenths"), F.lit(0)).cast("long")).alias("_sum"),
@@ -66,7 +71,7 @@ def lexicon_scores_with_rules(
     """
     distinct = with_text_key(texts, text).groupBy("text_hash").agg(F.first(as_text(text)).alias("_text"))
     tokens = distinct.select("text_hash", F.posexplode(F.split(F.lower("_text"), TOKEN_BREAK)).alias("pos", "word"))
-    tokens = tokens.join(broadcast_if_small(lexicon.select("word", "tenths")), "word", "left")
+    tokens = tokens.join(broadcast_if_small(_words(lexicon)), "word", "left")
     negates = F.col("word").isin(negations) if negations else F.lit(False)
     weights = F.create_map(*[F.lit(x) for kv in boosters.items() for x in kv]) if boosters else None
     boost = F.coalesce(F.try_element_at(weights, F.col("word")), F.lit(0.0)) if boosters else F.lit(0.0)
@@ -100,29 +105,39 @@ def score_texts(
     """
     keyed = with_text_key(texts, text)
     distinct = keyed.groupBy("text_hash").agg(F.first(as_text(text)).alias("text"))
-    given = shorten("text", max_chars // 4) if max_chars else F.col("text")
-    distinct = distinct.withColumn("_given", given)
     if tasks:
         distinct = distinct.repartition(tasks, "text_hash")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = scorer_factory()
-        for pdf in batches:
-            given_texts = pdf.pop("_given").tolist()
+        for batch in batches:
+            given = batch.tolist()
             scored: list[tuple[str, float]] = []
-            for i in range(0, len(given_texts), batch_size):
-                scored.extend(scorer(given_texts[i : i + batch_size]))
-            yield pdf.assign(raw_label=[s[0] for s in scored], prob=[float(s[1]) for s in scored])
+            for i in range(0, len(given), batch_size):
+                scored.extend(scorer(given[i : i + batch_size]))
+            yield pd.DataFrame({"raw_label": [s[0] for s in scored], "prob": [float(s[1]) for s in scored]})
 
-    raw = distinct.mapInPandas(run, "text_hash string, text string, raw_label string, prob double")
-    return raw.select(
-        "text_hash", "text", standard_label("raw_label").alias("label"), signed_score("raw_label", "prob").alias("score")
-    )
+    # one copy of a text goes to Python, and none comes back
+    given = shorten("text", max_chars // 4) if max_chars else F.col("text")
+    raw = distinct.withColumn("_s", F.pandas_udf(run, "raw_label string, prob double")(given))
+    label, prob = F.col("_s.raw_label"), F.col("_s.prob")
+    return raw.select("text_hash", "text", standard_label(label).alias("label"), signed_score(label, prob).alias("score"))
+
+
+def one_score(scored: DataFrame) -> DataFrame:
+    """One row per text key; a cache that was appended to may hold more."""
+    best = F.min(F.struct("label", "score")).alias("_best")
+    kept = scored.groupBy("text_hash").agg(best, *([F.first("text").alias("text")] if "text" in scored.columns else []))
+    return kept.select(*[c if c in ("text_hash", "text") else F.col(f"_best.{c}").alias(c) for c in scored.columns if c in ("text_hash", "text", "label", "score")])
 
 
 def attach_scores(articles: DataFrame, scored: DataFrame, text: str = "text") -> DataFrame:
-    """Scores back onto articles by text key, as ``label``, ``score`` and ``sent_score``."""
-    right = scored.select("text_hash", "label", "score")
+    """Scores back onto articles by text key, as ``label``, ``score`` and ``sent_score``.
+
+    One score a text: of several the first by (label, score). A text in a large share of the articles
+    makes a skewed join, which Spark splits (``spark.sql.adaptive.skewJoin.enabled``).
+    """
+    right = one_score(scored).select("text_hash", "label", "score")
     out = with_text_key(articles, text).join(right, "text_hash", "left")
     return out.withColumn("sent_score", F.col("score"))
 
@@ -131,7 +146,7 @@ def split_by_cache(texts: DataFrame, cache: DataFrame, text: str = "text") -> tu
     """(cached score rows for the requested texts, requested texts the cache lacks)."""
     wanted = with_text_key(texts, text)
     keys = wanted.select("text_hash").distinct()
-    return cache.join(keys, "text_hash", "left_semi"), wanted.join(cache.select("text_hash"), "text_hash", "left_anti")
+    return one_score(cache).join(keys, "text_hash", "left_semi"), wanted.join(cache.select("text_hash"), "text_hash", "left_anti")
 
 
 def all_cached(texts: DataFrame, cache: DataFrame, text: str = "text") -> bool:

@@ -47,22 +47,31 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def _octave_step(value: Column) -> Column:
+    """A whole number that grows with the value: its power of two and 16 bits of what is left, sign first."""
+    v = value.cast("double")
+    size = F.abs(v)
+    octave = F.floor(F.log2(size))
+    step = (octave + 1100) * 131072 + F.floor(size / F.pow(F.lit(2.0), octave) * 65536)
+    return F.when(v == 0, F.lit(0)).when(v > 0, step).otherwise(-step).cast("long")
+
+
 def running_by_value(
     counts: DataFrame,
     keys: list[str],
     value: str,
     sums: list[str],
-    low: float,
-    high: float,
+    low: float | None = None,
+    high: float | None = None,
     previous: str | None = None,
     bounded: bool = False,
 ) -> DataFrame:
     """``{s}_before`` (sum over strictly smaller values of the key) and ``{s}_total`` for each s.
 
-    ``counts`` has one row per (keys, value). Values are cut into fixed-width steps - multiplying by
-    a power of two and flooring is exact, so steps never reorder values - and the running sum is
-    taken over step totals and then inside each step. The step table has at most
-    (high - low) * 65,536 rows per key; no task sees a whole key. ``previous`` names a struct with
+    ``counts`` has one row per (keys, value). Values are cut into steps that never reorder them - between
+    ``low`` and ``high`` 65,536 of a fixed width for each unit, without them 65,536 for each power of two
+    of the value's size, whatever its range - and the running sum is taken over step totals and then
+    inside each step. No task sees a whole key. ``previous`` names a struct with
     the sums of the next smaller value. ``bounded`` says that a key's rows are bounded anyway (a daily
     series); then one window per key does.
     """
@@ -75,8 +84,11 @@ def running_by_value(
         if previous:
             columns[previous] = F.lag(F.struct(*sums), 1).over(ordered)
         return counts.withColumns(columns)
-    inside = F.greatest(F.lit(low), F.least(F.lit(high), F.col(value)))
-    stepped = counts.withColumn("_step", F.floor(inside * 65536))
+    if low is None or high is None:
+        stepped = counts.withColumn("_step", _octave_step(F.col(value)))
+    else:
+        inside = F.greatest(F.lit(low), F.least(F.lit(high), F.col(value)))
+        stepped = counts.withColumn("_step", F.floor(inside * 65536))
     group = F.struct(*sums)
     top = [F.max_by(group, value).alias("_top")] if previous else []
     steps = stepped.groupBy(*keys, "_step").agg(*[F.sum(s).alias(s) for s in sums], *top)

@@ -13,14 +13,16 @@ TRAIN_ONLY = -1
 def expanding_folds(df: DataFrame, n_splits: int = 5, order: str = "date") -> DataFrame:
     """``fold``: the test block a row belongs to, -1 for rows that only ever train.
 
-    Blocks have n // (n_splits + 1) rows and end at the last row of the ticker. Fold i tests block i
-    and trains on every smaller fold number. A ticker too short to split is train-only.
+    Blocks are cut on the times that all tickers share: each has n // (n_splits + 1) of the n distinct
+    values of ``order``, and the last ends with the last of them. Fold i tests block i and trains on
+    every smaller fold number, so no training row of any ticker is later than a test row of any other.
+    Too few times to split make every row train-only.
     """
-    rows = number_rows(df, order, total="_n", name="_rn")
+    times = number_rows(df.select(order).distinct().withColumn(KEY, F.lit("")), order, total="_n", name="_rn")
     block = F.floor(F.col("_n") / (n_splits + 1))
     offset = F.col("_rn") - 1 - (F.col("_n") - block * n_splits)
     fold = F.when((block > 0) & (offset >= 0), F.floor(offset / block)).otherwise(TRAIN_ONLY)
-    return rows.withColumn("fold", fold.cast("int")).drop("_n", "_rn")
+    return df.join(times.select(order, fold.cast("int").alias("fold")), order).select(*df.columns, "fold")
 
 
 def holdout(df: DataFrame, rows: int = 10, order: str = "date") -> DataFrame:

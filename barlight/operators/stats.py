@@ -16,7 +16,6 @@ from barlight.operators.layout import KEY, is_intraday, lay_out
 from barlight.operators.skew import running_by_value
 
 CORRELATION_COLUMNS = ["adj_close", "daily_mean_sentiment", "daily_count", "return", "target_return_1d"]
-VALUE_RANGE = (-8.0, 8.0)  # where ranking steps are cut finely; values beyond still rank exactly
 
 
 @F.pandas_udf(T.DoubleType())
@@ -49,7 +48,7 @@ def average_ranks(df: DataFrame, keys: list[str], column: str, name: str, daily:
         ties = F.count(F.lit(1)).over(W.partitionBy(*keys, column))
         return df.withColumn(name, F.rank().over(by_key.orderBy(column)) + (ties - 1) / 2.0)
     counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_by_value(counts, keys, column, ["_c"], *VALUE_RANGE)
+    ranked = running_by_value(counts, keys, column, ["_c"])
     ranked = ranked.select(*keys, column, (F.col("_c_before") + (F.col("_c") + 1) / 2.0).alias(name))
     return df.join(ranked, [*keys, column])
 
@@ -87,6 +86,13 @@ def linear_fit(df: DataFrame, x: str = "daily_mean_sentiment", y: str = "target_
     )
 
 
+def centred(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns less their mean over the ticker: sums of products keep their digits at any level of the series."""
+    means = df.groupBy(KEY).agg(*[F.avg(c).alias(f"_mean{c}") for c in columns])
+    out = df.join(means, KEY).withColumns({c: F.col(c) - F.col(f"_mean{c}") for c in columns})
+    return out.drop(*[f"_mean{c}" for c in columns])
+
+
 def cross_correlation(
     df: DataFrame, x: str = "daily_mean_sentiment", y: str = "return", max_lag: int = 10, order: str = "date"
 ) -> DataFrame:
@@ -97,7 +103,7 @@ def cross_correlation(
     """
     lags = range(-max_lag, max_lag + 1)
     zeroed = df.withColumns({"_x": F.coalesce(F.col(x), F.lit(0.0)), "_y": F.coalesce(F.col(y), F.lit(0.0))})
-    lane = lay_out(zeroed.select(KEY, order, "_x", "_y"), back=max_lag, ahead=max_lag, order=order)
+    lane = lay_out(centred(zeroed.select(KEY, order, "_x", "_y"), "_x", "_y"), back=max_lag, ahead=max_lag, order=order)
     shifted = lane.add({f"_x{k + max_lag}": F.lead("_x", k).over(lane.window) for k in lags}).finish()
     sums = []
     for k in lags:
@@ -136,7 +142,7 @@ def granger(
     systems of at most 2 * max_lag + 1 unknowns are solved.
     """
     both = df.select(KEY, order, F.col(y).alias("_y"), F.col(x).alias("_x"))
-    both = both.filter(F.col("_y").isNotNull() & F.col("_x").isNotNull())
+    both = centred(both.filter(F.col("_y").isNotNull() & F.col("_x").isNotNull()), "_y", "_x")
     lane = lay_out(both, back=max_lag, order=order)
     names = ["_y"] + [f"_{v}{k}" for k in range(1, max_lag + 1) for v in ("y", "x")]
     cols = {f"_{v}{k}": F.lag(f"_{v}", k).over(lane.window) for k in range(1, max_lag + 1) for v in ("y", "x")}

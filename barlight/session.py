@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,7 +22,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder already set.
 
-    A private folder is made only in local mode, where driver and executors are one machine.
+    Where neither is set, in local mode only, a folder beside the session's tables serves.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -32,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="barlight-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_barlight"
 
 
 def settle(df: DataFrame) -> DataFrame:

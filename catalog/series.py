@@ -468,8 +468,8 @@ def news_count_features(spark, sf):
     return pick(out.withColumn("news_count_roll_20", F.col("news_count_roll_20").cast("double")), "ticker, date", _NC_NUM)
 
 
-@query("fold_assignment", f"""{ctes(BARS)}, n AS (SELECT ticker, date, row_number() OVER ({SERIES}) - 1 AS rn, count(*) OVER (PARTITION BY ticker) AS n FROM bars)
-  SELECT ticker, date, CAST(CASE WHEN rn >= n - 5 * (n // 6) THEN (rn - (n - 5 * (n // 6))) // (n // 6) ELSE -1 END AS INTEGER) AS fold FROM n""")
+@query("fold_assignment", f"""{ctes(BARS)}, n AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS rn, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM bars) d)
+  SELECT ticker, date, CAST(CASE WHEN rn >= n - 5 * (n // 6) THEN (rn - (n - 5 * (n // 6))) // (n // 6) ELSE -1 END AS INTEGER) AS fold FROM bars JOIN n USING (date)""")
 def fold_assignment(spark, sf):
     return expanding_folds(bars(spark, sf).select("ticker", "date"))
 
