@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from barlight.functions.numeric import clip01, flag, signal
 from barlight.operators.layout import KEY
 from barlight.operators.splits import expanding_folds
+from barlight.session import settle
 
 SEED = 42
 DEEPEST = 30  # Spark's limit, for grids that leave the depth open
@@ -202,9 +203,21 @@ def _train(df, columns, label, config, n_splits, order, score, vote, vote_score)
         data.unpersist()
 
 
+def fit_rows(df: DataFrame, columns: list[str], label: str, spec: ModelSpec, params: Params) -> PipelineModel:
+    """One model on all rows with a label; the penalty knows their number."""
+    data = assemble(df, columns, label).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return spec.build(params, data.count()).fit(data)
+    finally:
+        data.unpersist()
+
+
 def up_probability(scored: DataFrame) -> Column:
     """Probability of the up class, or the raw decision value of a model without probabilities."""
-    return vector_to_array(F.col("probability"))[1] if "probability" in scored.columns else F.col("prediction")
+    for name in ("probability", "rawPrediction"):
+        if name in scored.columns:
+            return vector_to_array(F.col(name))[1]
+    return F.col("prediction")
 
 
 def score_rows(model: PipelineModel, assembled: DataFrame) -> DataFrame:
@@ -257,7 +270,7 @@ def out_of_fold(
 ) -> DataFrame:
     """Rows of every test block scored by a model that saw earlier blocks only."""
     folded = expanding_folds(df, n_splits, order)
-    data = assemble(folded, columns, label).persist(StorageLevel.MEMORY_AND_DISK)
+    data = settle(assemble(folded, columns, label))
     sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = []
     for fold in sorted(f for f in sizes if f >= 0):

@@ -63,7 +63,7 @@ def comprehensive_build(bars: DataFrame, news: DataFrame | None, **scoring) -> D
 
 
 def preprocess(bars: DataFrame, news: DataFrame | None = None) -> DataFrame:
-    """Basic indicators plus each day's news count and text; one row per bar and text part."""
+    """Basic indicators plus each day's news count and text; one row per bar."""
     aligned = None if news is None else align_to_trading_day(news)
     base = fill_clean(basic_features(bars))
     return attach_news(base, aligned)

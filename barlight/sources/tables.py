@@ -76,15 +76,23 @@ def save_model(model: PipelineModel, path: str, features: list[str]) -> None:
 
 
 def save_results(results: dict[str, Trained], folder: str, prefix: str, features: list[str]) -> list[str]:
-    """Every fitted model under ``{folder}/{prefix}_{name}``; an ensemble is its members, saved on their own."""
+    """Every fitted model under ``{folder}/{prefix}_{name}``; an ensemble has its members below that path, numbered."""
     paths = []
     for name, trained in results.items():
-        if not isinstance(trained.model, list):
-            paths.append(f"{folder}/{prefix}_{name}")
+        paths.append(f"{folder}/{prefix}_{name}")
+        if isinstance(trained.model, list):
+            for i, member in enumerate(trained.model):
+                save_model(member, f"{paths[-1]}/{i}", features)
+        else:
             save_model(trained.model, paths[-1], features)
     return paths
 
 
+def load_ensemble(path: str, members: int) -> list[PipelineModel]:
+    """The members of a saved ensemble, in voting order."""
+    return [load_model(f"{path}/{i}") for i in range(members)]
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

@@ -1,7 +1,8 @@
 """Queries that train, vote, predict, evaluate, and run the pipeline end to end.
 
-Grids are cut to a few points so that a check run stays short; the full default grids are
-``barlight.operators.ml.CLASSIFIERS`` and ``REGRESSORS``. Every model trains on the whole bars table.
+Every model trains on the whole bars table, less the holdout where it is judged. Five folds and every
+model kind take part; the grids here hold two points a kind, since the default ones
+(``barlight.operators.ml.CLASSIFIERS`` and ``REGRESSORS``) are 27 points a task with up to 200 deep trees.
 """
 
 from __future__ import annotations
@@ -15,25 +16,31 @@ from barlight.operators.evaluate import top_importances
 from barlight.operators.indicators import technical_indicators
 from barlight.operators.splits import holdout
 from barlight.plans import compose as pl
+from barlight.session import settle
 from catalog.articles import _TOKENS, length_scorer
 from catalog.base import *  # noqa: F403
 from catalog.evaluation import BACKTEST, _auc_sql
 
 COLUMNS = ["momentum_5", "momentum_10", "price_ma_5_ratio", "price_ma_20_ratio", "volatility_10", "rsi_14", "bb_position"]
+SMALL_FOREST = {"trees": [10], "depth": [5, 10], "min_leaf": [3]}
+SMALL_BOOST = {"rounds": [5], "depth": [2, 3], "rate": [0.1]}
 SMALL_CLASSIFIERS = {
-    "logreg": ml.CLASSIFIERS["logreg"]._replace(grid={"C": [0.1, 1.0]}),
-    "rf": ml.CLASSIFIERS["rf"]._replace(grid={"trees": [10], "depth": [5], "min_leaf": [1]}),
+    "logreg": ml.CLASSIFIERS["logreg"],
+    "rf": ml.CLASSIFIERS["rf"]._replace(grid=SMALL_FOREST),
+    "xgb": ml.CLASSIFIERS["xgb"]._replace(grid=SMALL_BOOST),
 }
 SMALL_REGRESSORS = {
-    "ridge": ml.REGRESSORS["ridge"]._replace(grid={"alpha": [0.1, 1.0]}),
-    "rfr": ml.REGRESSORS["rfr"]._replace(grid={"trees": [10], "depth": [5], "min_leaf": [1]}),
+    "ridge": ml.REGRESSORS["ridge"],
+    "rfr": ml.REGRESSORS["rfr"]._replace(grid=SMALL_FOREST),
+    "xgbr": ml.REGRESSORS["xgbr"]._replace(grid=SMALL_BOOST),
 }
 LOGREG, FOREST = ml.CLASSIFIERS["logreg"], ml.CLASSIFIERS["rf"]
 FOREST_POINT = {"trees": 10, "depth": 5, "min_leaf": 1}
+HELD_ROWS = 250
 
 
 def model_frame(spark, sf):
-    return technical_indicators(add_targets(with_returns(bars(spark, sf))))
+    return settle(technical_indicators(add_targets(with_returns(bars(spark, sf)))))
 
 
 def _results(spark, trained):
@@ -47,32 +54,38 @@ def _results(spark, trained):
 
 @query("train_classifiers")
 def train_classifiers(spark, sf):
-    return _results(spark, ml.train_classifiers(model_frame(spark, sf), COLUMNS, models_config=SMALL_CLASSIFIERS, n_splits=3))
+    return _results(spark, ml.train_classifiers(model_frame(spark, sf), COLUMNS, models_config=SMALL_CLASSIFIERS))
 
 
 @query("train_regressors")
 def train_regressors(spark, sf):
-    return _results(spark, ml.train_regressors(model_frame(spark, sf), COLUMNS, models_config=SMALL_REGRESSORS, n_splits=3))
+    return _results(spark, ml.train_regressors(model_frame(spark, sf), COLUMNS, models_config=SMALL_REGRESSORS))
 
 
-def _fit(spark, sf, spec=FOREST, params=FOREST_POINT):
+def _fit(spark, sf, spec=FOREST, params=FOREST_POINT, label="target_dir_1d"):
+    """The frame, and a model of the rows before each ticker's holdout."""
     frame = model_frame(spark, sf)
-    data = ml.assemble(frame, COLUMNS, "target_dir_1d")
-    return frame, spec.build(params, 10_000).fit(data)
+    seen = holdout(frame.filter(F.col(label).isNotNull()), HELD_ROWS).filter("not is_holdout")
+    return frame, ml.fit_rows(seen, COLUMNS, label, spec, params)
 
 
 @query("vote")
 def vote(spark, sf):
-    data = ml.assemble(model_frame(spark, sf), COLUMNS, "target_dir_1d")
-    models = [FOREST.build(FOREST_POINT, 1).fit(data), LOGREG.build({"C": 1.0}, 10_000).fit(data)]
-    return ml.vote_classifiers(data, models).select("ticker", "date", "prob_up", "vote")
+    """Soft vote of two classifiers on the holdout, whose rows neither has seen."""
+    frame, forest = _fit(spark, sf)
+    split = holdout(frame, HELD_ROWS)
+    logreg = ml.fit_rows(split.filter("not is_holdout"), COLUMNS, "target_dir_1d", LOGREG, {"C": 1.0})
+    data = ml.assemble(split.filter("is_holdout"), COLUMNS, "target_dir_1d")
+    return ml.vote_classifiers(data, [forest, logreg]).select("ticker", "date", "prob_up", "vote")
 
 
 @query("predict_requests")
 def predict_requests(spark, sf):
+    """Requests for the days and flags of all orders, answered by a model of the rows before the holdout."""
     frame, model = _fit(spark, sf)
-    days = table(spark, sf, "orders", "o_orderdate").select(F.to_date("o_orderdate").alias("target_date")).distinct()
-    requests = days.select(F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("ticker"), "target_date")
+    ordered = table(spark, sf, "orders", "o_orderkey", "o_orderdate").withColumnRenamed("o_orderkey", "l_orderkey")
+    sold = table(spark, sf, "lineitem", "l_orderkey", "l_returnflag").join(ordered, "l_orderkey")
+    requests = sold.select(F.col("l_returnflag").alias("ticker"), F.to_date("o_orderdate").alias("target_date")).distinct()
     return pl.score_requests(frame, requests, model, COLUMNS)
 
 
@@ -85,22 +98,35 @@ def feature_importance(spark, sf):
 @query("out_of_fold_backtest")
 def out_of_fold_backtest(spark, sf):
     """Backtest on probabilities of models that saw earlier bars only."""
-    scored = ml.out_of_fold(model_frame(spark, sf), COLUMNS, "target_dir_1d", LOGREG, {"C": 1.0}, n_splits=3)
+    scored = ml.out_of_fold(model_frame(spark, sf), COLUMNS, "target_dir_1d", LOGREG, {"C": 1.0})
     return backtest_metrics(run_backtest(scored.select("ticker", "date", "return", "prob_up"), threshold=0.5))
 
 
+def _long(tables):
+    """Evaluation tables below one another: table, ticker, the other columns as a JSON object."""
+    rows = None
+    for name, t in tables.items():
+        ticker = F.col("ticker") if "ticker" in t.columns else F.lit(None).cast("string")
+        values = F.to_json(F.struct(*[c for c in t.columns if c != "ticker"]))
+        part = t.select(F.lit(name).alias("table"), ticker.alias("ticker"), values.alias("values"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query("eval_classifier")
 def eval_classifier(spark, sf):
+    """All tables on the holdout, by a model of the rows before it."""
     frame, model = _fit(spark, sf)
-    return pl.evaluate_classifier(model, frame, COLUMNS, rows=250)["report"]
+    tables = pl.evaluate_classifier(model, frame, COLUMNS, rows=HELD_ROWS)
+    keep = ["ticker", "date", "label", "prediction", "rolling_accuracy"]
+    return _long(tables | {"rolling_accuracy": tables["rolling_accuracy"].select(*keep)})
 
 
 @query("eval_regressor")
 def eval_regressor(spark, sf):
-    frame = model_frame(spark, sf)
-    spec = ml.REGRESSORS["ridge"]
-    model = spec.build({"alpha": 1.0}, 10_000).fit(ml.assemble(frame, COLUMNS, "target_return_1d"))
-    return pl.evaluate_regressor(model, frame, COLUMNS, rows=250)["metrics"]
+    frame, model = _fit(spark, sf, ml.REGRESSORS["ridge"], {"alpha": 1.0}, "target_return_1d")
+    tables = pl.evaluate_regressor(model, frame, COLUMNS, rows=HELD_ROWS)
+    return _long(tables | {"residuals": tables["residuals"].select("ticker", "date", "label", "prediction", "residual")})
 
 
 @query(
