@@ -392,3 +392,27 @@ def score_cache(spark, sf):
     cache = cache.withColumns({"label": F.lit("cached"), "score": F.lit(0.25)})
     scores, _ = sm.score_with_cache(docs, cache, length_scorer)
     return scores.select("text_hash", "label", "score")
+
+
+@query("lexicon_duplicates", sql_rounded(ctes(LEXICON, _TOKENS), "SELECT * FROM lx", "text_hash, valence_tenths, label", "score"))
+def lexicon_duplicates(spark, sf):
+    """A word listed again, with a smaller valence, changes nothing."""
+    words = lexicon(spark)
+    out = sm.lexicon_scores(table(spark, sf, "documents", "text"), words.union(words.select("word", F.col("tenths") - 1)))
+    return pick(out, "text_hash, valence_tenths, label", "score")
+
+
+@query(
+    "score_cache_duplicates",
+    f"""WITH c AS (SELECT DISTINCT sha256(text) AS text_hash FROM documents JOIN labels USING (doc_id))
+    SELECT doc_id, CASE WHEN c.text_hash IS NOT NULL THEN 'cached' ELSE {_STUB.format('text')} END AS label,
+    CASE WHEN c.text_hash IS NOT NULL THEN 0.25 ELSE {_STUB_SCORE.format('text')} END AS sent_score FROM documents LEFT JOIN c ON c.text_hash = sha256(text)""",
+)
+def score_cache_duplicates(spark, sf):
+    """A cache with every row twice still gives each article one score."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    known = sm.with_text_key(docs.join(table(spark, sf, "labels", "doc_id"), "doc_id", "left_semi"))
+    cache = known.groupBy("text_hash").agg(F.first("text").alias("text"))
+    cache = cache.withColumns({"label": F.lit("cached"), "score": F.lit(0.25)})
+    scores, _ = sm.score_with_cache(docs, cache.union(cache), length_scorer)
+    return sm.attach_scores(docs, scores).select("doc_id", "label", "sent_score")

@@ -114,6 +114,24 @@ def roc_auc(spark, sf):
     return rounded(ev.roc_auc(preds(spark, sf)), 8)
 
 
+_SOME = "kept AS (SELECT * FROM preds WHERE rn % 5 <> 0)"
+
+
+def _some_missing(df):
+    """Every fifth probability missing, in turn null and NaN."""
+    gap = F.when(F.col("rn") % 10 == 0, F.lit(None)).otherwise(F.lit(float("nan")))
+    return df.withColumn("prob_up", F.when(F.col("rn") % 5 == 0, gap).otherwise(F.col("prob_up")))
+
+
+@query("roc_auc_missing", sql_rounded(ctes(BARS, PREDS, _SOME), f"SELECT a.ticker || k.kind AS ticker, auc FROM ({_auc_sql('ticker').replace('FROM preds', 'FROM kept')}) a, (VALUES ('/day'), ('/time')) k(kind)", "ticker", "auc", 8))
+def roc_auc_missing(spark, sf):
+    """Rows without a probability take no part, by day and by timestamp alike."""
+    p = _some_missing(preds(spark, sf))
+    timed = p.withColumn("date", F.col("date").cast("timestamp"))
+    out = [ev.roc_auc(d).withColumn("ticker", F.concat("ticker", F.lit(kind))) for kind, d in (("/day", p), ("/time", timed))]
+    return rounded(out[0].unionByName(out[1]), 8)
+
+
 @query("roc_auc_pooled", sql_rounded(ctes(MINUTES, _IPREDS), _auc_sql(""), "", "auc", 8))
 def roc_auc_pooled(spark, sf):
     """One AUC over the rows of every ticker."""

@@ -118,7 +118,8 @@ def test_both_lanes_agree_on_whole_operators(ticks):
     pd.testing.assert_frame_equal(a[cols], b[cols], rtol=1e-9)
     ma, mb = (backtest_metrics(run_backtest(x)).toPandas().sort_values("ticker").reset_index(drop=True) for x in (ticks, daily_copy(ticks)))
     pd.testing.assert_frame_equal(ma, mb, rtol=1e-9)
-    fa, fb = frame(expanding_folds(ticks)), frame(expanding_folds(daily_copy(ticks)))
+    one = ticks.filter("ticker = 'MID'")
+    fa, fb = frame(expanding_folds(one)), frame(expanding_folds(daily_copy(one)))
     assert fa["fold"].tolist() == fb["fold"].tolist()
     ha, hb = frame(holdout(ticks, 7)), frame(holdout(daily_copy(ticks), 7))
     assert ha["is_holdout"].tolist() == hb["is_holdout"].tolist()

@@ -41,7 +41,10 @@ def test_classifiers(rows, tmp_path):
     assert out["logreg"].best_score > 0.9 and len(out["logreg"].cv_results) == 3
     assert 0.8 < out["ensemble"].best_score <= 1.0 and len(out["ensemble"].model) == 3
     paths = st.save_results(out, str(tmp_path), "clf", COLUMNS)
-    assert [p.rsplit("/", 1)[1] for p in paths] == ["clf_logreg", "clf_rf", "clf_xgb"]
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["clf_logreg", "clf_rf", "clf_xgb", "clf_ensemble"]
+    data = ml.assemble(rows, COLUMNS, "target_dir_1d")
+    saved, kept = (ml.vote_classifiers(data, m).select("ticker", "date", "prob_up") for m in (st.load_ensemble(paths[-1], 3), out["ensemble"].model))
+    assert saved.exceptAll(kept).isEmpty()
     assert st.load_first_model([f"{tmp_path}/clf_rf", paths[0]])[0].endswith("clf_rf")
     again = ml.train_classifiers(rows, COLUMNS, models_config={"rf": config["rf"]}, n_splits=3)
     assert again["rf"].best_score == out["rf"].best_score and "ensemble" not in again
