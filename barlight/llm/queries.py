@@ -55,7 +55,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
 
 
-@query("op4_ngram_join")
+@query(
+    "op4_ngram_join",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM w WHERE len(w) > 0) x),
+    n AS (SELECT w.doc_id, count(s.s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+    both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT b, c FROM r JOIN both_ways ON a = r.doc_id)
+    SELECT n.doc_id, n.n AS n_shingles, (SELECT min(c) FROM r WHERE r.doc_id = n.doc_id) AS component_id,
+      (SELECT count(*) FROM both_ways WHERE a = n.doc_id) AS n_links FROM n""",
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.join_ngrams(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
@@ -97,6 +108,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0, k=10)
 
 
-@query("op10_suffix_dedup")
+@query(
+    "op10_suffix_dedup",
+    """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, n - 50)) AS i FROM d WHERE n >= 50) x),
+    f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY 1),
+    g AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER o + 50 THEN 1 ELSE 0 END AS new FROM w JOIN f USING (s) WHERE doc_id > first WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) t GROUP BY doc_id, k),
+    k AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low, a AS high FROM r
+      UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN r USING (doc_id) GROUP BY 1),
+    t AS (SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low, high) AS kept FROM k JOIN d USING (doc_id) GROUP BY 1),
+    c AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM r GROUP BY 1)
+    SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM d JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)""",
+)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents", "doc_id", "text"))
