@@ -13,6 +13,7 @@ from barlight.operators.layout import KEY, Lane, fill_forward, lay_out
 from barlight.operators.rolling import roll_mean, roll_sum
 from barlight.schemas import COUNT_COLUMNS, ensure
 
+# Columns that lag, average and sum, and the targets.
 LAG_COLUMNS = ["daily_mean_sentiment", "sentiment_score", "returns", "volatility"]
 MEAN_COLUMNS = [*LAG_COLUMNS, "news_count"]
 SUM_COLUMNS = [*COUNT_COLUMNS, "news_count"]
@@ -82,6 +83,7 @@ def fill_clean(df: DataFrame, columns: list[str] | None = None, order: str = "da
     return filled.withColumns({c: settled(c) for c in columns})
 
 
+# Lags and windows of the comprehensive set.
 FULL_LAGS = [1, 3, 7, 14]
 FULL_ROLLS = [5, 10, 20]
 

@@ -643,3 +643,42 @@ def stage_roundtrip_text(spark, sf):
     path = f"{shared_folder(spark)}/stage_{uuid.uuid4().hex}"
     st.write_stage(d, path)
     return st.read_stage(spark, path, d.schema)
+
+
+def _folder(spark):
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+
+_OHLCV = "open, high, low, close, volume"
+
+
+@query("bars_table", sql_rounded(ctes(BARS), "SELECT * FROM bars WHERE ticker = 'R' AND date >= DATE '1993-01-01' AND date < DATE '1995-06-01'", "ticker, date", _OHLCV, 8))
+def bars_table(spark, sf):
+    """Bars through their table, then one ticker and period of it."""
+    path = _folder(spark)
+    sb.write_bars(bars(spark, sf), path)
+    return pick(sb.read_bars(spark, path, "r", "1993-01-01", "1995-06-01"), "ticker, date", _OHLCV, 8)
+
+
+@query("features_of_ticker", sql_rounded(ctes(BARS), "SELECT * FROM bars WHERE ticker = 'N'", "ticker, date", _OHLCV, 8))
+def features_of_ticker(spark, sf):
+    path = _folder(spark)
+    b = bars(spark, sf)
+    st.write_features(b.withColumn("ticker", F.lower("ticker")), path)
+    return pick(st.read_features(spark, path, "n", b.schema), "ticker, date", _OHLCV, 8)
+
+
+@query("news_table", f"{ctes(NEWS)} SELECT doc_id, ticker, source, title, text, url FROM news")
+def news_table(spark, sf):
+    """Articles through the table that is split by source and ticker."""
+    path = _folder(spark)
+    n = news(spark, sf)
+    st.write_news(n, path)
+    return spark.read.schema(n.schema).parquet(path).select("doc_id", "ticker", "source", "title", "text", "url")
+
+
+@query("aligned_columns", sql_rounded(ctes(BARS), "SELECT ticker, date, coalesce(close, 0) AS close, CAST(0 AS DOUBLE) AS unseen, CASE WHEN volume > 40 THEN 0 ELSE volume END AS volume FROM bars", "ticker, date", "close, unseen, volume", 8))
+def aligned_columns(spark, sf):
+    """Trained names first: an absent column and missing values as 0."""
+    b = bars(spark, sf).withColumn("volume", F.when(F.col("volume") <= 40, F.col("volume")))
+    return pick(ft.align_columns(b, ["close", "unseen", "volume"]), "ticker, date", "close, unseen, volume", 8)
