@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlight.functions.numeric import flag
-from barlight.operators.layout import KEY, is_intraday, lay_out, running
+from barlight.operators.layout import KEY, lay_out, running
 from barlight.schemas import require
-from barlight.session import settle
 
 TRADING_DAYS = 252
 
@@ -38,15 +37,13 @@ def equity_curves(positioned: DataFrame, order: str = "date") -> DataFrame:
 
     A bar without a return has no equity of its own and leaves the curve unchanged after it.
     """
-    if is_intraday(positioned, order):
-        positioned = settle(positioned)
     growth = {
         "equity": ("product", 1.0 + F.col("strategy_return")),
         "buy_hold": ("product", 1.0 + F.coalesce(F.col("return"), F.lit(0.0))),
     }
     out = running(positioned, growth, order)
     out = out.withColumn("equity", F.when(F.col("strategy_return").isNotNull(), F.col("equity")))
-    out = running(out, {"peak": ("max", "equity")}, order)
+    out = running(out, {"peak": ("max", "equity")}, order, again=True)
     return out.withColumn("drawdown", F.col("equity") / F.col("peak") - 1.0)
 
 

@@ -115,15 +115,20 @@ _FOLDS: dict[str, tuple[Callable[[Column], Column], Callable[[Column, Column], C
 }
 
 
-def running(df: DataFrame, specs: dict[str, tuple[str, Column | str]], order: str = "date") -> DataFrame:
-    """Running aggregates from the series start: ``{output: (fold, input)}``, fold in product, max, last."""
+def running(df: DataFrame, specs: dict[str, tuple[str, Column | str]], order: str = "date", again: bool = False) -> DataFrame:
+    """Running aggregates from the series start: ``{output: (fold, input)}``, fold in product, max, last.
+
+    An intraday frame is read twice, so it is stored first; ``again`` says that it comes straight from a
+    stored one and is cheaper to work out twice than to write.
+    """
     exprs = {out: (fold, F.col(c) if isinstance(c, str) else c) for out, (fold, c) in specs.items()}
     start = W.unboundedPreceding
     if not is_intraday(df, order):
         w = W.partitionBy(KEY).orderBy(order).rowsBetween(start, 0)
         return df.withColumns({out: _FOLDS[fold][0](c).over(w) for out, (fold, c) in exprs.items()})
     inputs = {f"_in_{out}": c for out, (_, c) in exprs.items()}
-    df = settle(df.withColumns({_DAY: F.to_date(order), **inputs}))
+    df = df.withColumns({_DAY: F.to_date(order), **inputs})
+    df = df if again else settle(df)
 
     def fold_day(out: str, fold: str) -> Column:
         c = F.col(f"_in_{out}")

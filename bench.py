@@ -6,6 +6,7 @@ built anew and written to the no-op sink three times; the median counts.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import statistics
@@ -26,8 +27,10 @@ from barlight.operators import news as nw  # noqa: E402
 from barlight.operators import sentiment as sm  # noqa: E402
 from barlight.operators.backtest import backtest_metrics, run_backtest  # noqa: E402
 from barlight.operators.evaluate import roc_auc  # noqa: E402
-from barlight.session import get_session  # noqa: E402
-from catalog import base  # noqa: E402
+from barlight.session import get_session, settle  # noqa: E402
+from catalog import articles, base  # noqa: E402, F401
+from catalog.base import REGISTRY  # noqa: E402
+from catalog.evaluation import intraday_preds  # noqa: E402
 
 RUNS = 3
 
@@ -44,6 +47,12 @@ def supplier_preds(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("ticker", "date", "return", prob.alias("prob_up"), up.alias("label"))
 
 
+@functools.cache
+def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Finished bars, so that an operator is timed without the bars being built."""
+    return settle(supplier_bars(spark, sf))
+
+
 HEADLINE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_targets": lambda s, d: dl.merge_with_stock(base.ebars(s, d), dl.daily_sentiment(base.sent(s, d))),
     "daily_sentiment": lambda s, d: dl.daily_sentiment(base.sent(s, d)),
@@ -53,6 +62,10 @@ HEADLINE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backtest_metrics": lambda s, d: backtest_metrics(run_backtest(supplier_preds(s, d))),
     "roc_auc": lambda s, d: roc_auc(supplier_preds(s, d)),
     "news_dedupe": lambda s, d: nw.dedupe_canonical(base.news(s, d)),
+    "tech_full_stored": lambda s, d: ind.technical_indicators(stored_bars(s, d)),
+    "ewm_macd_stored": lambda s, d: ind.macd(stored_bars(s, d)),
+    "backtest_intraday": lambda s, d: run_backtest(intraday_preds(s, d)),
+    "feed_newsapi": lambda s, d: REGISTRY["feed_newsapi"][0](s, d),
     "lexicon_sentiment": lambda s, d: sm.lexicon_scores(base.table(s, d, "documents", "text"), base.lexicon(s)),
 }
 
