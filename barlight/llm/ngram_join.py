@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, stored, texts
+from barlight.llm.common import bounded_batches, cut, stored, stretches, texts
 from barlight.llm.components import components
 
 WORDS = 5
-ZONE = 0.3  # share of the hash space whose shingles every document posts
+ZONE = 0.5  # share of the hash space whose shingles every document posts
 RARE = 8  # distinct texts up to which a posted shingle is rare
 BUCKET = 1 << 17  # postings a bucket holds about
-BLOCK = 256  # texts compared at once
+BLOCK = 512  # texts compared at once
 _CACHED_WORDS = 500_000
 _STEP = 1.26  # sizes of linked sets differ by a factor of 1.25 at most, so by one level at most
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -29,35 +29,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingles:
-    """Sorted distinct 64-bit shingle hashes of texts."""
+class _Words(dict):
+    """Hash of a word, kept while the table is small."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def of(self, text: str) -> np.ndarray:
         import xxhash
 
-        words = text.encode("utf-8", "replace").lower().split()  # bytes: only A-Z change, only ASCII blanks split
+        super().__init__()
+        self.digest = xxhash.xxh3_64_intdigest
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _CACHED_WORDS:
+            self.clear()
+        h = self[word] = self.digest(word)
+        return h
+
+
+class Shingles:
+    """Sorted distinct 64-bit shingle hashes of texts, given as UTF-8."""
+
+    def __init__(self) -> None:
+        self.known = _Words()
+
+    def of(self, text: bytes) -> np.ndarray:
+        words = text.lower().split()  # bytes: only A-Z change, only ASCII blanks split
         if not words:
             return np.empty(0, np.uint64)
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        try:
-            h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         size = min(WORDS, len(words))
         n = len(words) - size + 1
         out = np.full(n, size, np.uint64)
         for k in range(size):
             out = (out + h[k : k + n]) * _ODD
             out ^= out >> np.uint64(32)
-        return np.unique(_mix(out))
+        out = _mix(out)
+        out.sort()
+        return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def level(n: int) -> int:
@@ -90,10 +97,14 @@ def _key(s: np.ndarray) -> int:
     return k - (1 << 64) if k >> 63 else k
 
 
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingles = Shingles()
     for batch in batches:
-        sets = [shingles.of(t) for t in batch.column("text").to_pylist()]
+        sets = [shingles.of(t) for t in _texts(batch)]
         n = pa.array([len(s) for s in sets], pa.int64())
         z = pa.array([posted(s) for s in sets], pa.int64())
         keys = pa.array([_key(s) if len(s) else None for s in sets], pa.int64())
@@ -101,7 +112,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(buckets: int):
-    """mapInArrow function: the posted shingles of many documents, packed by bucket: (token, key, size code) arrays."""
+    """mapInArrow function: the posted shingles of many documents, packed by bucket: 48 bits of token, key, and size code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -115,24 +126,24 @@ def _postings(buckets: int):
             sizes = [len(t) for t in tokens]
             t = np.concatenate(tokens)
             k = np.repeat(np.array(keys, np.int64), sizes)
-            c = np.repeat(np.array(codes, np.uint16), sizes)
-            b = ((t * _ODD) >> np.uint64(24)) % np.uint64(buckets)
+            c = np.repeat(np.array(codes, np.uint8), sizes)
+            t = _mix(t * _ODD)  # 48 bits besides the bucket tell shingles apart
+            b = (t >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16) if buckets <= 1 << 16 else (t >> np.uint64(16)) % np.uint64(buckets)
             order = np.argsort(b, kind="stable")
             t, k, c, b = t[order], k[order], c[order], b[order]
-            own, start = np.unique(b, return_index=True)
-            ends = np.append(start[1:], len(b))
-            cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(start, ends, strict=True)], pa.binary())
+            own, start, ends = stretches(b)
             tokens.clear(), keys.clear(), codes.clear()
             held = 0
-            return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), cut(t), cut(k), cut(c)], names=["bucket", "t", "k", "c"])
+            low, high = t.astype(np.uint32), (t >> np.uint64(32)).astype(np.uint16)
+            return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *(cut(x, start, ends) for x in (low, high, k, c))], names=["bucket", "low", "high", "k", "c"])
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
+            for text in _texts(batch):
                 s = shingles.of(text)
                 if len(s):
                     tokens.append(s[: posted(s)])
                     keys.append(_key(s))
-                    codes.append(int(8 * math.log(len(s)) / math.log(1.25)))
+                    codes.append(int(2 * math.log(len(s)) / math.log(1.25)))
                     held += len(tokens[-1])
                     if held >= 1 << 21:
                         yield flush()
@@ -145,7 +156,8 @@ def _postings(buckets: int):
 def _meet(table: pa.Table) -> pa.Table:
     """Of one bucket: pairs of texts that share rare shingles, with their number, and the frequent shingles of each text."""
     join = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
-    t, k, c = join("t", np.uint64), join("k", np.int64), join("c", np.uint16)
+    t = join("low", np.uint32) | (join("high", np.uint16).astype(np.uint64) << np.uint64(32))
+    k, c = join("k", np.int64), join("c", np.uint8)
     order = np.lexsort((k, t))
     t, k, c = t[order], k[order], c[order]
     fresh = np.ones(len(t), bool)
@@ -157,7 +169,7 @@ def _meet(table: pa.Table) -> pa.Table:
     for step in range(1, RARE):
         for first in range(RARE - step):
             at = start[(size <= RARE) & (size > first + step)] + first
-            near = np.abs(c[at] - c[at + step]) <= 9
+            near = np.abs(c[at] - c[at + step]) <= 3
             left.append(k[at[near]])
             right.append(k[at[near] + step])
     a, b = np.concatenate(left), np.concatenate(right)
@@ -169,11 +181,11 @@ def _meet(table: pa.Table) -> pa.Table:
     else:
         shared = np.empty(0, np.int64)
     often = np.repeat(size > RARE, size)
-    ft, fk = t[often], k[often]
+    tier = np.repeat(np.log2(size).astype(np.uint64), size)
+    ft, fk = (t | tier << np.uint64(48))[often], k[often]
     order = np.argsort(fk, kind="stable")
     ft, fk = ft[order], fk[order]
-    own, at = np.unique(fk, return_index=True)
-    ends = np.append(at[1:], len(fk))
+    own, at, ends = stretches(fk)
     blobs = [ft[i:j].tobytes() for i, j in zip(at, ends, strict=True)]
     return pa.table(
         {
@@ -186,11 +198,13 @@ def _meet(table: pa.Table) -> pa.Table:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For texts short of rare shingles: pairs of frequent ones of one class, for their own level and the next."""
+    """For texts short of rare shingles: pairs of the frequent ones in their prefix of one class, for their own level and the next."""
     for batch in batches:
         keys, sigs = [], []
-        for key, n, blobs in zip(*(batch.column(x).to_pylist() for x in ("key", "n", "ts")), strict=True):
+        for key, n, r, blobs in zip(*(batch.column(x).to_pylist() for x in ("key", "n", "r", "ts")), strict=True):
             t = np.concatenate([np.frombuffer(x, np.uint64) for x in blobs])
+            t.sort()  # by tier, the most frequent last
+            t = t[: prefix(n) - r]
             for at in (level(n), level(n) + 1):
                 kind = _mix(t + np.uint64(at)) % np.uint64(classes(at))
                 order = np.lexsort((t, kind))
@@ -210,7 +224,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingles = Shingles()
     for batch in batches:
-        blobs = pa.array([shingles.of(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
+        blobs = pa.array([shingles.of(t).tobytes() for t in _texts(batch)], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("cluster"), batch.column("copies"), batch.column("blocks"), blobs], names=["key", "cluster", "copies", "blocks", "s"])
 
 
@@ -276,12 +290,12 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     links reach. Rows with equal sets are linked. Null texts count as empty, null ids take no part in the smallest id.
 
     1. Rows of one set become one text by a hash of the set (64 bits; sets are compared by 64-bit shingle hashes).
-    2. Each text posts the shingles of the lowest 30 % of hash space, and at least its extended prefix. Postings are packed by
-       hash bucket. A shingle that more than ``RARE`` texts post is frequent. The global order is: rare posted, frequent
-       posted, the rest, by hash; two linked sets share 1 + extension shingles in their prefixes under it.
+    2. Each text posts the shingles of the lower half of hash space, and at least its extended prefix. Postings are packed by
+       hash bucket. A shingle that more than ``RARE`` texts post is frequent. The global order is: rare ones of that half,
+       its frequent ones by frequency, the rest; two linked sets share 1 + extension shingles in their prefixes under it.
     3. Rare shingles are indexed alone. If one of the texts has a whole prefix of rare ones, a linked pair shares at least
-       1 + extension of those, so pairs with fewer drop out. Texts short of rare shingles also index pairs of frequent ones:
-       frequent shingles are dealt into as many classes as the extension, so two of those shared are of one class, and the
+       1 + extension of those, so pairs with fewer drop out. Texts short of rare shingles also index pairs of the frequent ones in their
+       prefix: these are dealt into as many classes as the extension, so two of those shared are of one class, and the
        number of pairs stays in proportion to the text.
     4. Candidates form clusters: a star for each combination, never all pairs of it. A cluster is verified whole, by products
        of incidence matrices; one of more than ``BLOCK`` texts in pairs of blocks, each a task of its own.
@@ -293,12 +307,12 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     docs = stored(rows.mapInArrow(_documents, "uid long, doc_id long, key long, n long, z long"))
     distinct = stored(docs.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.min("uid").alias("uid"), F.max("n").alias("n"), F.max("z").alias("z"), F.count("*").alias("copies")))
     buckets = max(1, -(-(distinct.agg(F.sum("z")).first()[0] or 0) // BUCKET))
-    packed = rows.select("text").mapInArrow(_postings(buckets), "bucket int, t binary, k binary, c binary")
+    packed = rows.select("text").mapInArrow(_postings(buckets), "bucket int, low binary, high binary, k binary, c binary")
     met = stored(packed.groupBy("bucket").applyInArrow(_meet, "a long, b long, shared long, t binary"))
 
     frequent = met.filter("t is not null").groupBy(F.col("a").alias("key")).agg(F.sum("shared").alias("f"), F.collect_list("t").alias("ts"))
     short = stored(distinct.join(frequent, "key").select("key", "n", "ts", (F.col("z") - F.col("f")).alias("r")).filter(F.col("r") < _prefix_column("n")))
-    sigs = stored(short.select("key", "n", "ts").mapInArrow(_signatures, "key long, sig long").distinct())
+    sigs = stored(short.select("key", "n", "r", "ts").mapInArrow(_signatures, "key long, sig long").distinct())
     hubs = stored(sigs.groupBy("sig").agg(F.min("key").alias("hub"), F.count("*").alias("m")).filter("m > 1").select("sig", "hub"))
     stars = sigs.join(hubs, "sig").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
