@@ -19,11 +19,23 @@ UNITS = (
     "mm", "month", "months", "mph", "ounce", "ounces", "oz", "percent", "pound", "pounds", "s", "sec", "second", "seconds", "ton", "tons", "week", "weeks",
     "yard", "yards", "year", "years",
 )
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 400_000
 _WINDOW = "h long, size int, at int, slots array<string>"
 _LITERAL, _NUMBER, _UNIT, _NAME = 0, 1, 2, 3
 
 
+class _Codes(dict):
+    """Number of a word, learned when it is first seen."""
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = self.learn(word)
+        return k
+
+
 class Templates:
     """Template tokens of texts: words in lower case, with numbers, units and names as typed placeholders.
 
@@ -34,50 +46,54 @@ class Templates:
     def __init__(self) -> None:
         import re
 
-        self.strip = re.compile(rb"^[\x00-\x23\x26-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x23\x26-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$").sub
+        import xxhash
+
+        self.marks = bytes(b for b in range(128) if not chr(b).isalnum() and chr(b) not in "$%")
         self.number = re.compile(rb"[0-9][0-9.,]*$").match
+        self.digest = xxhash.xxh3_64_intdigest
         self.units = {u.encode() for u in UNITS}
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = _Codes(self._learn)
         self.core: list[bytes] = []
-        self.hash: list[int] = []
-        self.flags: list[tuple[int, bool, bool]] = []  # type, may be a name, ends a sentence
+        # by word: hash, type (-1: no token), may be a name, ends a sentence
+        self.hash, self.kind = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.int8)
+        self.name, self.ends = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
 
     def _learn(self, word: bytes) -> int:
-        import xxhash
-
-        core = self.strip(b"", word)
-        lower = core.decode("utf-8", "replace").lower().encode()
-        kind = _NUMBER if self.number(core) else _UNIT if lower in self.units else _LITERAL
-        shown = core.decode("utf-8", "replace")
-        name = kind == _LITERAL and shown[:1].isupper() and not (len(shown) > 1 and shown.isupper())
-        k = self.index[word] = len(self.core)
+        core = word.strip(self.marks)
+        shown = core if core.isascii() else core.decode("utf-8", "replace")
+        lower = shown.lower() if shown is core else shown.lower().encode()
+        kind = _NUMBER if core[:1].isdigit() and self.number(core) else _UNIT if lower in self.units else _LITERAL
+        k = len(self.core)
+        if k == len(self.hash):  # one text of very many words
+            self.hash, self.kind, self.name, self.ends = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.kind, self.name, self.ends))
         self.core.append(lower)
-        self.hash.append(xxhash.xxh3_64_intdigest((b"w" + lower) if kind == _LITERAL else b"slot%d" % kind))
-        self.flags.append((kind if core else -1, name, word[-1:] in b".!?:"))
+        self.hash[k] = self.digest(b"w" + lower if kind == _LITERAL else b"slot%d" % kind)
+        self.kind[k] = kind if core else -1
+        self.name[k] = kind == _LITERAL and shown[:1].isupper() and not (len(shown) > 1 and shown.isupper())
+        self.ends[k] = word[-1:] in b".!?:"
         return k
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, type, word) of every token; ``word`` indexes ``core``."""
-        if len(self.index) > _CACHED_WORDS:
+        if len(self.core) > _CACHED_WORDS:
             self.forget()
-        words = text.encode("utf-8", "replace").split()
-        get, learn = self.index.get, self._learn
-        codes = np.fromiter((k if (k := get(w)) is not None else learn(w) for w in words), np.int64, len(words))
+        words = text.split()
+        codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if not len(codes):
             return np.empty(0, np.uint64), np.empty(0, np.int8), codes
-        seen, back = np.unique(codes, return_inverse=True)
-        flags = np.array([self.flags[k] for k in seen.tolist()], np.int8)[back]
-        hashes = np.array([self.hash[k] for k in seen.tolist()], np.uint64)[back]
-        kind = flags[:, 0].copy()
-        first = np.concatenate([[1], flags[:-1, 2]])
-        name = (flags[:, 1] == 1) & (first == 0)
-        kind[name] = _NAME
-        hashes[name] = np.uint64(0x5DEECE66D1234567)
-        real = kind >= 0
-        return hashes[real], kind[real], codes[real]
+        hashes, kind, name = self.hash[codes], self.kind[codes], self.name[codes]
+        name[0] = False
+        name[1:] &= ~self.ends[codes[:-1]]
+        if name.any():
+            kind[name] = _NAME
+            hashes[name] = np.uint64(0x5DEECE66D1234567)
+        if kind.min() < 0:
+            real = kind >= 0
+            return hashes[real], kind[real], codes[real]
+        return hashes, kind, codes
 
     @staticmethod
     def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -100,7 +116,7 @@ def _item_windows(window: int, literal: int):
         templates = Templates()
         for batch in batches:
             rows: list[tuple] = []
-            for item, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for item, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 h, kind, word = templates.tokens(text)
                 size = min(window, len(h))
                 for at, x in enumerate(templates.windows(h, size).view(np.int64).tolist() if size else []):
@@ -125,7 +141,7 @@ def _document_windows(sizes: list[int], wanted: dict[int, np.ndarray] | None):
             bits[size][(keys & mask).astype(np.int64)] = True
         for batch in batches:
             rows: list[tuple] = []
-            for uid, doc, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
+            for uid, doc, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 h, kind, word = templates.tokens(text)
                 for size in sizes:
                     x = templates.windows(h, size)
