@@ -49,7 +49,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.spell(base), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"), scores)
 
 
-@query("op3_line_dedup")
+@query(
+    "op3_line_dedup",
+    """WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    u AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+    x AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM u),
+    g AS (SELECT s.doc_id, s.i AS s, min(e.i) AS e FROM x s JOIN x e ON e.doc_id = s.doc_id AND e.i >= s.i AND e.i < s.i + 40 AND e.c - s.c + length(s.line) + 1 >= 40 GROUP BY 1, 2
+      UNION SELECT e.doc_id, max(s.i), e.i FROM x s JOIN x e ON e.doc_id = s.doc_id AND s.i <= e.i AND s.i > e.i - 40 AND e.c - s.c + length(s.line) + 1 >= 40 GROUP BY 1, 3),
+    t AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY array_to_string(ls[s : e], chr(10)) ORDER BY doc_id, s) AS k FROM g JOIN d USING (doc_id)),
+    gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, e)) AS i FROM t WHERE k > 1),
+    m AS (SELECT u.doc_id, count(gone.i) AS n_removed, coalesce(string_agg(CASE WHEN gone.i IS NULL THEN line END, chr(10) ORDER BY u.i), '') AS text, count(*) AS n_lines
+      FROM u LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.i = u.i GROUP BY 1)
+    SELECT doc_id, n_lines, n_removed, text FROM m""",
+)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
