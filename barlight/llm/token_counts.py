@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlight.llm.common import bounded_batches, stored, texts
 
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 150_000
+_JOINED = 512  # new words encoded by one call
 _SIDE = "array<struct<start: int, end: int, id: int>>"
 
 
@@ -22,42 +25,53 @@ def _small_counts(path: str):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = _tokenizer(path)
         known: dict[bytes, int] = {}
         for batch in batches:
-            counts = []
-            words = [(t or "").encode("utf-8", "surrogatepass").split() for t in batch.column("text").to_pylist()]
+            words = [t.split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
             if len(known) > _CACHED_WORDS:
                 known.clear()
             new = list({w for doc in words for w in doc if w not in known})
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                    known[w] = len(e)
+            for i in range(0, len(new), _JOINED):
+                part = new[i : i + _JOINED]
+                spelled = [w.decode("utf-8", "replace") for w in part]
+                starts = [a for a, _ in tokenizer.encode(" ".join(spelled), add_special_tokens=False).offsets]
+                ends = np.cumsum([len(w) + 1 for w in spelled])
+                known.update(zip(part, np.bincount(np.searchsorted(ends, starts, "right"), minlength=len(part)).tolist(), strict=True))
             counts = [sum(map(known.__getitem__, doc)) for doc in words]
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], names=["uid", "doc_id", "n_bytes", "n"])
 
     return run
 
 
+def _tokenizer(path: str):
+    """The library's tokenizer on one thread; Spark runs the tasks side by side."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def _chunk_sides(path: str, size: int, overlap: int):
     """mapInArrow function: tokens of a chunk, and those of its first and last ``overlap`` characters with their offsets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = _tokenizer(path)
         side = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("id", pa.int32())]))
         for batch in batches:
             n, heads, tails = [], [], []
             for i, text in zip(batch.column("i").to_pylist(), batch.column("piece").to_pylist(), strict=True):
                 e = tokenizer.encode(text, add_special_tokens=False)
-                tokens = [{"start": a, "end": b, "id": k} for (a, b), k in zip(e.offsets, e.ids, strict=True)]
-                n.append(len(tokens))
-                heads.append([t for t in tokens if t["start"] < overlap] if i else [])
-                tails.append([t | {"start": t["start"] - size, "end": t["end"] - size} for t in tokens if t["end"] > size])
+                spans, ids = e.offsets, e.ids
+                head = bisect_left(spans, (overlap, 0)) if i else 0
+                tail = len(spans)
+                while tail and spans[tail - 1][1] > size:
+                    tail -= 1
+                n.append(len(ids))
+                heads.append([{"start": a, "end": b, "id": k} for (a, b), k in zip(spans[:head], ids[:head], strict=True)])
+                tails.append([{"start": a - size, "end": b - size, "id": k} for (a, b), k in zip(spans[tail:], ids[tail:], strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("i"), pa.array(n, pa.int64()), pa.array(heads, side), pa.array(tails, side)], names=["uid", "i", "n", "head", "tail"])
 
     return run
