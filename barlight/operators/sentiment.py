@@ -12,12 +12,16 @@ from pyspark.sql import Window as W
 from barlight.functions.text import as_text, score_label, shorten, signed_score, standard_label, text_key
 from barlight.operators.skew import broadcast_if_small
 
-TOKEN_BREAK = "[^a-z]+"
+TOKEN_BREAK = r"[^\p{L}]+"
 
 # The published normalisation and rule weights of the lexicon method.
 NORM_ALPHA = 15.0
 NEGATION_FACTOR = -0.74
 BOOST_DECAY = {1: 1.0, 2: 0.95, 3: 0.9}
+CAPITALS = 0.733
+EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4
+QUESTION, FEW_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
+BEFORE_CONTRAST, AFTER_CONTRAST = 0.5, 1.5
 
 Scorer = Callable[[list[str]], list[tuple[str, float]]]
 
@@ -58,19 +62,31 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, text: str = "text") ->
     return out.withColumn("label", score_label("score"))
 
 
+def _occurrences(text: str, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(F.col(text), F.lit(mark), F.lit("")))
+
+
 def lexicon_scores_with_rules(
     texts: DataFrame,
     lexicon: DataFrame,
     negations: list[str],
     boosters: dict[str, float],
     text: str = "text",
+    contrast: str | None = None,
+    emphasis: bool = False,
 ) -> DataFrame:
     """Lexicon scores with negation and booster words among the three tokens before a scored word.
 
-    The look-back is a window over the tokens of one distinct text, so its size is that text's length.
+    ``contrast`` (such as "but") halves what comes before its first use and lifts what comes after by half.
+    ``emphasis`` lifts words in capitals, in a text that has others too, and the whole by its marks: up to
+    four '!', two '?' or more. Windows run over the tokens of one distinct text.
     """
     distinct = with_text_key(texts, text).groupBy("text_hash").agg(F.first(as_text(text)).alias("_text"))
-    tokens = distinct.select("text_hash", F.posexplode(F.split(F.lower("_text"), TOKEN_BREAK)).alias("pos", "word"))
+    marks = F.least(_occurrences("_text", "!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION
+    asked = _occurrences("_text", "?")
+    marks += F.when(asked > FEW_QUESTIONS, MANY_QUESTIONS).when(asked > 1, asked * QUESTION).otherwise(0.0)
+    tokens = distinct.select("text_hash", marks.alias("_marks"), F.posexplode(F.split("_text", TOKEN_BREAK)).alias("pos", "_raw"))
+    tokens = tokens.withColumn("word", F.lower("_raw"))
     tokens = tokens.join(broadcast_if_small(_words(lexicon)), "word", "left")
     negates = F.col("word").isin(negations) if negations else F.lit(False)
     weights = F.create_map(*[F.lit(x) for kv in boosters.items() for x in kv]) if boosters else None
@@ -80,9 +96,20 @@ def lexicon_scores_with_rules(
     sign = F.when(F.col("_v") < 0, -1.0).otherwise(1.0)
     lift = sum((F.coalesce(F.lag("_boost", d).over(w), F.lit(0.0)) * f for d, f in BOOST_DECAY.items()), F.lit(0.0))
     negated = F.coalesce(F.max(F.col("_neg").cast("int")).over(w.rowsBetween(-3, -1)), F.lit(0)) == 1
-    value = (F.col("_v") + sign * lift) * F.when(negated, NEGATION_FACTOR).otherwise(1.0)
+    valence = F.col("_v")
+    if emphasis:
+        capital = (F.length("_raw") > 1) & (F.upper("_raw") == F.col("_raw"))
+        words = W.partitionBy("text_hash")
+        capitals, others = F.sum(capital.cast("int")).over(words), F.sum((~capital & (F.col("_raw") != "")).cast("int")).over(words)
+        valence += F.when(capital & (capitals > 0) & (others > 0), sign * CAPITALS).otherwise(0.0)
+    value = (valence + sign * lift) * F.when(negated, NEGATION_FACTOR).otherwise(1.0)
+    if contrast:
+        turn = F.min(F.when(F.col("word") == contrast, F.col("pos"))).over(W.partitionBy("text_hash"))
+        value *= F.when(F.col("pos") < turn, BEFORE_CONTRAST).when(F.col("pos") > turn, AFTER_CONTRAST).otherwise(1.0)
     tokens = tokens.withColumn("_value", F.when(F.col("_v").isNotNull(), value).otherwise(0.0))
-    out = tokens.groupBy("text_hash").agg(F.sum("_value").alias("_total"))
+    out = tokens.groupBy("text_hash").agg(F.sum("_value").alias("_total"), F.first("_marks").alias("_marks"))
+    if emphasis:
+        out = out.withColumn("_total", F.col("_total") + F.signum("_total") * F.col("_marks"))
     out = out.select("text_hash", compound(F.col("_total")).alias("score"))
     return out.withColumn("label", score_label("score"))
 

@@ -321,7 +321,7 @@ def text_prep(spark, sf):
 
 # ---- scoring
 
-_TOKENS = """tok AS (SELECT text_hash, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents) d),
+_TOKENS = """tok AS (SELECT text_hash, unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS word FROM (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents) d),
   val AS (SELECT text_hash, CAST(sum(coalesce(tenths, 0)) AS BIGINT) AS valence_tenths FROM tok LEFT JOIN lexicon USING (word) GROUP BY 1),
   sc AS (SELECT text_hash, valence_tenths, (valence_tenths / 10.0::DOUBLE) / sqrt((valence_tenths / 10.0::DOUBLE) * (valence_tenths / 10.0::DOUBLE) + 15) AS score FROM val),
   lx AS (SELECT text_hash, valence_tenths, score, CASE WHEN score > 0.05 THEN 'positive' WHEN score < -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM sc)"""
@@ -343,7 +343,7 @@ _BOOSTERS = {"and": 0.293, "in": -0.293}
         ctes(
             LEXICON,
             """tok AS (SELECT text_hash, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM (
-              SELECT text_hash, string_split_regex(lower(text), '[^a-z]+') AS w FROM (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents) d) e)""",
+              SELECT text_hash, string_split_regex(lower(text), '[^\\p{L}]+') AS w FROM (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents) d) e)""",
             """b AS (SELECT text_hash, pos, tenths / 10.0::DOUBLE AS v, CASE word WHEN 'and' THEN 0.293 WHEN 'in' THEN -0.293 ELSE 0 END::DOUBLE AS boost,
               CASE WHEN word IN ('not', 'no', 'the') THEN 1 ELSE 0 END AS neg FROM tok LEFT JOIN lexicon USING (word))""",
             """c AS (SELECT text_hash, v, coalesce(lag(boost, 1) OVER w, 0) + 0.95 * coalesce(lag(boost, 2) OVER w, 0) + 0.9 * coalesce(lag(boost, 3) OVER w, 0) AS lift,
@@ -358,6 +358,31 @@ def lexicon_rules_sentiment(spark, sf):
     return pick(out, "text_hash", "score", 5)
 
 
+@query(
+    "lexicon_emphasis_sentiment",
+    sql_rounded(
+        ctes(
+            LEXICON,
+            """tx AS (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents)""",
+            """mk AS (SELECT text_hash, least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE + CASE WHEN q > 3 THEN 0.96 WHEN q > 1 THEN q * 0.18 ELSE 0 END::DOUBLE AS marks
+              FROM (SELECT *, length(text) - length(replace(text, '?', '')) AS q FROM tx) a)""",
+            """tok AS (SELECT text_hash, generate_subscripts(w, 1) AS pos, unnest(w) AS raw FROM (SELECT text_hash, string_split_regex(text, '[^\\p{L}]+') AS w FROM tx) e)""",
+            """b AS (SELECT text_hash, pos, tenths / 10.0::DOUBLE AS v, lower(raw) AS word, length(raw) > 1 AND upper(raw) = raw AS cap, raw <> '' AS real FROM tok LEFT JOIN lexicon ON word = lower(raw))""",
+            """c AS (SELECT *, count(*) FILTER (cap) OVER t AS caps, count(*) FILTER (NOT cap AND real) OVER t AS others, min(pos) FILTER (word = 'that') OVER t AS turn
+              FROM b WINDOW t AS (PARTITION BY text_hash))""",
+            """s AS (SELECT text_hash, sum(CASE WHEN v IS NULL THEN 0 ELSE (v + CASE WHEN cap AND caps > 0 AND others > 0 THEN CASE WHEN v < 0 THEN -0.733 ELSE 0.733 END ELSE 0 END)
+              * CASE WHEN pos < turn THEN 0.5 WHEN pos > turn THEN 1.5 ELSE 1 END END)::DOUBLE AS s FROM c GROUP BY 1)""",
+            """e AS (SELECT text_hash, s + sign(s) * marks AS s FROM s JOIN mk USING (text_hash))""",
+        ),
+        "SELECT text_hash, s / sqrt(s * s + 15) AS score FROM e", "text_hash", "score", 5,
+    ),
+)
+def lexicon_emphasis_sentiment(spark, sf):
+    """Capitals, marks and a contrast word."""
+    out = sm.lexicon_scores_with_rules(table(spark, sf, "documents", "text"), lexicon(spark), [], {}, contrast="that", emphasis=True)
+    return pick(out, "text_hash", "score", 5)
+
+
 def length_scorer():
     """Deterministic stand-in for a model: the class follows the text length."""
     classes = [("NEGATIVE", 0.7), ("label_1", 0.5), ("Positive", 0.7)]
