@@ -99,12 +99,48 @@ def _codes(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((g >> np.uint64(40)) % np.uint64(buckets)) << np.uint64(32)) | (g & np.uint64(0xFFFFFFFF))
 
 
-def _bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+def _raw(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers for the exchange: byte planes, so that equal high bytes lie together, compressed."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+
+
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    import zstandard
+
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _unpacked(table: pa.Table, column: str, kind: type) -> list[np.ndarray]:
+    return [_unpack(x, kind) for x in table.column(column).to_pylist()]
+
+
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for an exchange."""
+    import zstandard
+
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = pa.array([packer.compress(t) for t in _raw(batch)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=batch.schema.names)
+
+
+def _plain(packed: list[bytes]) -> list[bytes]:
+    import zstandard
+
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(t) for t in packed]
 
 
 def _post(buckets: int):
-    """mapInArrow function: anchors of many documents, packed by bucket as 32 hash bits and a row number from ``base`` on."""
+    """mapInArrow function: anchors of many documents, packed by bucket as 32 hash bits (their steps) and a row number from ``base`` on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, count, held = None, 0, 0
@@ -119,9 +155,10 @@ def _post(buckets: int):
             c, r = c[~same], r[~same]
             own, at, ends = stretches(c >> np.uint64(32))
             codes.clear(), rows.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(own.astype(np.int32)), pa.array(np.full(len(own), base), pa.int64()), cut(c.astype(np.uint32), at, ends), cut(r, at, ends)], names=["bucket", "base", "c", "r"]
-            )
+            steps = np.diff(c, prepend=c[:1])
+            steps[at] = c[at]
+            packed = [pa.array([_pack(x[i:j]) for i, j in zip(at, ends, strict=True)], pa.binary()) for x in (steps.astype(np.uint32), r)]
+            return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(np.full(len(own), base), pa.int64()), *packed], names=["bucket", "base", "c", "r"])
 
         for batch in batches:
             uid = batch.column("uid").to_numpy()
@@ -131,7 +168,7 @@ def _post(buckets: int):
                 base, count, held = None, 0, 0
             if base is None and len(uid):
                 base = int(uid[0])
-            for raw, starts, row, _ in _segments([_bytes(t) for t in batch.column("text").to_pylist()]):
+            for raw, starts, row, _ in _segments(_raw(batch)):
                 place, first, _, h = anchors(raw, starts)
                 codes.append(_codes(h, buckets))
                 rows.append(row[np.searchsorted(starts, first)] + count)
@@ -146,9 +183,9 @@ def _post(buckets: int):
 def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket: the anchors that two rows or more have, packed by the rows' base."""
     bases = table.column("base").to_numpy()
-    c = [np.frombuffer(x, np.uint32) for x in table.column("c").to_pylist()]
+    c = [np.cumsum(x, dtype=np.uint32) for x in _unpacked(table, "c", np.uint32)]
     base = np.repeat(bases, [len(x) for x in c])
-    c, r = np.concatenate(c), np.concatenate([np.frombuffer(x, np.uint16) for x in table.column("r").to_pylist()])
+    c, r = np.concatenate(c), np.concatenate(_unpacked(table, "r", np.uint16))
     order = np.argsort(c, kind="stable")
     c, r, base = c[order], r[order], base[order]
     at = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
@@ -160,14 +197,14 @@ def _shared(table: pa.Table) -> pa.Table:
     order = np.argsort(base, kind="stable")
     code, r, base = code[order], r[order], base[order]
     own, at, ends = stretches(base)
-    return pa.table({"base": pa.array(own), "r": cut(r, at, ends), "code": cut(code, at, ends)})
+    packed = {n: pa.array([_pack(x[i:j]) for i, j in zip(at, ends, strict=True)], pa.binary()) for n, x in (("r", r), ("code", code))}
+    return pa.table({"base": pa.array(own)} | packed)
 
 
 def _by_row(table: pa.Table) -> pa.Table:
     """Of one base: the shared anchors of each row, sorted."""
     base = table.column("base")[0].as_py()
-    r = np.concatenate([np.frombuffer(x, np.uint16) for x in table.column("r").to_pylist()])
-    code = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("code").to_pylist()])
+    r, code = np.concatenate(_unpacked(table, "r", np.uint16)), np.concatenate(_unpacked(table, "code", np.uint64))
     order = np.lexsort((code & ~_HOT_BIT, r))
     r, code = r[order], code[order]
     own, at, ends = stretches(r)
@@ -184,7 +221,7 @@ def _packed_spans(uid: np.ndarray, start: np.ndarray, size: np.ndarray, groups:
     order = np.argsort(g, kind="stable")
     uid, start, size, g = uid[order], start[order], size[order], g[order]
     own, at, ends = stretches(g)
-    return [(int(k), uid[i:j].astype(np.int64).tobytes(), start[i:j].astype(np.int64).tobytes(), size[i:j].astype(np.uint8).tobytes()) for k, i, j in zip(own, at, ends, strict=True)]
+    return [(int(k), *(_pack(x[i:j].astype(kind)) for x, kind in ((uid, np.int64), (start, np.int64), (size, np.uint8)))) for k, i, j in zip(own, at, ends, strict=True)]
 
 
 def _runs(buckets: int, groups: int):
@@ -214,7 +251,7 @@ def _runs(buckets: int, groups: int):
             rows: list[tuple] = []
             if again.any():  # every string of the anchor is covered
                 spans = _packed_spans(uid[again], at[again] - lsize[again], lsize[again].astype(np.int64) + size[again], groups)
-                rows += [(-1 - k, len(u) // 8, None, s, None, None, None, None, u, a) for k, u, a, s in spans]
+                rows += [(-1 - k, 0, None, s, None, None, None, None, u, a) for k, u, a, s in spans]
             keep = ~again
             whole, ord_, uid, at, bucket, size, lsize = whole[keep], ord_[keep], uid[keep], at[keep], bucket[keep], size[keep], lsize[keep]
             right, left = whole[:, 4 : 4 + LENGTH], whole[:, 5 + LENGTH : -1]
@@ -229,17 +266,15 @@ def _runs(buckets: int, groups: int):
             in_left = np.arange(left.shape[1])[None, :] < lsize[:, None]
             lefts, left_ends = left[in_left], np.concatenate([[0], np.cumsum(lsize.astype(np.int64))])
             for k, i, j in zip(own.tolist(), first, stop, strict=True):
-                rows.append((
-                    k, int(j - i), lcp[i:j].astype(np.uint8).tobytes(), size[i:j].tobytes(), tails[tail_ends[i] : tail_ends[j]].tobytes(), lsize[i:j].tobytes(),
-                    lefts[left_ends[i] : left_ends[j]].tobytes(), ord_[i:j].tobytes(), uid[i:j].tobytes(), at[i:j].tobytes(),
-                ))
+                own_tails, own_lefts = tails[tail_ends[i] : tail_ends[j]], lefts[left_ends[i] : left_ends[j]]
+                rows.append((k, int(j - i), *map(_pack, (lcp[i:j].astype(np.uint8), size[i:j], own_tails, lsize[i:j], own_lefts, ord_[i:j], uid[i:j], at[i:j]))))
             types = [pa.int32(), pa.int32(), *[pa.binary()] * 8]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=_RUN_NAMES)
 
         for batch in batches:
             uids, ords = batch.column("uid").to_numpy(), batch.column("ord").to_numpy()
             wanted = [np.frombuffer(x, np.uint64) for x in batch.column("codes").to_pylist()]
-            for raw, starts, row, shift in _segments([_bytes(t) for t in batch.column("text").to_pylist()]):
+            for raw, starts, row, shift in _segments(_plain(batch.column("text").to_pylist())):
                 place, first, last, h = anchors(raw, starts)
                 at = np.searchsorted(starts, first)
                 row, shift, code = row[at], shift[at], _codes(h, buckets)
@@ -367,7 +402,8 @@ def _repeats(groups: int):
 def _strings(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(uid, start, size) of spans covered by strings that an earlier document holds."""
     runs, offsets, total = [], [], 0
-    cols = {c: table.column(c).to_pylist() for c in ("lcp", "size", "tails", "lsize", "lefts", "ord", "uid", "at")}
+    cols = {c: [_unpack(x, np.uint8).tobytes() for x in table.column(c).to_pylist()] for c in ("lcp", "size", "tails", "lsize", "lefts")}
+    cols |= {c: _unpacked(table, c, np.int64) for c in ("ord", "uid", "at")}
     for lcp, size, tails in zip(cols["lcp"], cols["size"], cols["tails"], strict=True):
         strings, before, i = [], b"", 0
         for h, n in zip(lcp, size, strict=True):
@@ -413,8 +449,8 @@ def _strings(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _spans(table: pa.Table) -> pa.Table:
     """Of one group of documents: each one's maximal removed runs, as start and end pairs."""
-    uid, start = (np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()]) for c in ("uid", "start"))
-    end = start + np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("size").to_pylist()])
+    uid, start = (np.concatenate(_unpacked(table, c, np.int64)) for c in ("uid", "start"))
+    end = start + np.concatenate(_unpacked(table, "size", np.uint8))
     order = np.lexsort((end, start, uid))
     uid, start, end = uid[order], start[order], end[order]
     rank = np.cumsum(np.concatenate([[0], uid[1:] != uid[:-1]]))
@@ -433,8 +469,7 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            raw = _bytes(text)
+        for raw, spans in zip(_plain(batch.column("text").to_pylist()), batch.column("spans").to_pylist(), strict=True):
             pairs = np.frombuffer(spans or b"", np.int64).reshape(-1, 2)
             digest, done = hashlib.sha256(), 0
             for a, b in pairs.tolist():
@@ -474,7 +509,8 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     posted = rows.select("uid", "text").mapInArrow(_post(buckets), "bucket int, base long, c binary, r binary")
     shared = posted.groupBy("bucket").applyInArrow(_shared, "base long, r binary, code binary")
     by_row = shared.groupBy("base").applyInArrow(_by_row, "uid long, codes binary")
-    some = rows.select("uid", "ord", "text").join(by_row, "uid")
+    squeezed = rows.select("uid", "ord", "text").mapInArrow(_squeeze, "uid long, ord long, text binary")
+    some = squeezed.join(by_row, "uid")
     runs = some.select("uid", "ord", "text", "codes").mapInArrow(_runs(buckets, buckets), _RUN_FIELDS)
     found = runs.groupBy("bucket").applyInArrow(_repeats(buckets), "g int, uid binary, start binary, size binary")
     return found.groupBy("g").applyInArrow(_spans, "uid long, spans binary")
@@ -486,5 +522,6 @@ def dedup_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ``df`` must be stored files, since rows are told apart by their place.
     """
     spans = stored(removed_spans(df, id_col, text_col))
-    rows = texts(df, id_col, text_col).join(spans, "uid", "left").select("uid", "doc_id", "text", "spans")
+    squeezed = texts(df, id_col, text_col).mapInArrow(_squeeze, "uid long, doc_id long, text binary")
+    rows = squeezed.join(spans, "uid", "left").select("uid", "doc_id", "text", "spans")
     return rows.mapInArrow(_keep, "uid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").drop("uid")
