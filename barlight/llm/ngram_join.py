@@ -16,6 +16,7 @@ from barlight.llm.components import components
 WORDS = 5
 ZONE = 0.5  # share of the hash space whose shingles every document posts
 RARE = 8  # distinct texts up to which a posted shingle is rare
+SPARE = 2  # rare shingles that a pair may share without being a candidate for it
 BUCKET = 1 << 17  # postings a bucket holds about
 BLOCK = 512  # texts compared at once
 _CACHED_WORDS = 500_000
@@ -77,7 +78,7 @@ def classes(at: int) -> int:
 
 
 def extension(n: int) -> int:
-    return classes(level(n) + 1)
+    return classes(level(n) + 1) + SPARE
 
 
 def prefix(n: int) -> int:
@@ -295,8 +296,8 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
        its frequent ones by frequency, the rest; two linked sets share 1 + extension shingles in their prefixes under it.
     3. Rare shingles are indexed alone. If one of the texts has a whole prefix of rare ones, a linked pair shares at least
        1 + extension of those, so pairs with fewer drop out. Texts short of rare shingles also index pairs of the frequent ones in their
-       prefix: these are dealt into as many classes as the extension, so two of those shared are of one class, and the
-       number of pairs stays in proportion to the text.
+       prefix: these are dealt into SPARE fewer classes than the extension, so a linked pair shares more than SPARE rare
+       ones, or two frequent ones of one class; the number of pairs stays in proportion to the text.
     4. Candidates form clusters: a star for each combination, never all pairs of it. A cluster is verified whole, by products
        of incidence matrices; one of more than ``BLOCK`` texts in pairs of blocks, each a task of its own.
 
@@ -316,7 +317,7 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     hubs = stored(sigs.groupBy("sig").agg(F.min("key").alias("hub"), F.count("*").alias("m")).filter("m > 1").select("sig", "hub"))
     stars = sigs.join(hubs, "sig").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
-    pairs = met.filter("t is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    pairs = met.filter("t is null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") > SPARE)
     facts = distinct.select("key", "n").join(short.select("key", F.lit(True).alias("short")), "key", "left")
     side = lambda c: facts.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.coalesce("short", F.lit(False)).alias(f"short_{c}"))
     known = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -353,7 +354,7 @@ def _prefix_column(n: str):
 def _extension_column(n: str):
     """``extension`` as SQL."""
     at = F.expr(f"cast(ln(cast({n} as double)) / ln({_STEP}D) as int)") + 1
-    return F.greatest(F.lit(1), F.ceil(F.lit(0.05) * F.pow(F.lit(_STEP), at)))
+    return F.greatest(F.lit(1), F.ceil(F.lit(0.05) * F.pow(F.lit(_STEP), at))) + SPARE
 
 
 def _labelled(docs: DataFrame, distinct: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
