@@ -12,7 +12,11 @@ import numpy as np
 
 _STEPS = 400
 _TINY = 1e-300
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Made anew each time: a vectorised function that has run cannot be shipped to tasks."""
+    return np.vectorize(math.lgamma, otypes=[float])(x)
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
