@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,8 @@ class Encoder:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
+        # ids of the words known, one after another, and where each word's begin
+        self.flat, self.starts = np.empty(0, np.int64), np.zeros(1, np.int64)
 
     # words: no piece reaches over the start of a run of blanks or over a line end
     _words = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+").findall
@@ -81,21 +83,20 @@ class Encoder:
         words = [self._words(prefix + t.replace(" ", SPACE)) if t else [] for t in batch]
         if len(self.index) > _CACHED_WORDS:
             self.forget()
-        new = list({w for doc in words for w in doc if w not in self.index})
-        for w, ids in zip(new, self._encode_words(new), strict=True):
-            self.index[w] = len(self.parts)
-            self.parts.append(ids)
-        at = self.index.__getitem__
-        rows = np.fromiter((at(w) for doc in words for w in doc), np.int64)
-        sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        starts = np.cumsum(sizes) - sizes
-        flat = np.concatenate(self.parts) if self.parts else np.empty(0, np.int64)
-        took = sizes[rows]
+        new = list(set(chain.from_iterable(words)).difference(self.index))
+        if new:
+            parts = self._encode_words(new)
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+            ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            self.flat, self.starts = np.concatenate([self.flat, *parts]), np.concatenate([self.starts, ends])
+        rows = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64)
+        begin = self.starts[rows]
+        took = self.starts[rows + 1] - begin
         ends = np.cumsum(took)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[rows] - (ends - took), took)
+        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - took), took)
         bounds = np.concatenate([[0], ends])
         docs = np.cumsum([0] + [len(doc) for doc in words])
-        ids, sizes = flat[where], np.diff(bounds[docs])
+        ids, sizes = self.flat[where], np.diff(bounds[docs])
         if not self.byte_ids:  # unknown characters in a row are one id
             text = np.repeat(np.arange(len(sizes)), sizes)
             again = np.zeros(len(ids), bool)
@@ -220,24 +221,38 @@ class Encoder:
         return np.where(hit, self.pair_scores[at], np.float32(-np.inf)), self.pair_ids[at]
 
     def _merge(self, chars: np.ndarray) -> list[np.ndarray]:
+        """All words take their best merge at once; only the two pairs beside it are probed again."""
         state = self._symbols_of(chars)
-        rows, done = np.arange(len(state)), {}
+        rows, out = np.arange(len(state)), [None] * len(state)
+        scores, merged = self._probe(state[:, :-1], state[:, 1:])
         while len(rows):
-            if state.shape[1] == 1:
-                done.update(zip(rows.tolist(), state, strict=True))
+            width = state.shape[1]
+            if width > 1:
+                pick = scores.argmax(1)  # the leftmost of equal ones
+                live = scores[np.arange(len(rows)), pick] > -np.inf
+            else:
+                live = np.zeros(len(rows), bool)
+            self._retire(rows[~live], state[~live], out)
+            if width == 1:
                 break
-            scores, merged = self._probe(state[:, :-1], state[:, 1:])
-            pick = scores.argmax(1)  # the leftmost of equal ones
-            live = scores[np.arange(len(rows)), pick] > -np.inf
-            done.update(zip(rows[~live].tolist(), state[~live], strict=True))
-            rows, state, pick, merged = rows[live], state[live], pick[live], merged[live]
-            here = np.arange(state.shape[1] - 1)[None, :]
-            state = np.where(here < pick[:, None], state[:, :-1], np.where(here == pick[:, None], merged, state[:, 1:]))
-        return [self._ids(done[r]) for r in range(len(chars))]
+            rows, state, scores, merged, pick = rows[live], state[live], scores[live], merged[live], pick[live]
+            here, at = np.arange(width - 1)[None, :], pick[:, None]
+            state = np.where(here < at, state[:, :-1], np.where(here == at, merged, state[:, 1:]))
+            before = here[:, :-1] < at
+            scores, merged = np.where(before, scores[:, :-1], scores[:, 1:]), np.where(before, merged[:, :-1], merged[:, 1:])
+            for shift in (-1, 0):
+                k = np.flatnonzero((pick + shift >= 0) & (pick + shift < width - 2))
+                j = pick[k] + shift
+                scores[k, j], merged[k, j] = self._probe(state[k, j], state[k, j + 1])
+        return out
+
+    def _retire(self, rows: np.ndarray, states: np.ndarray, out: list) -> None:
+        plain = ((states >= 0) & (states < len(self.p.texts))).all(1)
+        for r, s, done in zip(rows.tolist(), states, plain.tolist(), strict=True):
+            out[r] = s if done else self._ids(s)
 
     def _ids(self, symbols: np.ndarray) -> np.ndarray:
-        if (symbols >= 0).all() and (symbols < len(self.p.texts)).all():
-            return symbols
+        """Piece ids of symbols, characters without a piece spelled out."""
         spelled = {i: t for t, i in self.symbols.items() if i >= len(self.p.texts)} if (symbols >= len(self.p.texts)).any() else {}
         out: list[int] = []
         for s in symbols.tolist():
