@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, cut, stored, stretches, texts
+from barlight.llm.common import bounded_batches, cut, fingerprint, stored, stretches, texts
 
 LENGTH = 50  # bytes of a string that counts
 GRAM = 24  # bytes of an anchor
@@ -483,12 +483,32 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), *longs, pa.array(sha, pa.string())], names=names)
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One span over the whole of each text."""
+    for batch in batches:
+        spans = [np.array([0, n], np.int64).tobytes() for n in batch.column("n").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(spans, pa.binary())], names=["uid", "spans"])
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """(uid, n) of rows whose whole text is in a row with a smaller doc_id, told by two 64-bit hashes.
+
+    Firsts are counted before the shuffle and taken out by (text, doc_id), which few rows share, so a text that fills a third
+    of the table gathers nowhere.
+    """
+    a, b = fingerprint(F.col("text"))
+    marked = rows.select("uid", "ord", F.octet_length("text").cast("long").alias("n"), a.alias("a"), b.alias("b"))
+    firsts = marked.groupBy("a", "b").agg(F.min("ord").alias("ord"))
+    return stored(marked.join(firsts, ["a", "b", "ord"], "left_anti").select("uid", "n"))
+
+
 def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(uid, spans): for rows with removed bytes the maximal removed runs, as little-endian 64-bit start and end pairs.
 
     A byte goes if a string of 50 bytes over it also starts in a row with a smaller doc_id. Strings lie within one text and
     are judged on the input. Rows of one doc_id do not remove from each other; a null doc_id counts as the largest.
 
+    0. A text that a smaller doc_id holds too goes whole, and takes no part in what follows.
     1. Each string of 50 bytes has an anchor, its 24-byte gram of smallest hash; about one place in fourteen is one. Equal
        strings have equal anchors, so only anchors that two rows share matter: their hashes are exchanged in packed buckets
        and the shared ones return to their rows.
@@ -510,10 +530,12 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = posted.groupBy("bucket").applyInArrow(_shared, "base long, r binary, code binary")
     by_row = shared.groupBy("base").applyInArrow(_by_row, "uid long, codes binary")
     squeezed = rows.select("uid", "ord", "text").mapInArrow(_squeeze, "uid long, ord long, text binary")
-    some = squeezed.join(by_row, "uid")
+    copies = _copies(rows)
+    some = squeezed.join(by_row.join(copies, "uid", "left_anti"), "uid")
     runs = some.select("uid", "ord", "text", "codes").mapInArrow(_runs(buckets, buckets), _RUN_FIELDS)
     found = runs.groupBy("bucket").applyInArrow(_repeats(buckets), "g int, uid binary, start binary, size binary")
-    return found.groupBy("g").applyInArrow(_spans, "uid long, spans binary")
+    whole = copies.filter(F.col("n") >= LENGTH).mapInArrow(_whole, "uid long, spans binary")
+    return found.groupBy("g").applyInArrow(_spans, "uid long, spans binary").unionByName(whole)
 
 
 def dedup_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
