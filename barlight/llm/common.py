@@ -36,7 +36,7 @@ def stored(df: DataFrame) -> DataFrame:
     return settle(df)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 256) -> SparkSession:
+def bounded_batches(spark: SparkSession, rows: int = 128) -> SparkSession:
     """Whole texts travel to Python in batches of few rows, so that a run of very long ones fits in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return spark

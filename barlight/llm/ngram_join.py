@@ -19,7 +19,7 @@ RARE = 8  # distinct texts up to which a posted shingle is rare
 SPARE = 2  # rare shingles that a pair may share without being a candidate for it
 BUCKET = 1 << 17  # postings a bucket holds about
 BLOCK = 512  # texts compared at once
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 120_000
 _STEP = 1.26  # sizes of linked sets differ by a factor of 1.25 at most, so by one level at most
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,7 +146,7 @@ def _postings(buckets: int):
                     keys.append(_key(s))
                     codes.append(int(2 * math.log(len(s)) / math.log(1.25)))
                     held += len(tokens[-1])
-                    if held >= 1 << 21:
+                    if held >= 1 << 19:
                         yield flush()
         if held:
             yield flush()

@@ -21,7 +21,7 @@ from barlight.llm.common import bounded_batches, texts
 SPACE = "▁"
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 100_000
 _CELLS = 1 << 20  # cells of a step's matrix; more words of one length go in several parts
 _LONG = 256  # characters from which a BPE word is merged by a queue of its own
 
