@@ -11,17 +11,22 @@ from barlight.llm.common import stored
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): the root is the smallest node it can reach.
 
-    Every round takes the smallest root among a node's neighbours (counted before the shuffle) and then the root's own root,
-    so paths halve. Both tables of a join are stored, so a hub with a third of the edges is a skewed join that Spark splits.
+    Every round takes the smallest root among a node and its neighbours (counted before the shuffle) and then the root's own
+    root, so paths halve. Roots only fall, so their sum tells when none did. Both tables of a join are stored, so a hub with a
+    third of the edges is a skewed join that Spark splits.
     """
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
-    roots = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
+    turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    linked = edges.select("a", "b").unionByName(turned).filter("a <> b").distinct()
+    both = stored(linked.unionByName(linked.select("a", F.col("a").alias("b")).distinct()))
+    roots = stored(both.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node"))
+    before = None
     for _ in range(rounds):
-        seen = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        lower = stored(roots.join(seen, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root")))
-        up = lower.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        jumped = stored(lower.join(up, "root").select("node", "was", F.least("root", "top").alias("root")))
-        roots = jumped.select("node", "root")
-        if jumped.filter("root <> was").isEmpty():
+        total = roots.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
+        if total == before:
             return roots
+        before = total
+        seen = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("root"))
+        lower = stored(seen)
+        up = lower.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots = stored(lower.join(up, "root").select("node", F.col("top").alias("root")))
     raise RuntimeError(f"components not found in {rounds} rounds")
