@@ -57,8 +57,8 @@ class Templates:
     def forget(self) -> None:
         self.index = _Codes(self._learn)
         self.core: list[bytes] = []
-        # by word: hash, type (-1: no token), may be a name, ends a sentence
-        self.hash, self.kind = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.int8)
+        # by word: hash, hash of the word itself, type (-1: no token), may be a name, ends a sentence
+        self.hash, self.exact, self.kind = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.int8)
         self.name, self.ends = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
 
     def _learn(self, word: bytes) -> int:
@@ -68,9 +68,10 @@ class Templates:
         kind = _NUMBER if core[:1].isdigit() and self.number(core) else _UNIT if lower in self.units else _LITERAL
         k = len(self.core)
         if k == len(self.hash):  # one text of very many words
-            self.hash, self.kind, self.name, self.ends = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.kind, self.name, self.ends))
+            self.hash, self.exact, self.kind, self.name, self.ends = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.exact, self.kind, self.name, self.ends))
         self.core.append(lower)
-        self.hash[k] = self.digest(b"w" + lower if kind == _LITERAL else b"slot%d" % kind)
+        self.exact[k] = self.digest(b"w" + lower)
+        self.hash[k] = self.exact[k] if kind == _LITERAL else self.digest(b"slot%d" % kind)
         self.kind[k] = kind if core else -1
         self.name[k] = kind == _LITERAL and shown[:1].isupper() and not (len(shown) > 1 and shown.isupper())
         self.ends[k] = word[-1:] in b".!?:"
@@ -107,6 +108,26 @@ class Templates:
             out ^= out >> np.uint64(31)
         return out
 
+    def keyed(self, hashes: np.ndarray, kind: np.ndarray, word: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
+        """(at, hash) of windows of ``size`` tokens with at least ``literal`` literal ones, or of -``size`` tokens with fewer.
+
+        The latter are hashed with the words in their slots, so they meet equal words only.
+        """
+        n = len(hashes) - abs(size) + 1
+        if n <= 0:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        literals = np.concatenate([[0], np.cumsum(kind == _LITERAL)])
+        rich = literals[abs(size) :] - literals[:n] >= min(literal, abs(size))
+        if size > 0:
+            at = np.flatnonzero(rich)
+            return at, self.windows(hashes, size)[at]
+        at = np.flatnonzero(~rich)
+        out, exact = np.full(len(at), -size, np.uint64), self.exact[word]
+        for k in range(-size):
+            out = (out ^ exact[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(31)
+        return at, out
+
     def slots(self, kind: np.ndarray, word: np.ndarray, at: int, size: int) -> list[str]:
         return [self.core[word[i]].decode("utf-8", "replace") for i in range(at, at + size) if kind[i] != _LITERAL]
 
@@ -118,10 +139,10 @@ def _item_windows(window: int, literal: int):
             rows: list[tuple] = []
             for item, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 h, kind, word = templates.tokens(text)
-                size = min(window, len(h))
-                for at, x in enumerate(templates.windows(h, size).view(np.int64).tolist() if size else []):
-                    if (kind[at : at + size] == _LITERAL).sum() >= min(literal, size):
-                        rows.append((item, len(h), x, size, at, templates.slots(kind, word, at, size)))
+                width = min(window, len(h))
+                for size in (width, -width) if width else ():
+                    at, x = templates.keyed(h, kind, word, size, literal)
+                    rows.extend((item, len(h), v, size, i, templates.slots(kind, word, i, width)) for i, v in zip(at.tolist(), x.view(np.int64).tolist(), strict=True))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["item_id", "item_tokens", "h", "size", "at", "slots"])
@@ -129,7 +150,7 @@ def _item_windows(window: int, literal: int):
     return run
 
 
-def _document_windows(sizes: list[int], wanted: dict[int, np.ndarray] | None):
+def _document_windows(sizes: list[int], wanted: dict[int, np.ndarray] | None, literal: int):
     """Windows of documents that are in ``wanted`` (sorted hashes by size), or all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,13 +165,13 @@ def _document_windows(sizes: list[int], wanted: dict[int, np.ndarray] | None):
             for uid, doc, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 h, kind, word = templates.tokens(text)
                 for size in sizes:
-                    x = templates.windows(h, size)
-                    at = np.arange(len(x))
+                    at, x = templates.keyed(h, kind, word, size, literal)
                     if wanted is not None:
-                        at = np.flatnonzero(bits[size][(x & mask).astype(np.int64)])
+                        may = np.flatnonzero(bits[size][(x & mask).astype(np.int64)])
                         keys = wanted[size]
-                        at = at[keys[np.minimum(np.searchsorted(keys, x[at]), len(keys) - 1)] == x[at]]
-                    rows.extend((uid, doc, v, size, i, templates.slots(kind, word, i, size)) for i, v in zip(at.tolist(), x[at].view(np.int64).tolist(), strict=True))
+                        may = may[keys[np.minimum(np.searchsorted(keys, x[may]), len(keys) - 1)] == x[may]]
+                        at, x = at[may], x[may]
+                    rows.extend((uid, doc, v, size, i, templates.slots(kind, word, i, abs(size))) for i, v in zip(at.tolist(), x.view(np.int64).tolist(), strict=True))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["uid", "doc_id", "h", "size", "at", "slots"])
@@ -172,8 +193,9 @@ def leaks(
 ) -> DataFrame:
     """(uid, doc_id, item_id, covered, item_tokens, coverage, changed) of documents that hold at least ``least`` of an item.
 
-    Both sides become template tokens; windows of ``window`` of them (a whole item, if it has fewer) with at least ``literal``
-    literal ones are joined by hash. Matched windows on one alignment of document and item must fill the item's slots by one
+    Both sides become template tokens; windows of ``window`` of them (a whole item, if it has fewer) are joined by hash. One with
+    fewer than ``literal`` literal ones says too little as a template, so its slots must hold equal words: such a part of an item
+    is found as it stands, not re-parameterised. Its ``size`` is negative inside. Marks are no tokens there either. Matched windows on one alignment of document and item must fill the item's slots by one
     rule: a value of the item always gets the same value in the document. ``covered`` counts the item's tokens under such
     windows, on the best alignment; ``changed`` says that some slot holds another value, so the question is re-parameterised.
 
@@ -192,11 +214,11 @@ def leaks(
         for r in wanted.select("size", "h").distinct().collect():
             keys[r["size"]].append(r["h"])
         keys = {size: np.sort(np.array(v, np.int64).view(np.uint64)) for size, v in keys.items()}
-    found = texts(docs, id_col, text_col).mapInArrow(_document_windows(sorted(counts), keys), f"uid long, doc_id long, {_WINDOW}")
+    found = texts(docs, id_col, text_col).mapInArrow(_document_windows(sorted(counts), keys, literal), f"uid long, doc_id long, {_WINDOW}")
     side = wanted.select("item_id", "item_tokens", "h", "size", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     met = found.join(F.broadcast(side) if small else side, ["h", "size"])
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    aligned = met.groupBy("uid", "doc_id", "item_id", "item_tokens", "size", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    aligned = met.groupBy("uid", "doc_id", "item_id", "item_tokens", F.abs("size").alias("size"), (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.array_sort(F.collect_set("item_at")).alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("filled")
     )
     covered = F.expr("aggregate(ats, named_struct('n', 0, 'end', 0), (x, p) -> named_struct('n', x.n + p + size - greatest(x.end, p), 'end', p + size), x -> x.n)")

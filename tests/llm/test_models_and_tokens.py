@@ -184,6 +184,16 @@ def test_reparameterised_items_need_consistent_slots(spark, tmp_path, broadcast_
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("broadcast_windows", [1000, 0])
+def test_items_of_few_literal_words_are_found_as_they_stand(spark, tmp_path, broadcast_windows):
+    names = "Friends: " + ", ".join(f"the {a} {b}" if i % 3 == 0 else f"{a} {b}" for i, (a, b) in enumerate(zip(["Anna", "Boris", "Clara", "Dora", "Emil", "Fritz"], ["Abel", "Bauer", "Curie", "Dietz", "Euler", "Frey"], strict=True))) + " met."
+    items = [(1, "Compute 12 + 7 - 3 * 5 = ?"), (2, "What is 15 % of 240 kg ?"), (3, names)]
+    docs = [(i, f"Some words come before. {t} And some words come after it.") for i, t in items]
+    docs += [(4, "Some words come before. Compute 12 + 8 - 3 * 5 = ? And more."), (5, "Fine. What is 15 % of 250 kg ? More."), (6, names.replace("Anna", "Mary").replace("Clara", "Jean").replace("Emil", "Lee").replace("Boris", "Max"))]
+    found = decontaminate.leaks(as_files(spark, spark.createDataFrame(docs, "doc_id long, text string"), tmp_path), spark.createDataFrame(items, "item_id long, text string"), broadcast_windows=broadcast_windows)
+    assert {(r.doc_id, r.item_id, r.coverage, r.changed) for r in found.collect()} == {(i, i, 1.0, False) for i, _ in items}
+
+
 def test_registered_sql_names_registered_queries():
     from barlight.llm.queries import QUERIES
 
