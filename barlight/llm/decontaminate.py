@@ -21,6 +21,7 @@ UNITS = (
 )
 _CACHED_WORDS = 150_000
 _WINDOW = "h long, size int, at int, slots array<string>"
+_ITEM_WINDOW = f"{_WINDOW}, upto int, begin int, end int, head boolean, tail boolean"
 _LITERAL, _NUMBER, _UNIT, _NAME = 0, 1, 2, 3
 
 
@@ -40,7 +41,8 @@ class Templates:
     """Template tokens of texts: words in lower case, with numbers, units and names as typed placeholders.
 
     A word loses the marks around it; one of marks alone is no token. A name is a word with a capital first letter that is
-    neither all capitals nor at the start of a sentence (of the text, or after a word that ends with . ! ? or :).
+    neither all capitals nor at the start of a sentence (of the text, or after a word that ends with . ! ? or :). A run of
+    words of one type without a mark in between is one slot.
     """
 
     def __init__(self) -> None:
@@ -57,9 +59,10 @@ class Templates:
     def forget(self) -> None:
         self.index = _Codes(self._learn)
         self.core: list[bytes] = []
-        # by word: hash, hash of the word itself, type (-1: no token), may be a name, ends a sentence
+        # by word: hash, hash of the word itself, type (-1: no token), may be a name, ends a sentence, marks before, after
         self.hash, self.exact, self.kind = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.int8)
         self.name, self.ends = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
+        self.opens, self.closes = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
 
     def _learn(self, word: bytes) -> int:
         core = word.strip(self.marks)
@@ -68,33 +71,37 @@ class Templates:
         kind = _NUMBER if core[:1].isdigit() and self.number(core) else _UNIT if lower in self.units else _LITERAL
         k = len(self.core)
         if k == len(self.hash):  # one text of very many words
-            self.hash, self.exact, self.kind, self.name, self.ends = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.exact, self.kind, self.name, self.ends))
+            self.hash, self.exact, self.kind = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.exact, self.kind))
+            self.name, self.ends, self.opens, self.closes = (np.concatenate([x, np.empty_like(x)]) for x in (self.name, self.ends, self.opens, self.closes))
         self.core.append(lower)
         self.exact[k] = self.digest(b"w" + lower)
         self.hash[k] = self.exact[k] if kind == _LITERAL else self.digest(b"slot%d" % kind)
         self.kind[k] = kind if core else -1
         self.name[k] = kind == _LITERAL and shown[:1].isupper() and not (len(shown) > 1 and shown.isupper())
         self.ends[k] = word[-1:] in b".!?:"
+        self.opens[k], self.closes[k] = word[:1] != core[:1], word[-1:] != core[-1:]
         return k
 
-    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, type, word) of every token; ``word`` indexes ``core``."""
+    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, type, word) of every token, and the first token of every slot or literal; ``word`` indexes ``core``."""
         if len(self.core) > _CACHED_WORDS:
             self.forget()
         words = text.split()
         codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if not len(codes):
-            return np.empty(0, np.uint64), np.empty(0, np.int8), codes
+            return np.empty(0, np.uint64), np.empty(0, np.int8), codes, codes
         hashes, kind, name = self.hash[codes], self.kind[codes], self.name[codes]
         name[0] = False
         name[1:] &= ~self.ends[codes[:-1]]
         if name.any():
             kind[name] = _NAME
             hashes[name] = np.uint64(0x5DEECE66D1234567)
+        first = np.ones(len(codes), bool)
+        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _LITERAL) | self.closes[codes[:-1]] | self.opens[codes[1:]]
         if kind.min() < 0:
             real = kind >= 0
-            return hashes[real], kind[real], codes[real]
-        return hashes, kind, codes
+            hashes, kind, codes, first = hashes[real], kind[real], codes[real], first[real]
+        return hashes, kind, codes, np.flatnonzero(first)
 
     @staticmethod
     def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -108,11 +115,14 @@ class Templates:
             out ^= out >> np.uint64(31)
         return out
 
-    def keyed(self, hashes: np.ndarray, kind: np.ndarray, word: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
-        """(at, hash) of windows of ``size`` tokens with at least ``literal`` literal ones, or of -``size`` tokens with fewer.
+    def keyed(self, hashes: np.ndarray, kind: np.ndarray, word: np.ndarray, first: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
+        """(at, hash) of windows of ``size`` slots and literals with at least ``literal`` literals, or of -``size`` tokens with fewer.
 
-        The latter are hashed with the words in their slots, so they meet equal words only.
+        The latter are hashed with the words in their slots, so they meet equal words only. ``at`` counts slots and literals in
+        the former, tokens in the latter.
         """
+        if size > 0 and len(first) < len(hashes):
+            hashes, kind = hashes[first], kind[first]
         n = len(hashes) - abs(size) + 1
         if n <= 0:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -128,8 +138,12 @@ class Templates:
             out ^= out >> np.uint64(31)
         return at, out
 
-    def slots(self, kind: np.ndarray, word: np.ndarray, at: int, size: int) -> list[str]:
-        return [self.core[word[i]].decode("utf-8", "replace") for i in range(at, at + size) if kind[i] != _LITERAL]
+    def slots(self, kind: np.ndarray, word: np.ndarray, edges: np.ndarray, at: int, size: int) -> list[str]:
+        """Words of the slots of a window; ``edges`` are the first tokens of all, and the end."""
+        if size < 0:
+            return [self.core[word[i]].decode("utf-8", "replace") for i in range(at, at - size) if kind[i] != _LITERAL]
+        spans = [(edges[j], edges[j + 1]) for j in range(at, at + size) if kind[edges[j]] != _LITERAL]
+        return [b" ".join(self.core[w] for w in word[i:j]).decode("utf-8", "replace") for i, j in spans]
 
 
 def _item_windows(window: int, literal: int):
@@ -138,14 +152,18 @@ def _item_windows(window: int, literal: int):
         for batch in batches:
             rows: list[tuple] = []
             for item, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                h, kind, word = templates.tokens(text)
-                width = min(window, len(h))
-                for size in (width, -width) if width else ():
-                    at, x = templates.keyed(h, kind, word, size, literal)
-                    rows.extend((item, len(h), v, size, i, templates.slots(kind, word, i, width)) for i, v in zip(at.tolist(), x.view(np.int64).tolist(), strict=True))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["item_id", "item_tokens", "h", "size", "at", "slots"])
+                h, kind, word, first = templates.tokens(text)
+                edges, slot = np.append(first, len(h)), np.searchsorted(first, np.arange(len(h)), "right") - 1
+                for size in (min(window, len(first)), -min(window, len(h))) if len(h) else ():
+                    at, x = templates.keyed(h, kind, word, first, size, literal)
+                    for i, v in zip(at.tolist(), x.view(np.int64).tolist(), strict=True):
+                        begin, end = (int(edges[i]), int(edges[i + size])) if size > 0 else (i, i - size)
+                        head, tail = size > 0 and begin <= 1 and bool(kind[begin] != _LITERAL), size > 0 and end == len(h) and bool(kind[end - 1] != _LITERAL)
+                        rows.append((item, len(h), v, size, int(slot[begin]), templates.slots(kind, word, edges, i, size), int(slot[end - 1]) + 1, begin, end, head, tail))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 11
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
+            names = ["item_id", "item_tokens", "h", "size", "at", "slots", "upto", "begin", "end", "head", "tail"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     return run
 
@@ -163,15 +181,17 @@ def _document_windows(sizes: list[int], wanted: dict[int, np.ndarray] | None, li
         for batch in batches:
             rows: list[tuple] = []
             for uid, doc, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                h, kind, word = templates.tokens(text)
+                h, kind, word, first = templates.tokens(text)
+                edges = np.append(first, len(h))
                 for size in sizes:
-                    at, x = templates.keyed(h, kind, word, size, literal)
+                    at, x = templates.keyed(h, kind, word, first, size, literal)
                     if wanted is not None:
                         may = np.flatnonzero(bits[size][(x & mask).astype(np.int64)])
                         keys = wanted[size]
                         may = may[keys[np.minimum(np.searchsorted(keys, x[may]), len(keys) - 1)] == x[may]]
                         at, x = at[may], x[may]
-                    rows.extend((uid, doc, v, size, i, templates.slots(kind, word, i, abs(size))) for i, v in zip(at.tolist(), x.view(np.int64).tolist(), strict=True))
+                    slot = at if size > 0 else np.searchsorted(first, at, "right") - 1
+                    rows.extend((uid, doc, v, size, j, templates.slots(kind, word, edges, i, size)) for i, j, v in zip(at.tolist(), slot.tolist(), x.view(np.int64).tolist(), strict=True))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["uid", "doc_id", "h", "size", "at", "slots"])
@@ -190,14 +210,18 @@ def leaks(
     literal: int = 4,
     least: float = 0.5,
     broadcast_windows: int = 1_000_000,
+    drift: int = 8,
 ) -> DataFrame:
     """(uid, doc_id, item_id, covered, item_tokens, coverage, changed) of documents that hold at least ``least`` of an item.
 
-    Both sides become template tokens; windows of ``window`` of them (a whole item, if it has fewer) are joined by hash. One with
-    fewer than ``literal`` literal ones says too little as a template, so its slots must hold equal words: such a part of an item
-    is found as it stands, not re-parameterised. Its ``size`` is negative inside. Marks are no tokens there either. Matched windows on one alignment of document and item must fill the item's slots by one
-    rule: a value of the item always gets the same value in the document. ``covered`` counts the item's tokens under such
-    windows, on the best alignment; ``changed`` says that some slot holds another value, so the question is re-parameterised.
+    Both sides become template tokens; windows of ``window`` slots and literals (a whole item, if it has fewer) are joined by
+    hash. One of tokens with fewer than ``literal`` literal ones says too little as a template, so its slots must hold equal
+    words: such a part of an item is found as it stands, not re-parameterised. Its ``size`` is negative inside. Matched windows
+    on one alignment of document and item must fill the item's slots by one rule: a value of the item always gets the
+    same value in the document; what stands beside the item in the same run is cut off. A word more or less moves the
+    alignment, so those that differ by up to ``drift`` slots and literals are joined, the longest first, as long as one rule
+    holds. ``covered`` counts the item's tokens under such windows, in the best union; ``changed`` says that some slot holds
+    another value, so the question is re-parameterised.
 
     The item side is broadcast while it holds at most ``broadcast_windows`` windows, which is counted first, and document
     windows are then filtered as they are made; beyond that all windows meet in a shuffled join. Null and empty texts and
@@ -205,7 +229,7 @@ def leaks(
     """
     bounded_batches(docs.sparkSession)
     items = texts(benchmark, item_col, item_text_col)
-    wanted = stored(items.mapInArrow(_item_windows(window, literal), f"item_id long, item_tokens int, {_WINDOW}"))
+    wanted = stored(items.mapInArrow(_item_windows(window, literal), f"item_id long, item_tokens int, {_ITEM_WINDOW}"))
     counts = {r["size"]: r["n"] for r in wanted.groupBy("size").agg(F.count("*").alias("n")).collect()}
     small = sum(counts.values()) <= broadcast_windows
     keys = None
@@ -215,17 +239,39 @@ def leaks(
             keys[r["size"]].append(r["h"])
         keys = {size: np.sort(np.array(v, np.int64).view(np.uint64)) for size, v in keys.items()}
     found = texts(docs, id_col, text_col).mapInArrow(_document_windows(sorted(counts), keys, literal), f"uid long, doc_id long, {_WINDOW}")
-    side = wanted.select("item_id", "item_tokens", "h", "size", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    side = wanted.select("item_id", "item_tokens", "h", "size", "upto", "begin", "end", "head", "tail", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     met = found.join(F.broadcast(side) if small else side, ["h", "size"])
-    pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    aligned = met.groupBy("uid", "doc_id", "item_id", "item_tokens", F.abs("size").alias("size"), (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.array_sort(F.collect_set("item_at")).alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("filled")
+    pairs = F.expr("""transform(arrays_zip(item_slots, slots), (p, i) -> named_struct('a', p.item_slots, 'b', CASE
+        WHEN tail AND i = size(slots) - 1 AND startswith(p.slots, concat(p.item_slots, ' ')) THEN p.item_slots
+        WHEN head AND i = 0 AND endswith(p.slots, concat(' ', p.item_slots)) THEN p.item_slots ELSE p.slots END))""")
+    key = ["uid", "doc_id", "item_id", "item_tokens"]
+    aligned = met.groupBy(*key, (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.collect_set(F.struct("begin", "end", F.col("item_at").alias("i"), F.col("upto").alias("j"), "at")).alias("spans"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("filled")
     )
-    covered = F.expr("aggregate(ats, named_struct('n', 0, 'end', 0), (x, p) -> named_struct('n', x.n + p + size - greatest(x.end, p), 'end', p + size), x -> x.n)")
-    one_rule = F.expr("size(array_distinct(transform(filled, p -> p.a))) = size(filled)")
-    changed = F.expr("exists(filled, p -> p.a <> p.b)")
-    judged = aligned.filter(one_rule).select("uid", "doc_id", "item_id", "item_tokens", covered.alias("covered"), changed.alias("changed"))
-    best = judged.groupBy("uid", "doc_id", "item_id", "item_tokens").agg(F.max(F.struct("covered", (~F.col("changed")).alias("same"))).alias("x"))
+
+    def under(spans: str, begin: str, end: str) -> str:
+        step = "named_struct('n', x.n + greatest(p.end - greatest(x.end, p.begin), 0), 'end', greatest(x.end, p.end))"
+        ordered = f"array_sort(transform({spans}, s -> named_struct('begin', {begin}, 'end', {end})))"
+        return f"aggregate({ordered}, named_struct('n', 0, 'end', 0), (x, p) -> {step}, x -> x.n)"
+
+    def covered(spans: str) -> str:
+        # a passage of the document stands for one passage of the item only
+        again = f"{under(spans, 's.i', 's.j')} - {under(spans, 's.at', 's.at + s.j - s.i')}"
+        return f"{under(spans, 's.begin', 's.end')} - greatest({again}, 0)"
+
+    def one_rule(filled: str) -> str:
+        return f"size(array_distinct(transform({filled}, p -> p.a))) = size({filled})"
+
+    # two rows of buckets, so that any two alignments within drift share one
+    buckets = F.expr(f"array(2 * floor(shift / {2 * drift}), 2 * floor((shift + {drift}) / {2 * drift}) + 1)") if drift else F.array("shift")
+    alone = aligned.filter(F.expr(one_rule("filled"))).withColumn("covered", F.expr(covered("spans")))
+    near = alone.withColumn("bucket", F.explode(buckets)).groupBy(*key, "bucket").agg(F.sort_array(F.collect_list(F.struct("covered", "shift", "spans", "filled")), asc=False).alias("near"))
+    both = "array_distinct(concat(x.filled, y.filled))"
+    joined = f"""transform(near, a -> aggregate(near, named_struct('spans', a.spans, 'filled', a.filled), (x, y) -> CASE
+        WHEN abs(y.shift - a.shift) <= {drift} AND {one_rule(both)} THEN named_struct('spans', array_union(x.spans, y.spans), 'filled', {both}) ELSE x END))"""
+    single = "transform(near, a -> named_struct('spans', a.spans, 'filled', a.filled))"
+    judged = f"transform(concat({single}, {joined}), x -> named_struct('covered', {covered('x.spans')}, 'same', not exists(x.filled, p -> p.a <> p.b)))"
+    best = near.select(*key, F.array_max(F.expr(judged)).alias("x")).groupBy(*key).agg(F.max("x").alias("x"))
     out = best.select("uid", "doc_id", "item_id", F.col("x.covered").alias("covered"), "item_tokens", F.round(F.col("x.covered") / F.col("item_tokens"), 6).alias("coverage"), (~F.col("x.same")).alias("changed"))
     return out.filter(F.col("coverage") >= least)
 

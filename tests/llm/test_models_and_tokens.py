@@ -194,6 +194,24 @@ def test_items_of_few_literal_words_are_found_as_they_stand(spark, tmp_path, bro
     assert {(r.doc_id, r.item_id, r.coverage, r.changed) for r in found.collect()} == {(i, i, 1.0, False) for i, _ in items}
 
 
+NAMED = "In the morning Anna sold three old books to Boris at the market near the river, and later Clara gave all of them back to Anna in return for some cheese."
+
+
+def test_longer_slot_values_and_added_words_are_one_alignment(spark, tmp_path):
+    longer = NAMED.replace("Anna", "Mary Ann").replace("Boris", "Jean Paul").replace("Clara", "Lee Smith")
+    added = NAMED.replace("old", "very old").replace("gave all", "soon gave all").replace("Anna", "Mary")
+    broken = longer.replace("to Mary Ann", "to Peter Pan")
+    counted = "The list of all the numbers drawn is 12 30 and the answer to this is 45"
+    docs = [(1, longer), (2, added), (3, broken), (4, NAMED + " Anna knew."), (5, f"Question. {counted} 46 47 is next."), (6, "Nothing of that kind is in this one.")]
+    docs += [(7, "They sang row your boat and row your boat and went home.")]
+    items = [(1, NAMED), (2, counted), (3, "row your boat and " * 8)]
+    found = decontaminate.leaks(as_files(spark, spark.createDataFrame(docs, "doc_id long, text string"), tmp_path), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.coverage, r.changed) for r in found.collect()}
+    assert got[1, 1] == (1.0, True) and got[4, 1] == (1.0, False) and got[5, 2] == (1.0, False)
+    assert got[2, 1][0] > 0.7 and got[2, 1][1] and set(got) <= {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2)}
+    assert got.get((3, 1), (0.0,))[0] < 1.0
+
+
 def test_registered_sql_names_registered_queries():
     from barlight.llm.queries import QUERIES
 
