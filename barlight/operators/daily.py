@@ -11,6 +11,7 @@ from barlight.operators.layout import KEY, lay_out
 from barlight.schemas import COUNT_COLUMNS, DAILY_SENT, require
 
 CELL_CHARS = 16_000_000  # characters of one text part; a longer day continues in the next
+_ONE_PART = 2**62
 
 
 def daily_sentiment(news: DataFrame) -> DataFrame:
@@ -115,17 +116,18 @@ def daily_news_text(news: DataFrame, cell_chars: int = CELL_CHARS) -> DataFrame:
     return placed.groupBy(*keys, "text_part").agg(joined.alias("combined_text"))
 
 
-def attach_news(bars: DataFrame, news: DataFrame | None, cell_chars: int = CELL_CHARS) -> DataFrame:
+def attach_news(bars: DataFrame, news: DataFrame | None, cell_chars: int | None = None) -> DataFrame:
     """Left join of daily news count and text onto bars by day: one row per bar, whatever its day holds.
 
-    ``text_parts`` counts the parts of the day in :func:`daily_news_text` (0 without news) and
-    ``combined_text`` is the text of a day of one part; a longer day's text stays in that table and is
-    null here.
+    ``combined_text`` is the whole text of the day and ``text_parts`` 1 (0 without news), however long the text is. One task
+    joins a day's text, and beyond the 2 GB that a Spark string can hold the query fails.
+    With ``cell_chars``, ``text_parts`` counts the parts of the day in :func:`daily_news_text` cut at the same length; the text
+    of a day of several parts stays in that table and is null here.
     """
     if news is None:
         return bars.withColumns({"news_count": F.lit(0).cast("long"), "text_parts": F.lit(0).cast("long"), "combined_text": F.lit("")})
     keys = [KEY, "trading_date"]
-    parts = daily_news_text(news, cell_chars).groupBy(*keys).agg(
+    parts = daily_news_text(news, _ONE_PART if cell_chars is None else cell_chars).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("text_parts"), F.max(F.when(F.col("text_part") == 0, F.col("combined_text"))).alias("_first")
     )
     day = F.to_date("date").alias("trading_date")

@@ -94,6 +94,17 @@ def test_long_day_is_spread_over_parts_without_loss(spark):
     assert [r["combined_text"] for r in parts if str(r["trading_date"]) == "2024-06-04"] == ["alone"]
 
 
+def test_bar_holds_the_whole_text_of_a_day_of_any_length(spark):
+    df = spark.range(17).select(
+        F.lit("T").alias("ticker"), F.to_date(F.lit("2024-06-03")).alias("trading_date"), F.concat(F.lit("u"), "id").alias("url"), F.lit("t").alias("title"),
+        F.to_timestamp(F.format_string("2024-06-03 10:%02d:00", "id")).alias("published"), F.repeat(F.format_string("%02d", "id"), 500_000).alias("text"),
+    )
+    bars = spark.sql("SELECT 'T' AS ticker, DATE'2024-06-03' AS date")
+    got = attach_news(bars, df).collect()
+    assert [(r["news_count"], r["text_parts"]) for r in got] == [(17, 1)]
+    assert got[0]["combined_text"] == " ".join(f"{i:02d}" * 500_000 for i in range(17))
+
+
 def test_broadcast_only_when_small(spark):
     small, big = spark.range(10), spark.range(1000)
     assert "broadcast" in skew.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().lower()
