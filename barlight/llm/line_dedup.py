@@ -67,7 +67,9 @@ def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs of ranks before, until runs of ``least`` characters cannot be longer (a line counts at least one, so log2(least)
     rounds at most). A suffix whose prefix occurs once drops out. A run of any length is named by the two ranks that cover
     it. Every line of a repeated run of ``least`` characters lies in the shortest such run that starts or that ends at one
-    of its lines, so those name all that has to go; of each name the earliest occurrence stays.
+    of its lines, so those name all that has to go; of each name the earliest occurrence stays, unless occurrences overlap.
+    In a document of periodic short lines (30 lines 'ab', a block of 41 blank lines) each start after the first is a later
+    occurrence that overlaps the earliest, so the block collapses to the lines before the second occurrence.
 
     Ranks are joined back on pairs stored beforehand, so that a line in a third of all documents is a skewed join that Spark
     splits; firsts are removed by their own place, which no two rows share.
