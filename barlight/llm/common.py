@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +45,18 @@ def bounded_batches(spark: SparkSession, rows: int = 128) -> SparkSession:
     return spark
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of ``rows`` rows for the jobs run inside; the session's own setting is put back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stretches(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values of a sorted array, and where each one's stretch begins and ends."""
     own, begin = np.unique(ordered, return_index=True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import decontaminate, language, line_dedup, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
+from barlight.llm import clusters, decontaminate, language, line_dedup, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
 from barlight.llm.common import read
 
 #: Folder of the public vocabulary files; their module names it where it is installed.
@@ -136,3 +136,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one below the other: (vec_id, c, d) of each assignment, then the centroids (c, v) after it."""
+    far = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    out = """WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS c, v FROM v ORDER BY sha256('3:' || vec_id) LIMIT %d)""" % k
+    for r in range(rounds + 1):
+        out += f""",
+    a{r} AS MATERIALIZED (SELECT vec_id, v, c, d FROM (SELECT vec_id, v.v, c, CAST({far} AS BIGINT) AS d FROM v CROSS JOIN c{r} c) x
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)"""
+        if r < rounds:
+            out += f""",
+    c{r + 1} AS MATERIALIZED (SELECT c, coalesce(n.v, o.v) AS v FROM c{r} o LEFT JOIN (
+      SELECT c, list((s - ((s % m) + m) % m) // m ORDER BY i) AS v FROM (
+        SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS m FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) u GROUP BY 1, 2) t GROUP BY 1) n USING (c))"""
+    return out + f"""
+    SELECT vec_id, a.c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+      sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c USING (c)"""
+
+
+@query("op11_centroid_clusters", _clusters_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clusters(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
