@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import clusters, decontaminate, language, line_dedup, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
+from barlight.llm import clusters, decontaminate, language, licenses, line_dedup, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
 from barlight.llm.common import read
 
 #: Folder of the public vocabulary files; their module names it where it is installed.
@@ -161,3 +161,28 @@ def _clusters_sql(k: int = 8, rounds: int = 10) -> str:
 @query("op11_centroid_clusters", _clusters_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.clusters(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def _licenses_sql() -> str:
+    """Base places by looking ahead; blocks against templates by counting the words that they share, without any filter."""
+    values = ", ".join(f"({n}, '{t.label}', {t.step}, {t.needed}, {len(t.tokens)}, '{w}')" for n, t in enumerate(licenses.templates()) for w in t.tokens)
+    hit = " OR ".join("(" + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(p.split())) + f" AND label = '{x}')" for p, x in licenses.PHRASES)
+    phrases = ", ".join(f"('{x}')" for _, x in licenses.PHRASES)
+    return rf"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    u AS (SELECT doc_id, unnest(w) AS w0, generate_subscripts(w, 1) - 1 AS i FROM w),
+    l AS (SELECT *, lead(w0, 1) OVER o AS w1, lead(w0, 2) OVER o AS w2 FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    b AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS base FROM l, (VALUES {phrases}) p(label) WHERE {hit} GROUP BY 1),
+    t(template, label, step, needed, size, word) AS (VALUES {values}),
+    m AS (SELECT doc_id, template, label, size, count(DISTINCT word) AS k FROM u JOIN t ON word = w0, (VALUES (0), (1)) o(back) WHERE i // step >= back
+      GROUP BY doc_id, template, label, size, needed, i // step - back HAVING count(DISTINCT word) >= needed),
+    f AS (SELECT doc_id, list(DISTINCT label) AS more, max(CAST(k AS DOUBLE) / size) AS share FROM m GROUP BY 1)
+    SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+      coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+      coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') AS labels,
+      CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS score
+    FROM w LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)"""
+
+
+@query("op12_license_scan", _licenses_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents", "doc_id", "text"))
