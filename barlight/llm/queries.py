@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.llm import clusters, decontaminate, language, licenses, line_dedup, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
+from barlight.llm import clusters, decontaminate, language, licenses, line_dedup, merkle, ngram_join, pieces, pii, sharding, suffix_dedup, token_counts, topk
 from barlight.llm.common import read
 
 #: Folder of the public vocabulary files; their module names it where it is installed.
@@ -186,3 +186,8 @@ def _licenses_sql() -> str:
 @query("op12_license_scan", _licenses_sql())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
