@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from typing import NamedTuple
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlight.session import settle, use_utc
+from barlight.session import settle, shared_folder, use_utc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -17,13 +20,78 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
-def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+class Placed(NamedTuple):
+    """Rows that can be told apart in any scan: ``uid`` is the same whenever and wherever ``df`` is read."""
+
+    df: DataFrame
+    uid: Column
+
+    def whole(self) -> DataFrame:
+        """(uid, row): every row as a struct."""
+        return self.df.select(self.uid.alias("uid"), F.struct("*").alias("row"))
+
+
+_SELECTION = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
+
+
+def _plain_selection(plan) -> bool:
+    """Whether a plan only selects columns and rows of one relation, so that no row comes out twice."""
+    if plan.getClass().getSimpleName() not in _SELECTION:
+        return False
+    below = plan.children()
+    return below.size() < 2 and all(_plain_selection(below.apply(i)) for i in range(below.size()))
+
+
+def _file_ids(df: DataFrame) -> Column | None:
+    """A number from file and row number, or None where two rows could get the same: a hash of the file's path plus the row.
+
+    One row a file comes to the driver, to check that no two files' stretches of numbers overlap.
+    """
+    row, path = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    for salt in range(8):
+        base = F.shiftright(F.xxhash64(path, F.lit(salt)), 1)
+        files = df.groupBy(base.alias("base"), path.alias("path")).agg(F.max(row).alias("last"), F.count("*").alias("n")).collect()
+        if any(f["n"] > f["last"] + 1 for f in files):  # a file read twice
+            return None
+        ordered = sorted((f["base"], f["base"] + f["last"]) for f in files)
+        if all(x[1] < y[0] for x, y in zip(ordered, ordered[1:], strict=False)):
+            return base + row
+    return None
+
+
+def placed(df: DataFrame | Placed) -> Placed:
+    """The frame with a row number that does not depend on how a scan is planned.
+
+    Parquet files with columns and rows selected from them have file path and row number. Any other frame is written once
+    to the shared folder and read from there.
+    """
+    if isinstance(df, Placed):
+        return df
+    spark = df.sparkSession
+    try:
+        uid = _file_ids(df) if _plain_selection(df._jdf.queryExecution().analyzed()) else None
+    except AnalysisException:  # not from files that number their rows
+        uid = None
+    if uid is None:
+        path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
+        uid = _file_ids(df)
+    if uid is None:
+        raise RuntimeError("no row numbers without overlap were found")
+    return Placed(df, uid)
+
+
+def texts(df: DataFrame | Placed, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(uid, doc_id, text) of a table, whatever its other columns are called. A null text counts as empty.
 
-    ``uid`` tells repeated rows apart. It follows the file splits, so a task that runs again gives the same numbers.
+    ``uid`` tells repeated rows apart. Of a plain frame it holds within one scan (a task that runs again gives the same
+    numbers); what joins two scans by it takes a ``Placed``.
     """
+    uid = df.uid if isinstance(df, Placed) else F.monotonically_increasing_id()
+    df = df.df if isinstance(df, Placed) else df
     return df.select(
-        F.monotonically_increasing_id().alias("uid"),
+        uid.alias("uid"),
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, stored, texts
+from barlight.llm.common import Placed, bounded_batches, placed, stored, texts
 
 # Words that count as units of measure.
 UNITS = (
@@ -200,7 +200,7 @@ def _document_windows(sizes: list[int], wanted: dict[int, np.ndarray] | None, li
 
 
 def leaks(
-    docs: DataFrame,
+    docs: DataFrame | Placed,
     benchmark: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -227,7 +227,8 @@ def leaks(
     windows are then filtered as they are made; beyond that all windows meet in a shuffled join. Null and empty texts and
     items match nothing; repeated documents are reported each, repeated items under each id.
     """
-    bounded_batches(docs.sparkSession)
+    docs = placed(docs)
+    bounded_batches(docs.df.sparkSession)
     items = texts(benchmark, item_col, item_text_col)
     wanted = stored(items.mapInArrow(_item_windows(window, literal), f"item_id long, item_tokens int, {_ITEM_WINDOW}"))
     counts = {r["size"]: r["n"] for r in wanted.groupBy("size").agg(F.count("*").alias("n")).collect()}
@@ -277,7 +278,8 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns. ``docs`` must be stored files."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns. Rows are told apart by file and row
+    number; a frame that is not read from files is written once."""
+    docs = placed(docs)
     hit = leaks(docs, benchmark, **options).select("uid").distinct()
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row"))
-    return rows.join(hit, "uid", "left_anti").select("row.*")
+    return docs.whole().join(hit, "uid", "left_anti").select("row.*")

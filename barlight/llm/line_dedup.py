@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, stored, texts
+from barlight.llm.common import Placed, bounded_batches, placed, stored, texts
 
 _LINES = "uid long, ord long, i int, a long, b long, ahead int, behind int"
 _LAST = (1 << 63) - 1
@@ -56,7 +56,7 @@ def _ranked(pairs: DataFrame) -> DataFrame:
     return stored(pairs.select("uid", "ord", "i", "a", "b").join(names, ["a", "b"]).select("uid", "ord", "i", "rank"))
 
 
-def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 40) -> DataFrame:
+def repeated_runs(df: DataFrame | Placed, id_col: str = "doc_id", text_col: str = "text", least: int = 40) -> DataFrame:
     """(uid, runs): for each row with deleted lines the runs (first line, number of lines) that cover them.
 
     Lines end at '\\n' and count their characters plus one. Occurrences are ordered by doc_id (null last), then row, then
@@ -74,7 +74,8 @@ def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Ranks are joined back on pairs stored beforehand, so that a line in a third of all documents is a skewed join that Spark
     splits; firsts are removed by their own place, which no two rows share.
     """
-    bounded_batches(df.sparkSession)
+    df = placed(df)
+    bounded_batches(df.df.sparkSession)
     rows = texts(df, id_col, text_col).select("uid", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "text")
     lines = stored(rows.mapInArrow(_lines(least), _LINES))
     ahead = lines.filter("ahead > 0").select("uid", "i", F.col("ahead").alias("n"))
@@ -123,10 +124,11 @@ def _without(text: pd.Series, runs: pd.Series) -> pd.DataFrame:
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 40) -> DataFrame:
     """(row, text, n_lines, n_removed): every row of ``df`` as a struct beside its text without later copies of line runs.
 
-    A null or empty text is one empty line, and stays. ``df`` must be stored files, since rows are told apart by their place.
+    A null or empty text is one empty line, and stays. Rows are told apart by file and row number; a frame that is not read from
+    files is written once.
     """
+    df = placed(df)
     runs = repeated_runs(df, id_col, text_col, least)
-    rows = df.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row"))
-    both = rows.join(runs, "uid", "left")
+    both = df.whole().join(runs, "uid", "left")
     without = F.pandas_udf(_without, "text string, n_lines long, n_removed long")
     return both.select("row", without(F.col(f"row.`{text_col}`"), "runs").alias("x")).select("row", "x.*")

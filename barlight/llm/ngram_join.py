@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, cut, stored, stretches, texts
+from barlight.llm.common import Placed, bounded_batches, cut, placed, stored, stretches, texts
 from barlight.llm.components import components
 
 WORDS = 5
@@ -283,7 +283,7 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(cols[0]), "root": pa.array(cols[1]), "links": pa.array(cols[2].astype(np.int64))})
 
 
-def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join_ngrams(df: DataFrame | Placed, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(uid, doc_id, n_shingles, n_links, component_id) of every row.
 
     A row's set is its distinct five-word shingles (fewer words: the whole sequence; no word: empty, linked with nothing).
@@ -303,7 +303,8 @@ def join_ngrams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Nothing is capped: the numbers above only shift work between the ways.
     """
-    bounded_batches(df.sparkSession)
+    df = placed(df)
+    bounded_batches(df.df.sparkSession)
     rows = texts(df, id_col, text_col)
     docs = stored(rows.mapInArrow(_documents, "uid long, doc_id long, key long, n long, z long"))
     distinct = stored(docs.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.min("uid").alias("uid"), F.max("n").alias("n"), F.max("z").alias("z"), F.count("*").alias("copies")))
@@ -373,12 +374,13 @@ def _labelled(docs: DataFrame, distinct: DataFrame, links: DataFrame, roots: Dat
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, one of each component (its smallest id, then its first row), with all their columns.
 
-    Rows without a word belong to no component and stay. ``df`` must be stored files.
+    Rows without a word belong to no component and stay. Rows are told apart by file
+    and row number; a frame that is not read from files is written once.
     """
+    df = placed(df)
     found = join_ngrams(df, id_col, text_col)
     full = found.filter("n_shingles > 0")
     grouped = full.select("uid", "doc_id", F.coalesce("component_id", F.lit(-1)).alias("component_id"))
     first = grouped.groupBy("component_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("o"), "uid")).alias("x")).select("x.uid")
     gone = full.select("uid").join(first, "uid", "left_anti")
-    rows = df.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row"))
-    return rows.join(gone, "uid", "left_anti").select("row.*")
+    return df.whole().join(gone, "uid", "left_anti").select("row.*")

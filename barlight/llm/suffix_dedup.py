@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, cut, fingerprint, stored, stretches, texts
+from barlight.llm.common import Placed, bounded_batches, cut, fingerprint, placed, stored, stretches, texts
 
 LENGTH = 50  # bytes of a string that counts
 GRAM = 24  # bytes of an anchor
@@ -143,7 +143,7 @@ def _post(buckets: int):
     """mapInArrow function: anchors of many documents, packed by bucket as 32 hash bits (their steps) and a row number from ``base`` on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, count, held = None, 0, 0
+        base, held = None, 0
         codes: list[np.ndarray] = []
         rows: list[np.ndarray] = []
 
@@ -161,19 +161,23 @@ def _post(buckets: int):
             return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(np.full(len(own), base), pa.int64()), *packed], names=["bucket", "base", "c", "r"])
 
         for batch in batches:
-            uid = batch.column("uid").to_numpy()
-            if base is not None and (held >= 1 << 21 or count + len(uid) > 60_000):
-                if codes:
-                    yield flush()
-                base, count, held = None, 0, 0
-            if base is None and len(uid):
-                base = int(uid[0])
-            for raw, starts, row, _ in _segments(_raw(batch)):
-                place, first, _, h = anchors(raw, starts)
-                codes.append(_codes(h, buckets))
-                rows.append(row[np.searchsorted(starts, first)] + count)
-                held += len(place)
-            count += len(uid)
+            uid, raws, at = batch.column("uid").to_numpy(), _raw(batch), 0
+            while at < len(uid):
+                far = uid[at:] - (uid[at] if base is None else base)
+                near = (far >= 0) & (far < 1 << 16)  # a new file starts elsewhere
+                n = len(near) if near.all() else int(near.argmin())
+                if base is not None and (held >= 1 << 21 or not n):
+                    if codes:
+                        yield flush()
+                    base, held = None, 0
+                    continue
+                base = int(uid[at]) if base is None else base
+                for raw, starts, row, _ in _segments(raws[at : at + n]):
+                    place, first, _, h = anchors(raw, starts)
+                    codes.append(_codes(h, buckets))
+                    rows.append(far[row[np.searchsorted(starts, first)]])
+                    held += len(place)
+                at += n
         if codes:
             yield flush()
 
@@ -502,7 +506,7 @@ def _copies(rows: DataFrame) -> DataFrame:
     return stored(marked.join(firsts, ["a", "b", "ord"], "left_anti").select("uid", "n"))
 
 
-def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed_spans(df: DataFrame | Placed, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(uid, spans): for rows with removed bytes the maximal removed runs, as little-endian 64-bit start and end pairs.
 
     A byte goes if a string of 50 bytes over it also starts in a row with a smaller doc_id. Strings lie within one text and
@@ -522,7 +526,8 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Anchors with more than ``HOT`` rows are dealt string by string, each reduced in its run beforehand, so a passage in a
     third of all documents is spread like the rest. Buckets grow in number with the input, not in size.
     """
-    bounded_batches(df.sparkSession)
+    df = placed(df)
+    bounded_batches(df.df.sparkSession)
     rows = texts(df, id_col, text_col).select("uid", "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(32, -(-size // (13 * BUCKET)))
@@ -541,8 +546,9 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def dedup_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, by ``removed_spans``. A null text counts as empty.
 
-    ``df`` must be stored files, since rows are told apart by their place.
+    Rows are told apart by file and row number; a frame that is not read from files is written once.
     """
+    df = placed(df)
     spans = stored(removed_spans(df, id_col, text_col))
     squeezed = texts(df, id_col, text_col).mapInArrow(_squeeze, "uid long, doc_id long, text binary")
     rows = squeezed.join(spans, "uid", "left").select("uid", "doc_id", "text", "spans")

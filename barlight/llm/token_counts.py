@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.common import bounded_batches, stored, texts
+from barlight.llm.common import bounded_batches, placed, stored, texts
 
 _CACHED_WORDS = 150_000
 _JOINED = 512  # new words encoded by one call
@@ -121,10 +121,12 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     the next ``overlap`` characters besides, which other tasks may encode; the two encodings of an overlap are spliced at a
     boundary that both prove. A document with a seam that cannot be closed is cut again with four times the chunk and
     overlap, until it closes or is one chunk. No special tokens are added; their strings in a text count as the library
-    takes them. Null and empty texts have 0 bytes and 0 tokens. ``path`` must be readable on the executors.
+    takes them. Null and empty texts have 0 bytes and 0 tokens. Repeated rows are counted
+    each: rows are told apart by file and row number, and a frame that is not read from files is written once. ``path`` must
+    be readable on the executors.
     """
     bounded_batches(df.sparkSession)
-    rows = texts(df, id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    rows = texts(placed(df), id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))
     schema = "uid long, doc_id long, n_bytes long, n long"
     small = rows.filter(F.length("text") <= size).select("uid", "doc_id", "n_bytes", "text").mapInArrow(_small_counts(path), schema)
     large = rows.filter(F.length("text") > size)
