@@ -13,6 +13,7 @@ from barlight.llm.common import bounded_batches
 
 UNDECIDED = "und"
 SHORT = 1024  # bytes up to which the strongest level packs, whose matches may be three bytes short
+STEP = 4  # bytes from one beginning of a short text to the next where whole sizes leave it undecided
 RESULT = "lang_pred string, score double, accepted boolean"
 
 
@@ -60,18 +61,20 @@ def train(
 
 def _letters(text: str) -> str:
     """Lower-cased words of letters, one space around each: marks, digits and layout say little about a language."""
-    import re
+    import regex
 
-    return " " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " "
+    return " " + " ".join(regex.findall(r"\p{L}+", text.lower())) + " "
 
 
 def predict(model: LanguageModel, text: Column) -> Column:
     """struct<lang_pred, score, accepted> of a text column.
 
-    The words of a whole text are packed with each dictionary and the smallest wins; of equal ones, the language with more
-    training rows, then the smaller name. ``score`` is the relative
-    gain over the second smallest, between 0 and 1; ``accepted`` says that it reaches the model's margin. A null text, a text
-    without a letter, or a model without languages gives 'und', 0 and false. With one language the score is 1.
+    The words of a whole text are packed with each dictionary and the smallest wins. Sizes are whole bytes, which says little
+    about a text of few words; where the margin is not reached by one of up to ``SHORT`` bytes, the sizes of all its
+    beginnings (every ``STEP`` bytes) are added up and compared instead. Of equal sizes, the language with more training rows
+    wins, then the smaller name. ``score`` is the relative gain over the second smallest, between 0 and 1; ``accepted`` says
+    that it reaches the model's margin. A null text, a text without a letter, or a model without languages gives 'und', 0 and
+    false. With one language the score is 1. Repeated rows are judged alike; a very long text is packed as one frame.
     """
     names, contents, margin, level = list(model.dictionaries), list(model.dictionaries.values()), model.margin, model.level
 
@@ -97,6 +100,10 @@ def predict(model: LanguageModel, text: Column) -> Column:
             if len(sizes) == 1:
                 return names[0], 1.0, True
             gain = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+            if gain < margin and len(raw) <= SHORT:
+                ends = range(STEP, len(raw) + STEP, STEP)
+                sizes = sorted((sum(len(p.compress(raw[:e])) for e in ends), i) for i, p in enumerate(strong))
+                gain = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
             return names[sizes[0][1]], gain, gain >= margin
 
         for batch in batches:
@@ -111,7 +118,10 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, accepted) of every row, learned from the rows that are not held out."""
+    """(doc_id, held_out, lang_pred, score, accepted) of every row, learned from the rows that are not held out.
+
+    Nulls, empty and long texts, ties and repeated rows are as ``predict`` says; an empty table gives no rows.
+    """
     bounded_batches(df.sparkSession)
     model = train(df.filter(~held_out(id_col)), id_col, text_col, lang_col, **options)
     found = df.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(id_col).alias("held_out"), predict(model, F.col(f"`{text_col}`")).alias("p"))
@@ -119,7 +129,11 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def keep_accepted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """The rows of ``df`` whose language is accepted, with all their columns."""
+    """The rows of ``df`` whose language is accepted, with all their columns.
+
+    Null and empty texts and texts without a letter go, and texts that two languages still pack alike; repeated rows stay or
+    go together; an empty table gives no rows.
+    """
     bounded_batches(df.sparkSession)
     model = train(df.filter(~held_out(id_col)), id_col, text_col, lang_col, **options)
     kept = df.select(F.struct("*").alias("row"), predict(model, F.col(f"`{text_col}`")).alias("p")).filter("p.accepted")
