@@ -13,7 +13,7 @@ from barlight.operators import ml
 from barlight.operators.backtest import backtest_metrics, run_backtest
 from barlight.operators.daily import add_targets
 from barlight.operators.evaluate import top_importances
-from barlight.operators.indicators import technical_indicators
+from barlight.operators.indicators import moving_averages, price_changes, technical_indicators
 from barlight.operators.splits import holdout
 from barlight.plans import compose as pl
 from barlight.session import settle
@@ -62,6 +62,60 @@ def train_regressors(spark, sf):
     return _results(spark, ml.train_regressors(model_frame(spark, sf), COLUMNS, models_config=SMALL_REGRESSORS))
 
 
+# Four features whose SQL is short, for models that SQL can solve.
+RIDGE_COLUMNS = ["momentum_5", "momentum_10", "price_ma_5_ratio", "price_ma_20_ratio"]
+
+
+def _ridge(spark, sf):
+    frame = moving_averages(price_changes(add_targets(with_returns(bars(spark, sf)))))
+    return ml.train_regressors(frame, RIDGE_COLUMNS, models_config={"ridge": ml.REGRESSORS["ridge"]})["ridge"]
+
+
+def _ridge_sql(alphas, folds, last):
+    """Normal equations of standardised features for each (alpha, fold), by Gauss-Jordan steps over the augmented matrix."""
+    p = len(RIDGE_COLUMNS)
+    ratios = ", ".join(f"coalesce(close / {sql_full('avg', 'close', w)}, 0) AS x{i}" for i, w in ((2, 5), (3, 20)))
+    moments = ", ".join([*[f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS s{i}, covar_pop(x{i}, y) AS c{i}" for i in range(p)], *[f"corr(x{i}, x{j}) AS r{i}{j}" for i in range(p) for j in range(i)]])
+    cell = lambda i, j: "1 + alpha / n" if i == j else f"r{max(i, j)}{min(i, j)}"
+    matrix = ", ".join("[" + ", ".join([*[cell(i, j) for j in range(p)], f"c{i} / s{i}"]) + "]" for i in range(p))
+    row = "list_transform(list_zip(m[i], m[k]), lambda a: a[1] - a[2] * m[i][k] / m[k][k])"
+    own = "list_transform(m[k], lambda a: a / m[k][k])"
+    fitted = " + ".join(f"b[{i + 1}] * (x{i} - m{i}) / s{i}" for i in range(p))
+    return f"""f AS (SELECT * FROM (SELECT ticker, date, coalesce({sql_change('close', 5)}, 0) AS x0, coalesce({sql_change('close', 10)}, 0) AS x1, {ratios},
+        lead(ret) OVER ({SERIES}) AS y FROM rbars) t WHERE y IS NOT NULL),
+      d AS (SELECT date, (row_number() OVER (ORDER BY date) - 1 - (n - 5 * (n // 6))) AS o, n // 6 AS size FROM (SELECT date, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM f) x) y),
+      g AS (SELECT f.*, CASE WHEN o >= 0 THEN o // size ELSE -1 END AS fold FROM f JOIN d USING (date)),
+      t AS (SELECT k.fold AS k, count(*) AS n, avg(y) AS my, {moments} FROM g JOIN (VALUES {folds}) k(fold) ON g.fold < k.fold GROUP BY 1),
+      e(k, alpha, i, m) AS (SELECT k, alpha, 0, [{matrix}] FROM t, (VALUES {alphas}) a(alpha) UNION ALL
+        SELECT z, alpha, k, list_transform([{', '.join(str(i + 1) for i in range(p))}], lambda i: CASE WHEN i = k THEN {own} ELSE {row} END)
+        FROM (SELECT k AS z, alpha, i + 1 AS k, m FROM e WHERE i < {p}) s),
+      s AS (SELECT k, alpha, list_transform(m, lambda a: a[{p + 1}]) AS b FROM e WHERE i = {p}),
+      {last.format(fitted=fitted)}"""
+
+
+@query(
+    "ridge_grid",
+    "WITH RECURSIVE " + ", ".join([BARS, RBARS, _ridge_sql("(0.1), (1.0), (5.0)", "(0), (1), (2), (3), (4)", "q AS (SELECT CAST(s.alpha AS DOUBLE) AS alpha, CAST(s.k AS INTEGER) AS fold, -avg((y - my - ({fitted})) * (y - my - ({fitted}))) AS neg_mse FROM s JOIN t ON t.k = s.k JOIN g ON g.fold = s.k GROUP BY 1, 2)")])
+    + " SELECT alpha, fold, round(neg_mse, 13) + 0.0 AS neg_mse FROM q",
+)
+def ridge_grid(spark, sf):
+    """Every alpha in every fold."""
+    rows = [(p["params"]["alpha"], fold, v) for p in _ridge(spark, sf).cv_results for fold, v in enumerate(p["fold_scores"])]
+    return rounded(spark.createDataFrame(rows, "alpha double, fold int, neg_mse double"), 13)
+
+
+@query(
+    "ridge_model",
+    "WITH RECURSIVE " + ", ".join([BARS, RBARS, _ridge_sql("(0.1), (1.0), (5.0)", "(0), (1), (2), (3), (4), (5)", "q AS (SELECT s.k, s.alpha, -avg((y - my - ({fitted})) * (y - my - ({fitted}))) AS v FROM s JOIN t ON t.k = s.k JOIN g ON g.fold = s.k GROUP BY 1, 2), best AS (SELECT alpha FROM (SELECT alpha, avg(v) AS v FROM q GROUP BY 1) x ORDER BY v DESC LIMIT 1)")])
+    + f" SELECT unnest([{', '.join(repr(c) for c in RIDGE_COLUMNS)}]) AS feature, round(unnest([{', '.join(f'b[{i + 1}] / s{i}' for i in range(4))}]), 12) + 0.0 AS weight FROM s JOIN t USING (k) WHERE k = 5 AND s.alpha = (SELECT alpha FROM best)",
+)
+def ridge_model(spark, sf):
+    """Weights of the best ridge model, refitted on all rows, in the features' own units."""
+    scaler, linear = _ridge(spark, sf).model.stages
+    weights = [(c, float(b) / float(s) if s else 0.0) for c, b, s in zip(RIDGE_COLUMNS, linear.coefficients, scaler.std)]
+    return rounded(spark.createDataFrame(weights, "feature string, weight double"), 12)
+
+
 def _fit(spark, sf, spec=FOREST, params=FOREST_POINT, label="target_dir_1d"):
     """The frame, and a model of the rows before each ticker's holdout."""
     frame = model_frame(spark, sf)

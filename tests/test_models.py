@@ -128,3 +128,47 @@ def test_metrics_payload_is_one_json_object_per_ticker(rows, tmp_path):
     st.write_metrics(pl.metrics_payload(scored, metrics, 2), str(tmp_path / "m"))
     lines = [json.loads(x) for p in (tmp_path / "m").glob("*.json") for x in p.read_text().splitlines()]
     assert {x["ticker"] for x in lines} == {"A", "B"} and lines[0]["eval_holdout"]["report"][0]["class"] == "0"
+
+
+def _folds(rows, label):
+    from barlight.operators.splits import expanding_folds
+
+    data = ml.assemble(expanding_folds(rows, 3), COLUMNS, label).select("features", "label", "fold").cache()
+    sizes = {r["fold"]: r["count"] for r in data.groupBy("fold").count().collect()}
+    return ml.Folds(data, sizes, sorted(f for f in sizes if f >= 0))
+
+
+@pytest.mark.parametrize("kind, label, score", [("xgb", "target_dir_1d", ml._f1), ("xgbr", "target_return_1d", ml._neg_mse)])
+def test_first_rounds_of_one_boosting_equal_separate_fits(rows, kind, label, score):
+    score = score()
+    spec = (ml.CLASSIFIERS | ml.REGRESSORS)[kind]
+    folds, points = _folds(rows, label), ml._points({"rounds": [2, 5, 9], "depth": [2], "rate": [0.3]})
+    assert spec.sweep(folds, points, score, 4) == ml._single_fits(spec)(folds, points, score, 4)
+
+
+@pytest.mark.parametrize("kind, label, score", [("rf", "target_dir_1d", ml._f1), ("rfr", "target_return_1d", ml._neg_mse)])
+def test_forests_grow_in_parts(rows, kind, label, score):
+    score = score()
+    spec = (ml.CLASSIFIERS | ml.REGRESSORS)[kind]
+    folds, points = _folds(rows, label), ml._points({"trees": [4, 10], "depth": [3], "min_leaf": [1, 3]})
+    grown, single = spec.sweep(folds, points, score, 4), ml._single_fits(spec)(folds, points, score, 4)
+    assert [s for p, s in zip(points, grown) if p["trees"] == 4] == [s for p, s in zip(points, single) if p["trees"] == 4]
+    assert all(abs(a[f] - b[f]) < 0.3 for a, b in zip(grown, single) for f in folds.tests)
+
+
+def test_ridge_from_products_equals_fits_and_normal_equations(rows):
+    far = rows.withColumn("x1", F.col("x1") * 1e-3 + 1e6)
+    spec, points = ml.REGRESSORS["ridge"], [{"alpha": a} for a in (0.0, 0.5, 40.0)]
+    for df in (rows, far):
+        folds = _folds(df, "target_return_1d")
+        swept = spec.sweep(folds, points, ml._neg_mse(), 1)
+        single = ml._single_fits(spec)(folds, points, ml._neg_mse(), 4)
+        for a, b in zip(swept, single, strict=True):
+            assert a == pytest.approx(b, rel=1e-5)
+    pdf = rows.toPandas()
+    x = pdf[COLUMNS].to_numpy()
+    z = (x - x.mean(0)) / x.std(0)
+    y = pdf["target_return_1d"].to_numpy()
+    want = np.linalg.solve(z.T @ z + 40.0 * np.eye(2), z.T @ (y - y.mean())) / x.std(0)
+    scaler, linear = ml.fit_rows(rows, COLUMNS, "target_return_1d", spec, {"alpha": 40.0}).stages
+    assert np.allclose(linear.coefficients.toArray() / scaler.std.toArray(), want, rtol=1e-9)
