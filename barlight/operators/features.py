@@ -96,8 +96,7 @@ def full_features(df: DataFrame, order: str = "date") -> DataFrame:
     df = lower_names(df)
     if "returns" not in df.columns and "return" in df.columns:
         df = df.withColumn("returns", F.col("return"))
-    back = max(ind.TECHNICAL_BACK, 64)
-    lane = lay_out(ind.pad_close(df, order=order), back=back, order=order, blocks=True)
+    lane = lay_out(ind.pad_close(df, order=order), back=ind.TECHNICAL_BACK, order=order, blocks=True)
     lane = ind.technical_lane(lane)
     extra = {f"{p}_range": F.col(p) for p in ("doji", "hammer", "shooting_star")}
     extra |= _lag_roll(lane, df.columns, FULL_LAGS, FULL_ROLLS)

@@ -10,7 +10,7 @@ from barlight.operators.layout import BLOCK_ROWS, Lane, fill_forward, lay_out
 from barlight.operators.rolling import (
     change,
     decay_rows,
-    ewm_mean,
+    ewm_means,
     frame_stats,
     full_mean,
     full_std,
@@ -172,41 +172,31 @@ def rsi(bars: DataFrame, window: int = 14, name: str = "rsi_14", order: str = "d
     return add_rsi(lay_out(bars, back=window + 1, order=order), name, window).finish()
 
 
-def macd_back(fast: int = 12, slow: int = 26, signal: int = 9) -> int:
-    return max(decay_rows(fast), decay_rows(slow)) + decay_rows(signal)
+def add_macd_line(lane: Lane, fast: int = 12, slow: int = 26) -> Lane:
+    lane = ewm_means(lane, {"_fast": ("close", fast), "_slow": ("close", slow)})
+    return lane.add({"macd": F.col("_fast") - F.col("_slow")}).without(["_fast", "_slow"])
 
 
-def macd_line(lane: Lane, fast: int = 12, slow: int = 26) -> dict[str, Column]:
-    return {"macd": ewm_mean(lane, "close", fast) - ewm_mean(lane, "close", slow)}
+def add_macd(lane: Lane, fast: int = 12, slow: int = 26, signal: int = 9) -> Lane:
+    """The line, its signal and their difference; block rows must suit ``slow`` and ``signal`` (see ``block_rows_for``)."""
+    lane = ewm_means(add_macd_line(lane, fast, slow), {"macd_signal": ("macd", signal)})
+    return lane.add({"macd_histogram": F.col("macd") - F.col("macd_signal")})
 
 
-def macd_signal(lane: Lane, signal: int = 9) -> dict[str, Column]:
-    return {"macd_signal": ewm_mean(lane, "macd", signal)}
-
-
-def _macd_histogram() -> dict[str, Column]:
-    return {"macd_histogram": F.col("macd") - F.col("macd_signal")}
-
-
-def block_rows_for(back: int) -> int:
-    return max(BLOCK_ROWS, 4 * back)
+def block_rows_for(*spans: float) -> int:
+    """Blocks of at least four times the rows after which a weight is below double precision."""
+    return max(BLOCK_ROWS, 4 * max(decay_rows(s) for s in spans))
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, order: str = "date") -> DataFrame:
-    back = max(decay_rows(fast), decay_rows(slow))
-    lane = lay_out(bars, back=back, order=order, blocks=True, block_rows=block_rows_for(back))
-    means = lane.add({"_fast": ewm_mean(lane, "close", fast), "_slow": ewm_mean(lane, "close", slow)}).finish()
-    line = fill_forward(means, ["_fast", "_slow"], order).withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    lane = lay_out(line, back=decay_rows(signal), order=order, blocks=True, block_rows=block_rows_for(decay_rows(signal)))
-    return lane.add(macd_signal(lane, signal)).add(_macd_histogram()).finish()
+    lane = lay_out(bars, order=order, blocks=True, block_rows=block_rows_for(fast, slow, signal))
+    return add_macd(lane, fast, slow, signal).finish()
 
 
 def ewm(bars: DataFrame, column: str, spans: list[int], order: str = "date") -> DataFrame:
     """``{column}_ewm_{span}`` for each span; a missing value repeats the mean before it, however long the gap."""
-    back = max(decay_rows(s) for s in spans)
-    lane = lay_out(bars, back=back, order=order, blocks=True, block_rows=block_rows_for(back))
-    names = {f"{column}_ewm_{s}": ewm_mean(lane, column, s) for s in spans}
-    return fill_forward(lane.add(names).finish(), [*names], order)
+    lane = lay_out(bars, order=order, blocks=True, block_rows=block_rows_for(*spans))
+    return ewm_means(lane, {f"{column}_ewm_{s}": (column, s) for s in spans}).finish()
 
 
 def momentum_sum(bars: DataFrame, order: str = "date") -> DataFrame:
@@ -244,33 +234,33 @@ def candles_shadow() -> dict[str, Column]:
     }
 
 
-TECHNICAL_BACK = macd_back()
+TECHNICAL_BACK = 64  # rows that the deepest chain of frames reaches: two of 20 and a change, or one of 50
 
 
 def technical_lane(lane: Lane) -> Lane:
     """The indicator set on a block lane whose frame carries the padded close.
 
     Windows are grouped by depth - on prices, on those results, on theirs - so the blocks are walked
-    three times in all, and each frame's aggregates are evaluated once.
+    three times in all, and each frame's aggregates are evaluated once. Exponential means borrow no rows:
+    blocks hand their state on.
     """
+    lane = add_macd(lane)
     prices = {**_average_stats(lane, (5, 10)), **frame_stats(lane, "close", 20, "sum", "std"), **_volume_stats(lane)}
-    lane = lane.add(
-        {**prices, "price_change": change(lane, PADDED, 1), **_momentum_price(lane), **_delta(lane), **macd_line(lane)}
-    )
+    lane = lane.add({**prices, "price_change": change(lane, PADDED, 1), **_momentum_price(lane), **_delta(lane)})
     lane = lane.add({**candle_ratios(), **candles_range(), **_volume_ratio(), **_averages(), **_band_edges()})
     lane = lane.add({**_trends((5, 20)), **_average_ratios(), **_band_place(), **_gains()}).without(prices)
 
     spread, strength = _change_stats(lane), _strength_stats(lane)
-    lane = lane.add({**spread, **strength, **macd_signal(lane)})
-    lane = lane.add({**_price_volatility(), **_relative_strength("rsi_14"), **_macd_histogram()})
+    lane = lane.add({**spread, **strength})
+    lane = lane.add({**_price_volatility(), **_relative_strength("rsi_14")})
     lane = lane.without(["_delta", "_gain", "_loss", *spread, *strength])
 
     regime = _regime_stats(lane)
     return lane.add(regime).add(_regime()).without(regime)
 
 
-def technical_indicators(bars: DataFrame, order: str = "date") -> DataFrame:
+def technical_indicators(bars: DataFrame, order: str = "date", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The full indicator set in one layout: one shuffle on ticker, windows staged on the same blocks."""
     require(bars, "open", "high", "low", "close", "volume")
-    lane = lay_out(pad_close(bars, order=order), back=TECHNICAL_BACK, order=order, blocks=True)
+    lane = lay_out(pad_close(bars, order=order), back=TECHNICAL_BACK, order=order, blocks=True, block_rows=block_rows)
     return technical_lane(lane).finish(PADDED)

@@ -30,7 +30,7 @@ from barlight.session import settle
 KEY = "ticker"
 BLOCK_ROWS = 4096
 
-_ROW, _DAY, _BLOCK, _OWN, _POS = "_row", "_day", "_block", "_own", "_pos"
+_ROW, _DAY, _BLOCK, _OWN, _POS, _CELL = "_row", "_day", "_block", "_own", "_pos", "_cell"
 
 
 class Lane(NamedTuple):
@@ -38,6 +38,9 @@ class Lane(NamedTuple):
     part: list[str]
     order: list[str]
     width: int = 0  # rows a block can span, 0 when the lane is the whole series
+    back: int = 0  # borrowed rows before a block's own
+    block_rows: int = 0
+    calendar: bool = True  # whether a ticker's series is short enough for one window
 
     @property
     def window(self) -> WindowSpec:
@@ -54,6 +57,14 @@ class Lane(NamedTuple):
     def position(self) -> Column:
         return F.col(_POS)
 
+    @property
+    def row(self) -> Column:
+        return F.col(_ROW)
+
+    @property
+    def own(self) -> Column:
+        return F.col(_OWN)
+
     def add(self, columns: dict[str, Column]) -> "Lane":
         return self._replace(df=self.df.withColumns(columns)) if columns else self
 
@@ -104,7 +115,35 @@ def lay_out(
     last = F.floor((r + back) / block_rows)
     spread = rows.withColumn(_BLOCK, F.explode(F.sequence(first, last)))
     spread = spread.withColumns({_OWN: F.col(_BLOCK) == home, _POS: r - F.col(_BLOCK) * block_rows + back})
-    return Lane(spread, [KEY, _BLOCK], [_ROW], back + block_rows + ahead)
+    return Lane(spread, [KEY, _BLOCK], [_ROW], back + block_rows + ahead, back, block_rows, not is_intraday(df, order))
+
+
+def chained(lane: Lane, cell: Column, states: dict[str, Column], join: Callable[[Column, Column], Column]) -> Lane:
+    """What each cell of a block starts from: ``name`` becomes the state at the end of the cells before it in the series.
+
+    A cell is a run of a block's own rows (``cell`` numbers it, null on borrowed rows). ``states[name]`` is a cell's own state, a
+    struct at its last row or null; ``join(before, own)`` is the state after both. A cell starts from the last cell
+    that has a state, joined with the one before that, so states must fade within a cell: what is older may not matter.
+
+    Within a calendar this is a window over the ticker. Intraday, one row a cell is chained and joined back; the lane is
+    stored for that, since both read it.
+    """
+    own = {f"_own_{n}": c for n, c in states.items()}
+    lane = lane.add({_CELL: cell}).add(own)
+
+    def chain(df: DataFrame, order: list[str]) -> DataFrame:
+        before = W.partitionBy(KEY).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        last = lambda c: F.last(c, ignorenulls=True).over(before)
+        df = df.withColumns({f"_prev_{n}": last(o) for n, o in zip(states, own)})
+        joined = {o: F.when(F.col(o).isNotNull() & F.col(f"_prev_{n}").isNotNull(), join(F.col(f"_prev_{n}"), F.col(o))).otherwise(F.col(o)) for n, o in zip(states, own)}
+        return df.withColumns(joined).withColumns({n: last(o) for n, o in zip(states, own)}).drop(*own, *[f"_prev_{n}" for n in states])
+
+    if lane.calendar:
+        return lane._replace(df=chain(lane.df, [_BLOCK, _ROW]).drop(_CELL))
+    df = settle(lane.df)
+    key = [KEY, _BLOCK, _CELL]
+    cells = df.filter(F.col(_CELL).isNotNull()).groupBy(*key).agg(*[F.max(o).alias(o) for o in own])
+    return lane._replace(df=df.drop(*own).join(chain(cells, [_BLOCK, _CELL]), key, "left").drop(_CELL))
 
 
 # A running aggregate: how rows of a day fold, and how the fold of earlier days joins in.

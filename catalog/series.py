@@ -357,6 +357,39 @@ def tech_full(spark, sf):
     return pick(ind.technical_indicators(bars(spark, sf)), _TECH_PLAIN, _TECH_NUM, 4)
 
 
+def _gap_ema(name: str, frame: str, column: str, span: int) -> str:
+    """Weights over all rows before, those without a value left out of both sums."""
+    q = f"(1 - 2.0::DOUBLE / {span + 1})"
+    return f"""{name} AS (SELECT a.ticker, a.date, sum(b.{column} * pow({q}, a.rn - b.rn)) / sum(CASE WHEN b.{column} IS NOT NULL THEN pow({q}, a.rn - b.rn) END) AS v
+      FROM {frame} a JOIN {frame} b ON a.ticker = b.ticker AND b.rn <= a.rn GROUP BY 1, 2)"""
+
+
+_GAP_ROWS = (300, 1300)
+
+
+@query(
+    "tech_full_gaps",
+    sql_rounded(
+        ctes(
+            BARS,
+            f"r AS (SELECT ticker, date, CASE WHEN rn < {_GAP_ROWS[0]} OR rn >= {_GAP_ROWS[1]} THEN close END AS close, rn FROM (SELECT *, row_number() OVER ({SERIES}) AS rn FROM bars) b)",
+            _gap_ema("e12", "r", "close", 12),
+            _gap_ema("e26", "r", "close", 26),
+            "md AS (SELECT r.ticker, r.date, r.rn, r.close, e12.v - e26.v AS macd FROM r JOIN e12 USING (ticker, date) JOIN e26 USING (ticker, date))",
+            _gap_ema("e9", "md", "macd", 9),
+        ),
+        f"""SELECT md.ticker, md.date, macd, e9.v AS macd_signal, macd - e9.v AS macd_histogram, {sql_full('avg', 'close', 20)} AS ma_20
+          FROM md JOIN e9 ON e9.ticker = md.ticker AND e9.date = md.date""".replace("PARTITION BY ticker ORDER BY date", "PARTITION BY md.ticker ORDER BY md.date"),
+        "ticker, date", "macd, macd_signal, macd_histogram, ma_20", 4,
+    ),
+)
+def tech_full_gaps(spark, sf):
+    """The indicator set where closes are missing for longer than a block: means repeat through the gap."""
+    rn = F.row_number().over(W.partitionBy("ticker").orderBy("date"))
+    b = bars(spark, sf).withColumn("close", F.when((rn < _GAP_ROWS[0]) | (rn >= _GAP_ROWS[1]), F.col("close")))
+    return pick(ind.technical_indicators(b, block_rows=256), "ticker, date", "macd, macd_signal, macd_histogram, ma_20", 4)
+
+
 _FULL_BARS = [RBARS, "named AS (SELECT ticker, date, open, high, low, close, volume, ret AS returns FROM rbars)"]
 _FULL_FILLED = ["momentum_5", "momentum_10", "momentum_20", "price_change_20d", "price_ratio_20", "returns_lag_14", "returns_roll_10", "bb_width"]
 

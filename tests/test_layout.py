@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from barlight.operators import indicators as ind
 from barlight.operators import layout as lo
 from barlight.operators.backtest import backtest_metrics, run_backtest
-from barlight.operators.rolling import ewm_mean, roll_mean, roll_std
+from barlight.operators.rolling import ewm_means, roll_mean, roll_std
 from barlight.operators.splits import expanding_folds, holdout
 
 
@@ -89,23 +89,43 @@ def test_exponential_mean_matches_pandas(ticks, span):
         np.testing.assert_allclose(g[f"close_ewm_{span}"].astype(float), expected, rtol=1e-9)
 
 
-def test_short_span_in_long_blocks_uses_the_fold(ticks):
-    lane = lo.lay_out(ticks, back=64, blocks=True, block_rows=100_000)
-    out = frame(lane.add({"e": ewm_mean(lane, "close", 2)}).finish())
+@pytest.mark.parametrize("block_rows", [150, 100_000])
+@pytest.mark.parametrize("kind", ["intraday", "daily"])
+def test_short_span_in_cells(ticks, block_rows, kind):
+    lane = lo.lay_out(ticks if kind == "intraday" else daily_copy(ticks), back=10, blocks=True, block_rows=block_rows)
+    out = frame(ewm_means(lane, {"e": ("close", 2), "f": ("close", 1)}).finish())
     for _, g in out.groupby("ticker"):
         np.testing.assert_allclose(g["e"].astype(float), g["close"].ewm(span=2).mean(), rtol=1e-9)
+        np.testing.assert_allclose(g["f"].astype(float), g["close"].ffill())
 
 
-def test_macd_across_small_blocks(ticks):
-    back = ind.macd_back()
-    lane = lo.lay_out(ticks.dropna(), back=back, blocks=True, block_rows=200)
-    out = frame(lane.add(ind.macd_line(lane)).add(ind.macd_signal(lane)).finish())
+@pytest.mark.parametrize("kind", ["intraday", "daily"])
+def test_macd_across_small_blocks(ticks, kind):
+    some = ticks.dropna()
+    lane = lo.lay_out(some if kind == "intraday" else daily_copy(some), back=7, blocks=True, block_rows=2000 if kind == "daily" else 500)
+    out = frame(ind.add_macd(lane).finish())
     for _, g in out.groupby("ticker"):
         line = g["close"].ewm(span=12).mean() - g["close"].ewm(span=26).mean()
         np.testing.assert_allclose(g["macd"], line, atol=1e-9)
         np.testing.assert_allclose(g["macd_signal"], line.ewm(span=9).mean(), atol=1e-9)
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_states_of_nearly_empty_blocks_are_joined(spark, kind):
+    """Values at the ends and the beginnings of blocks, whole blocks empty between them."""
+    rows, size = 6000, 500
+    close = pd.Series(np.nan, index=range(rows))
+    for at in (0, 499, 500, 999, 1000, 1001, 1999, 4000, 4499, 4500, 5999):
+        close[at] = 10.0 + at % 7
+    days = pd.date_range("1990-01-01", periods=rows)
+    pdf = pd.DataFrame({"ticker": "T", "date": days, "close": close.astype(object).where(close.notna(), None)})
+    df = spark.createDataFrame(pdf, "ticker string, date timestamp, close double").withColumn("date", F.col("date").cast(kind))
+    lane = lo.lay_out(df, blocks=True, block_rows=size)
+    out = frame(ewm_means(lane, {f"e{s}": ("close", s) for s in (3, 12, 26)}).finish())
+    for s in (3, 12, 26):
+        np.testing.assert_allclose(out[f"e{s}"].astype(float), close.ewm(span=s).mean().ffill(), rtol=1e-9)
+
+
 def daily_copy(ticks):
     """The same series under calendar days, which takes the plain lane."""
     n = F.row_number().over(W.partitionBy("ticker").orderBy("date"))
