@@ -52,12 +52,17 @@ def first_text(*candidates: Column | str) -> Column:
 
 
 def standard_label(label: Column | str, id2label: dict[int, str] | None = None) -> Column:
-    """The class a label means; ``id2label`` names a model's own ids, given as ``label_{id}`` or as the id."""
+    """The class a label means: the fixed spellings first, then ``id2label``, a model's own names by id.
+
+    An id may be given as ``label_{id}`` or as itself; its name may be one of the fixed spellings too.
+    """
     clean = F.lower(F.trim(F.coalesce(as_col(label), F.lit(""))))
-    if id2label:
-        own = {k: v.strip().lower() for i, v in id2label.items() for k in (f"label_{i}", str(i))}
-        clean = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in own.items() for x in pair]), clean), clean)
-    known = F.create_map(*[F.lit(x) for pair in LABEL_CLASSES.items() for x in pair])
+    classes = dict(LABEL_CLASSES)
+    for i, name in (id2label or {}).items():
+        own = name.strip().lower()
+        for spelling in (f"label_{i}", str(i)):
+            classes.setdefault(spelling, LABEL_CLASSES.get(own, own))
+    known = F.create_map(*[F.lit(x) for pair in classes.items() for x in pair])
     return F.when(F.coalesce(as_col(label), F.lit("")) == "", F.lit("neutral")).otherwise(
         F.coalesce(F.try_element_at(known, clean), clean)
     )

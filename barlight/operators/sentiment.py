@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -66,6 +67,42 @@ def _occurrences(text: str, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(F.col(text), F.lit(mark), F.lit("")))
 
 
+def phrase_places(words: Column, phrases: dict[str, float]) -> Column:
+    """array<struct<at, size, value>> of phrases in an array of lower-case words, first come first served, the longest first.
+
+    The phrases of each length are one map from their joined words, so a place costs one lookup a length. A place inside an
+    earlier match starts none of its own.
+    """
+    by_size: dict[int, dict[str, float]] = {}
+    for phrase, value in phrases.items():
+        parts = [w for w in re.split(r"[\W\d_]+", phrase.lower()) if w]
+        if not parts:
+            raise ValueError(f"a phrase without words: {phrase!r}")
+        by_size.setdefault(len(parts), {})[" ".join(parts)] = float(value)
+
+    def at(i: Column, size: int, known: dict[str, float]) -> Column:
+        table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+        value = F.try_element_at(table, F.array_join(F.slice(words, i + 1, size), " "))
+        return F.when(value.isNotNull(), F.struct(i.alias("at"), F.lit(size).alias("size"), value.alias("value")))
+
+    def longest(i: Column) -> Column:
+        return F.coalesce(*[at(i, size, by_size[size]) for size in sorted(by_size, reverse=True)])
+
+    firsts = F.lit(False)
+    for known in by_size.values():
+        firsts |= F.arrays_overlap(words, F.array(*[F.lit(x) for x in sorted({p.split(" ")[0] for p in known})]))
+    found = F.filter(F.transform(F.sequence(F.lit(0), F.size(words) - 1), longest), lambda m: m.isNotNull())
+    none = F.array().cast("array<struct<at:int,size:int,value:double>>")
+    start = F.struct(F.lit(0).alias("free"), none.alias("kept"))
+    kept = F.aggregate(
+        found,
+        start,
+        lambda acc, m: F.when(m["at"] >= acc["free"], F.struct((m["at"] + m["size"]).alias("free"), F.concat(acc["kept"], F.array(m)).alias("kept"))).otherwise(acc),
+        lambda acc: acc["kept"],
+    )
+    return F.when(firsts, kept).otherwise(none)
+
+
 def lexicon_scores_with_rules(
     texts: DataFrame,
     lexicon: DataFrame,
@@ -74,18 +111,28 @@ def lexicon_scores_with_rules(
     text: str = "text",
     contrast: str | None = None,
     emphasis: bool = False,
+    idioms: dict[str, float] | None = None,
 ) -> DataFrame:
     """Lexicon scores with negation and booster words among the three tokens before a scored word.
 
     ``contrast`` (such as "but") halves what comes before its first use and lifts what comes after by half.
     ``emphasis`` lifts words in capitals, in a text that has others too, and the whole by its marks: up to
-    four '!', two '?' or more. Windows run over the tokens of one distinct text.
+    four '!', two '?' or more. ``idioms`` are phrases with a valence of their own, which stands for all their words and for
+    what negation and boosters would make of them. Windows run over the tokens of one distinct text.
     """
     distinct = with_text_key(texts, text).groupBy("text_hash").agg(F.first(as_text(text)).alias("_text"))
     marks = F.least(_occurrences("_text", "!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION
     asked = _occurrences("_text", "?")
     marks += F.when(asked > FEW_QUESTIONS, MANY_QUESTIONS).when(asked > 1, asked * QUESTION).otherwise(0.0)
-    tokens = distinct.select("text_hash", marks.alias("_marks"), F.posexplode(F.split("_text", TOKEN_BREAK)).alias("pos", "_raw"))
+    distinct = distinct.select("text_hash", marks.alias("_marks"), F.split("_text", TOKEN_BREAK).alias("_raws"))
+    if idioms:
+        lowered = distinct.withColumn("_lower", F.transform("_raws", F.lower))
+        distinct = lowered.withColumn("_places", phrase_places(F.col("_lower"), idioms)).drop("_lower")
+    else:
+        distinct = distinct.withColumn("_places", F.lit(None).cast("array<struct<at:int,size:int,value:double>>"))
+    tokens = distinct.select("text_hash", "_marks", "_places", F.posexplode("_raws").alias("pos", "_raw"))
+    inside = F.filter("_places", lambda p: (F.col("pos") >= p["at"]) & (F.col("pos") < p["at"] + p["size"]))
+    tokens = tokens.withColumn("_idiom", F.get(F.when(F.size("_places") > 0, inside), F.lit(0))).drop("_places")
     tokens = tokens.withColumn("word", F.lower("_raw"))
     tokens = tokens.join(broadcast_if_small(_words(lexicon)), "word", "left")
     negates = F.col("word").isin(negations) if negations else F.lit(False)
@@ -102,11 +149,13 @@ def lexicon_scores_with_rules(
         words = W.partitionBy("text_hash")
         capitals, others = F.sum(capital.cast("int")).over(words), F.sum((~capital & (F.col("_raw") != "")).cast("int")).over(words)
         valence += F.when(capital & (capitals > 0) & (others > 0), sign * CAPITALS).otherwise(0.0)
-    value = (valence + sign * lift) * F.when(negated, NEGATION_FACTOR).otherwise(1.0)
+    value = F.coalesce((valence + sign * lift) * F.when(negated, NEGATION_FACTOR).otherwise(1.0), F.lit(0.0))
+    first = F.col("pos") == F.col("_idiom.at")
+    value = F.when(F.col("_idiom").isNull(), value).otherwise(F.when(first, F.col("_idiom.value")).otherwise(0.0))
     if contrast:
         turn = F.min(F.when(F.col("word") == contrast, F.col("pos"))).over(W.partitionBy("text_hash"))
         value *= F.when(F.col("pos") < turn, BEFORE_CONTRAST).when(F.col("pos") > turn, AFTER_CONTRAST).otherwise(1.0)
-    tokens = tokens.withColumn("_value", F.when(F.col("_v").isNotNull(), value).otherwise(0.0))
+    tokens = tokens.withColumn("_value", value)
     out = tokens.groupBy("text_hash").agg(F.sum("_value").alias("_total"), F.first("_marks").alias("_marks"))
     if emphasis:
         out = out.withColumn("_total", F.col("_total") + F.signum("_total") * F.col("_marks"))

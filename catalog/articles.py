@@ -285,6 +285,21 @@ def ticker_key(spark, sf):
     return c.select("c_custkey", tx.ticker_key(t).alias("ticker"), tx.base_symbol(F.concat(t, F.lit(".NS"))).alias("base"))
 
 
+_OWN_IDS = {0: "positive", 3: "POS", 4: "Bearish"}
+_ID_LABELS = ["label_0", "label_3", "4", " Pos ", "label_7"]
+
+
+@query(
+    "label_ids",
+    """SELECT event_id, ['negative', 'positive', 'bearish', 'positive', 'label_7'][event_id % 5 + 1] AS label FROM events""",
+)
+def label_ids(spark, sf):
+    """A model's own names by id, after the fixed spellings."""
+    e = table(spark, sf, "events", "event_id")
+    raw = F.element_at(F.array(*[F.lit(x) for x in _ID_LABELS]), (F.col("event_id") % 5 + 1).cast("int"))
+    return e.select("event_id", tx.standard_label(raw, _OWN_IDS).alias("label"))
+
+
 _RAW_LABELS = ["POS", "label_0", " Neutral ", "", "Bullish", "Label_2", "NEG", "LABEL_1"]
 
 
@@ -383,6 +398,31 @@ def lexicon_emphasis_sentiment(spark, sf):
     return pick(out, "text_hash", "score", 5)
 
 
+_IDIOMS = {"of the": 2.0, "is that it": -1.5, "for a": 0.5}
+
+
+@query(
+    "lexicon_idioms_sentiment",
+    sql_rounded(
+        ctes(
+            LEXICON,
+            """tok AS (SELECT text_hash, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM (
+              SELECT text_hash, string_split_regex(lower(text), '[^\\p{L}]+') AS w FROM (SELECT DISTINCT sha256(text) AS text_hash, text FROM documents) d) e)""",
+            """n AS (SELECT text_hash, pos, word, tenths / 10.0::DOUBLE AS v, lead(word) OVER w AS w1, lead(word, 2) OVER w AS w2, lag(word) OVER w AS b1, lag(word, 2) OVER w AS b2
+              FROM tok LEFT JOIN lexicon USING (word) WINDOW w AS (PARTITION BY text_hash ORDER BY pos))""",
+            """s AS (SELECT text_hash, sum(CASE WHEN word = 'of' AND w1 = 'the' THEN 2.0 WHEN b1 = 'of' AND word = 'the' THEN 0
+              WHEN word = 'is' AND w1 = 'that' AND w2 = 'it' THEN -1.5 WHEN b1 = 'is' AND word = 'that' AND w1 = 'it' THEN 0 WHEN b2 = 'is' AND b1 = 'that' AND word = 'it' THEN 0
+              WHEN word = 'for' AND w1 = 'a' THEN 0.5 WHEN b1 = 'for' AND word = 'a' THEN 0 ELSE coalesce(v, 0) END)::DOUBLE AS s FROM n GROUP BY 1)""",
+        ),
+        "SELECT text_hash, s / sqrt(s * s + 15) AS score FROM s", "text_hash", "score", 5,
+    ),
+)
+def lexicon_idioms_sentiment(spark, sf):
+    """Phrases of two and three words whose valence stands for that of their words."""
+    out = sm.lexicon_scores_with_rules(table(spark, sf, "documents", "text"), lexicon(spark), [], {}, idioms=_IDIOMS)
+    return pick(out, "text_hash", "score", 5)
+
+
 def length_scorer():
     """Deterministic stand-in for a model: the class follows the text length."""
     classes = [("NEGATIVE", 0.7), ("label_1", 0.5), ("Positive", 0.7)]

@@ -381,9 +381,26 @@ def granger(spark, sf):
     return pick(ss.granger(preds(spark, sf), x="prob_up"), "ticker, lag, n, test", "statistic")
 
 
-@query("granger_p_values")
+# Tails as power series whose terms are written out with the logarithm of the gamma function: no continued fraction.
+_GRANGER_P = """st AS (SELECT *, n - 2 * lag - 1 AS free, greatest(((ssr0 - ssr1) / lag) / (ssr1 / (n - 2 * lag - 1)), 0) AS f, n * (ssr0 - ssr1) / ssr1 AS chi2, n * ln(ssr0 / ssr1) AS lr FROM ssr),
+  fx AS (SELECT ticker, lag, n, f, lag / 2.0::DOUBLE AS p, free / 2.0::DOUBLE AS q, lag * f / (free + lag * f) AS x FROM st),
+  ft AS (SELECT ticker, lag, n, f, 1 - exp(p * ln(x) + q * ln(1 - x) + lgamma(p + q) - lgamma(p) - lgamma(q)) / p * sum(exp(lgamma(p + q + k) - lgamma(p + q) + lgamma(p + 1) - lgamma(p + 1 + k) + k * ln(x))) AS tail
+    FROM fx, (SELECT unnest(range(0, 500)) AS k) r GROUP BY ticker, lag, n, f, p, q, x),
+  cx AS (SELECT ticker, lag, n, 'ssr_chi2test' AS test, chi2 AS statistic, lag / 2.0::DOUBLE AS s, chi2 / 2 AS x FROM st UNION ALL SELECT ticker, lag, n, 'lrtest', lr, lag / 2.0::DOUBLE, lr / 2 FROM st),
+  ct AS (SELECT ticker, lag, n, test, statistic, 1 - sum(exp((s + k) * ln(x) - x - lgamma(s + k + 1))) AS tail FROM cx, (SELECT unnest(range(0, 500)) AS k) r GROUP BY ticker, lag, n, test, statistic, s, x)"""
+
+
+@query(
+    "granger_p_values",
+    sql_rounded(
+        ctes(BARS, PREDS, _GLAGS, *[p for parts, _ in _SWEEPS for p in parts], "ssr AS (" + " UNION ALL ".join(b for _, b in _SWEEPS) + ")", _GRANGER_P),
+        """SELECT ticker, lag, n, test, f AS statistic, tail AS p_value FROM ft, (VALUES ('ssr_ftest'), ('params_ftest')) t(test)
+        UNION ALL SELECT ticker, lag, n, test, statistic, tail FROM ct""",
+        "ticker, lag, n, test", "statistic, p_value", 6,
+    ),
+)
 def granger_p_values(spark, sf):
-    return ss.granger(preds(spark, sf), x="prob_up")
+    return pick(ss.granger(preds(spark, sf), x="prob_up"), "ticker, lag, n, test", "statistic, p_value", 6)
 
 
 # ---- tables behind charts

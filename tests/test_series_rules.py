@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from barlight.functions.text import standard_label
 from barlight.operators import indicators as ind
+from barlight.operators import sentiment as sm
 from barlight.operators import stats as ss
 from barlight.operators.calendar import align_to_trading_day, session_map
 from barlight.operators.splits import expanding_folds
@@ -73,3 +77,31 @@ def test_stage_keeps_awkward_texts(spark, tmp_path):
     df = spark.createDataFrame(rows, "i int, text string")
     st.write_stage(df, str(tmp_path / "s"))
     assert sorted((r["i"], r["text"]) for r in st.read_stage(spark, str(tmp_path / "s"), df.schema).collect()) == rows
+
+
+def test_idioms_are_taken_leftmost_and_longest(spark):
+    phrases = {"yeah right": -2.0, "kiss of death": -1.5, "of death star": 3.0, "death": 9.0, "kiss of": 1.0}
+    texts = ["Kiss of death star", "a kiss of life, yeah -- RIGHT!", "of death star of death", "yeah yeah right right", "death", "", "kiss"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = F.transform(F.split("t", sm.TOKEN_BREAK), F.lower)
+    got = [[(p["at"], p["size"], p["value"]) for p in r["p"]] for r in df.select(sm.phrase_places(words, phrases).alias("p")).collect()]
+
+    def brute(text):
+        w, i, out = re.split(r"[\W\d_]+", text.lower()), 0, []
+        while i < len(w):
+            for size in (3, 2, 1):
+                if " ".join(w[i : i + size]) in phrases and i + size <= len(w):
+                    out.append((i, size, phrases[" ".join(w[i : i + size])]))
+                    i += size
+                    break
+            else:
+                i += 1
+        return out
+
+    assert got == [brute(t) for t in texts]
+
+
+def test_fixed_spellings_come_before_a_models_own_names(spark):
+    rows = [("label_0", "negative"), ("LABEL_3", "positive"), ("4", "bearish"), ("pos", "positive"), ("", "neutral"), (None, "neutral"), ("odd", "odd")]
+    df = spark.createDataFrame(rows, "l string, want string").select(standard_label("l", {0: "positive", 3: "POS", 4: "Bearish", 9: "pos"}).alias("got"), "want")
+    assert df.filter("not got <=> want").count() == 0
