@@ -62,10 +62,11 @@ def tag_source(news: DataFrame, source: str) -> DataFrame:
     return news.withColumn("source", F.lit(source))
 
 
-def dedupe_canonical(news: DataFrame) -> DataFrame:
-    """One article per ticker and canonical URL: the earliest published, then the smallest URL."""
+def dedupe_canonical(news: DataFrame, first: list[str] | None = None) -> DataFrame:
+    """One article per ticker and canonical URL: the first by the ``first`` columns (a feed's own order, where it is known),
+    then the earliest published, then the smallest URL."""
     keyed = with_keys(news).withColumn("url_canon", canonical_url("url"))
-    order = [*missing_last("published"), *missing_last("url")]
+    order = [*[F.col(c) for c in first or []], *missing_last("published"), *missing_last("url")]
     return first_per_key(keyed, [KEY, "url_canon"], order).drop("url_canon")
 
 

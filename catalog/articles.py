@@ -208,6 +208,43 @@ def feed_regional(spark, sf, max_results=None):
     return naive(feeds.regional_news(payload, "The OR src1", "2024-01-02", "2024-01-25", max_results), "published")
 
 
+# Pages of a provider that gives newer articles first within a page; a URL's copies lie on several pages.
+_PAGED = """paged AS (SELECT *, doc_id % 5 AS page, row_number() OVER (PARTITION BY ticker, doc_id % 5 ORDER BY published DESC, doc_id) - 1 AS place FROM news)"""
+_IN_FEED = f"QUALIFY row_number() OVER (PARTITION BY ticker, {CANON} ORDER BY page, place) = 1"
+
+
+def _paged(spark, sf, field, article, **more):
+    at = F.struct(-F.unix_micros("published").alias("newest"), "doc_id", article.alias("a"))
+    pages = news(spark, sf).withColumn("page", F.col("doc_id") % 5).groupBy("ticker", "page").agg(F.sort_array(F.collect_list(at)).alias("list"))
+    return pages.select("ticker", "page", F.col("list.a").alias(field), *[F.lit(v).alias(k) for k, v in more.items()])
+
+
+@query("news_dedupe_feed_order", f"{ctes(NEWS, _PAGED)} SELECT ticker, title, text AS content, url, published, source FROM paged {_IN_FEED}")
+def news_dedupe_feed_order(spark, sf):
+    """Of copies of one URL the first in the provider's own order stays."""
+    article = F.struct(
+        "title", F.lit(None).cast("string").alias("description"), F.col("text").alias("content"), "url",
+        _iso("yyyy-MM-dd'T'HH:mm:ssXXX").alias("publishedAt"), F.struct(F.col("source").alias("name")).alias("source"),
+    )
+    out = feeds.newsapi_news(_paged(spark, sf, "articles", article, status="ok"))
+    return naive(out.drop("description"), "published")
+
+
+@query(
+    "rss_feed_order_capped",
+    f"""{ctes(NEWS, _PAGED)}, once AS (SELECT * FROM paged {_IN_FEED})
+    SELECT ticker, title, title AS text, url, published, source FROM once QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY page, place) <= 40""",
+)
+def rss_feed_order_capped(spark, sf):
+    """The first entries of a feed, duplicates not counted."""
+    stamp = _iso("EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    article = F.struct(
+        "title", F.col("url").alias("link"), F.col("url").alias("id"), stamp.alias("published"), stamp.alias("updated"),
+        F.to_json(F.struct(F.col("source").alias("title"))).alias("source"),
+    )
+    return naive(feeds.rss_news(_paged(spark, sf, "entries", article), 40), "published")
+
+
 _CAPPED = "capped AS (SELECT * FROM news QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY published DESC, url) <= 60)"
 
 
