@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from barlight.functions import text as tx
@@ -10,7 +12,9 @@ from barlight.operators import news as nw
 from barlight.operators import sentiment as sm
 from barlight.operators.calendar import normalize_timestamps
 from barlight.operators.features import sentiment_flags
+from barlight.session import shared_folder
 from barlight.sources import feeds
+from barlight.sources.scores import ScoreStore
 from catalog.base import *  # noqa: F403
 
 HEAD = "regexp_extract(url, '^(([A-Za-z][A-Za-z0-9+.\\-]*:)?(//[^/?#]*)?)')"
@@ -518,3 +522,22 @@ def score_cache_duplicates(spark, sf):
     cache = cache.withColumns({"label": F.lit("cached"), "score": F.lit(0.25)})
     scores, _ = sm.score_with_cache(docs, cache.union(cache), length_scorer)
     return sm.attach_scores(docs, scores).select("doc_id", "label", "sent_score")
+
+
+@query(
+    "score_cache_compacted",
+    f"""WITH o AS (SELECT DISTINCT sha256(text) AS h FROM documents JOIN labels USING (doc_id)),
+    n AS (SELECT DISTINCT sha256(text) AS h FROM documents JOIN labels USING (doc_id) WHERE quality = 1 UNION SELECT DISTINCT sha256(text) FROM documents WHERE doc_id % 3 = 0)
+    SELECT sha256(text) AS text_hash, any_value(CASE WHEN n.h IS NOT NULL THEN 'new' WHEN o.h IS NOT NULL THEN 'old' ELSE {_STUB.format('text')} END) AS label,
+    any_value(CASE WHEN n.h IS NOT NULL THEN 0.3 WHEN o.h IS NOT NULL THEN 0.1 ELSE {_STUB_SCORE.format('text')} END) AS score
+    FROM documents LEFT JOIN o ON o.h = sha256(text) LEFT JOIN n ON n.h = sha256(text) GROUP BY 1""",
+)
+def score_cache_compacted(spark, sf):
+    """A store that was appended to twice, then filled with what it lacked: one row a text, the newest score."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    judged = docs.join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id")
+    store = ScoreStore(spark, f"{shared_folder(spark)}/scores-{uuid.uuid4().hex}")
+    better = judged.filter("quality = 1").select("text").union(docs.filter("doc_id % 3 = 0").select("text"))
+    for texts, label, score in ((judged, "old", 0.1), (better, "new", 0.3)):
+        store.append(sm.with_text_key(texts).select("text_hash", F.lit(label).alias("label"), F.lit(score).alias("score")))
+    return store.score(docs, length_scorer).select("text_hash", "label", "score")
