@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barlight.llm.common import Placed, bounded_batches, placed, stored, texts
 
-# Words that count as units of measure.
+# The author's choice: words that count as units of measure, and spelled-out numbers.
 UNITS = (
     "%", "$", "€", "£", "cent", "cents", "cm", "day", "days", "degree", "degrees", "dollar", "dollars", "euro", "euros", "feet", "foot", "ft", "g", "gram",
     "grams", "h", "hour", "hours", "hr", "hrs", "inch", "inches", "kg", "kilogram", "kilograms", "kilometer", "kilometers", "kilometre", "kilometres", "km",
@@ -19,6 +19,11 @@ UNITS = (
     "mm", "month", "months", "mph", "ounce", "ounces", "oz", "percent", "pound", "pounds", "s", "sec", "second", "seconds", "ton", "tons", "week", "weeks",
     "yard", "yards", "year", "years",
 )
+NUMBER_WORDS = (
+    "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen",
+    "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million",
+    "dozen", "half", "twice",
+)
 _CACHED_WORDS = 150_000
 _WINDOW = "h long, size int, at int, slots array<string>"
 _ITEM_WINDOW = f"{_WINDOW}, upto int, begin int, end int, head boolean, tail boolean"
@@ -40,9 +45,10 @@ class _Codes(dict):
 class Templates:
     """Template tokens of texts: words in lower case, with numbers, units and names as typed placeholders.
 
-    A word loses the marks around it; one of marks alone is no token. A name is a word with a capital first letter that is
-    neither all capitals nor at the start of a sentence (of the text, or after a word that ends with . ! ? or :). A run of
-    words of one type without a mark in between is one slot.
+    A word loses the marks around it; one of marks alone is no token. A number is one of digits (with $ before or % after), or spelled out (parts joined
+    by hyphens too). A name is a word with a capital first letter that is not all capitals. The first word of a sentence is
+    taken for one as well, as nothing tells a name from another word there; its slot holds the word, so verbatim copies
+    agree. A run of words of one type without a mark in between is one slot.
     """
 
     def __init__(self) -> None:
@@ -51,34 +57,37 @@ class Templates:
         import xxhash
 
         self.marks = bytes(b for b in range(128) if not chr(b).isalnum() and chr(b) not in "$%")
-        self.number = re.compile(rb"[0-9][0-9.,]*$").match
+        self.number = re.compile(rb"\$?[0-9][0-9.,]*%?$").match
         self.digest = xxhash.xxh3_64_intdigest
         self.units = {u.encode() for u in UNITS}
+        self.spelled = {w.encode() for w in NUMBER_WORDS}
         self.forget()
 
     def forget(self) -> None:
         self.index = _Codes(self._learn)
         self.core: list[bytes] = []
-        # by word: hash, hash of the word itself, type (-1: no token), may be a name, ends a sentence, marks before, after
+        # by word: hash, hash of the word itself, type (-1: no token), is a name, marks before, after
         self.hash, self.exact, self.kind = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.int8)
-        self.name, self.ends = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
+        self.name = np.empty(_CACHED_WORDS * 2, bool)
         self.opens, self.closes = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
 
     def _learn(self, word: bytes) -> int:
         core = word.strip(self.marks)
         shown = core if core.isascii() else core.decode("utf-8", "replace")
         lower = shown.lower() if shown is core else shown.lower().encode()
-        kind = _NUMBER if core[:1].isdigit() and self.number(core) else _UNIT if lower in self.units else _LITERAL
+        if (core[:1].isdigit() or core[:1] == b"$") and self.number(core) or lower in self.spelled or b"-" in lower and self.spelled.issuperset(lower.split(b"-")):
+            kind = _NUMBER
+        else:
+            kind = _UNIT if lower in self.units else _LITERAL
         k = len(self.core)
         if k == len(self.hash):  # one text of very many words
             self.hash, self.exact, self.kind = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.exact, self.kind))
-            self.name, self.ends, self.opens, self.closes = (np.concatenate([x, np.empty_like(x)]) for x in (self.name, self.ends, self.opens, self.closes))
+            self.name, self.opens, self.closes = (np.concatenate([x, np.empty_like(x)]) for x in (self.name, self.opens, self.closes))
         self.core.append(lower)
         self.exact[k] = self.digest(b"w" + lower)
         self.hash[k] = self.exact[k] if kind == _LITERAL else self.digest(b"slot%d" % kind)
         self.kind[k] = kind if core else -1
         self.name[k] = kind == _LITERAL and shown[:1].isupper() and not (len(shown) > 1 and shown.isupper())
-        self.ends[k] = word[-1:] in b".!?:"
         self.opens[k], self.closes[k] = word[:1] != core[:1], word[-1:] != core[-1:]
         return k
 
@@ -91,8 +100,6 @@ class Templates:
         if not len(codes):
             return np.empty(0, np.uint64), np.empty(0, np.int8), codes, codes
         hashes, kind, name = self.hash[codes], self.kind[codes], self.name[codes]
-        name[0] = False
-        name[1:] &= ~self.ends[codes[:-1]]
         if name.any():
             kind[name] = _NAME
             hashes[name] = np.uint64(0x5DEECE66D1234567)

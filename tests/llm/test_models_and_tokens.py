@@ -212,7 +212,34 @@ def test_longer_slot_values_and_added_words_are_one_alignment(spark, tmp_path):
     assert got.get((3, 1), (0.0,))[0] < 1.0
 
 
+REWORDED = [
+    ("Anna has 12 red apples and 7 pears.", "Mary has 15 red apples and 9 pears."),
+    ("Weng earns $12 an hour for babysitting.", "Bob earns $15 an hour for babysitting."),
+    (
+        "A shop sells three pens for five dollars and two books for nine dollars every day.",
+        "A shop sells six pens for twenty-one dollars and four books for eight dollars every day.",
+    ),
+]
+
+
+def test_opening_names_and_spelled_out_numbers_are_slots(spark, tmp_path):
+    items = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(REWORDED)], "item_id long, text string")
+    docs = [(i, b) for i, (_, b) in enumerate(REWORDED)] + [(10 + i, f"Here, in passing: {a} So it goes.") for i, (a, _) in enumerate(REWORDED)]
+    docs += [(20, "A shop sells ink and paper. Bob earns little. Mary has no pears."), (21, "Anna has 12 red apples and Mary has 12 pears.")]
+    found = decontaminate.leaks(as_files(spark, spark.createDataFrame(docs, "doc_id long, text string"), tmp_path), items)
+    got = {(r.doc_id, r.item_id): r.changed for r in found.collect()}
+    assert {k: v for k, v in got.items() if k[0] < 20} == {**{(i, i): True for i in range(3)}, **{(10 + i, i): False for i in range(3)}}
+    assert 20 not in {d for d, _ in got}
+
+
+def test_very_long_texts_are_searched_whole(spark, tmp_path):
+    docs = [(1, "some words of no item at all " * 60_000 + ITEM), (2, "filler " * 200_000)]
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    found = decontaminate.leaks(as_files(spark, spark.createDataFrame(docs, "doc_id long, text string"), tmp_path), items)
+    assert [(r.doc_id, r.coverage) for r in found.collect()] == [(1, 1.0)]
+
+
 def test_registered_sql_names_registered_queries():
     from barlight.llm.queries import QUERIES
 
-    assert set(SQL) <= set(QUERIES) and [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert set(SQL) <= set(QUERIES) and [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
