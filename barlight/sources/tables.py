@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,18 +40,35 @@ def write_records(news: DataFrame, path: str) -> None:
     news.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(path)
 
 
-# A missing value is written as this private-use character, so that it differs from an empty text.
-_STAGE = {"header": True, "quote": '"', "escape": '"', "nullValue": "\ue000", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# A missing value is written as backslash N, which no text becomes, since its own backslashes are doubled.
+_STAGE = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _texts_as(df: DataFrame, spelled) -> DataFrame:
+    return df.select(*[spelled(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def _escaped(c: Column) -> Column:
+    """The text in one line: backslashes doubled, line ends spelled."""
+    for plain, spelled in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(plain), F.lit(spelled))
+    return c
+
+
+def _plain(c: Column) -> Column:
+    """What :func:`_escaped` spelled; between doubled backslashes a single one belongs to a line end."""
+    parts = F.transform(F.split(c, r"\\\\", -1), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(c.isNotNull(), F.array_join(parts, "\\"))
 
 
 def write_stage(df: DataFrame, path: str) -> None:
-    """CSV whose texts keep line ends, quotes, blanks and emptiness; quotes are doubled."""
-    df.write.mode("overwrite").options(**_STAGE, quoteAll=True).csv(path)
+    """CSV whose texts keep line ends, quotes, blanks and emptiness; quotes are doubled, a record is one line."""
+    _texts_as(df, _escaped).write.mode("overwrite").options(**_STAGE, quoteAll=True).csv(path)
 
 
 def read_stage(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What :func:`write_stage` wrote. Texts with line ends make a file one split; stages are files of bounded size."""
-    return spark.read.schema(schema).options(**_STAGE, multiLine=True).csv(path)
+    """What :func:`write_stage` wrote. A record is one line, so large files are read by many tasks."""
+    return _texts_as(spark.read.schema(schema).options(**_STAGE).csv(path), _plain)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

@@ -74,11 +74,23 @@ def test_a_date_outside_the_calendar_is_an_error(spark):
 
 def test_stage_keeps_awkward_texts(spark, tmp_path):
     rows = [(0, None), (1, ""), (2, 'a "quoted" one'), (3, "two\nlines\r\nand a third"), (4, "  blanks  "), (5, "back\\slash\\"), (6, ",;\t'"), (7, '"'), (8, "null")]
+    rows += [(9, "\\N"), (10, "\ue000"), (11, "\\n is no line end, \n is"), (12, "\\\n\\\\n\r\\r"), (13, "\\"), (14, "N"), (15, "\u2028 \x85 \x0b")]
     df = spark.createDataFrame(rows, "i int, text string")
     st.write_stage(df, str(tmp_path / "s"))
     assert sorted((r["i"], r["text"]) for r in st.read_stage(spark, str(tmp_path / "s"), df.schema).collect()) == rows
 
 
+def test_a_stage_file_is_read_by_several_tasks(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id", "concat('line one of ', id, '\n', 'line \"two\"', '\r\n', repeat('x', id % 50)) as text")
+    st.write_stage(df.coalesce(1), str(tmp_path / "s"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        back = st.read_stage(spark, str(tmp_path / "s"), df.schema)
+        assert back.rdd.getNumPartitions() > 4 and back.exceptAll(df).isEmpty() and back.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_idioms_are_taken_leftmost_and_longest(spark):
     phrases = {"yeah right": -2.0, "kiss of death": -1.5, "of death star": 3.0, "death": 9.0, "kiss of": 1.0}
     texts = ["Kiss of death star", "a kiss of life, yeah -- RIGHT!", "of death star of death", "yeah yeah right right", "death", "", "kiss"]
