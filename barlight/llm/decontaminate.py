@@ -61,35 +61,46 @@ class Templates:
         self.digest = xxhash.xxh3_64_intdigest
         self.units = {u.encode() for u in UNITS}
         self.spelled = {w.encode() for w in NUMBER_WORDS}
+        self.slot_hash = np.array([0, *(self.digest(b"slot%d" % kind, 1) for kind in (_NUMBER, _UNIT, _NAME)), 0], np.uint64)
         self.forget()
 
     def forget(self) -> None:
         self.index = _Codes(self._learn)
         self.core: list[bytes] = []
-        # by word: hash, hash of the word itself, type (-1: no token), is a name, marks before, after
-        self.hash, self.exact, self.kind = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.int8)
-        self.name = np.empty(_CACHED_WORDS * 2, bool)
-        self.opens, self.closes = np.empty(_CACHED_WORDS * 2, bool), np.empty(_CACHED_WORDS * 2, bool)
+        # by word: hash of its token, hash of the word itself, type (-1: no token), marks before (1) and after (2)
+        self.hash, self.exact = np.empty(_CACHED_WORDS * 2, np.uint64), np.empty(_CACHED_WORDS * 2, np.uint64)
+        self.kind, self.edge = np.empty(_CACHED_WORDS * 2, np.int8), np.empty(_CACHED_WORDS * 2, np.uint8)
+        self.new: tuple[list, list, list] = ([], [], [])  # (exact, kind, edge) of words not in the arrays yet
 
     def _learn(self, word: bytes) -> int:
         core = word.strip(self.marks)
         shown = core if core.isascii() else core.decode("utf-8", "replace")
         lower = shown.lower() if shown is core else shown.lower().encode()
-        if (core[:1].isdigit() or core[:1] == b"$") and self.number(core) or lower in self.spelled or b"-" in lower and self.spelled.issuperset(lower.split(b"-")):
+        if not core:
+            kind = -1
+        elif (core[0] < 58 and self.number(core)) or lower in self.spelled or (b"-" in lower and self.spelled.issuperset(lower.split(b"-"))):
             kind = _NUMBER
+        elif lower in self.units:
+            kind = _UNIT
         else:
-            kind = _UNIT if lower in self.units else _LITERAL
-        k = len(self.core)
-        if k == len(self.hash):  # one text of very many words
-            self.hash, self.exact, self.kind = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.exact, self.kind))
-            self.name, self.opens, self.closes = (np.concatenate([x, np.empty_like(x)]) for x in (self.name, self.opens, self.closes))
+            kind = _NAME if shown[:1].isupper() and not (len(shown) > 1 and shown.isupper()) else _LITERAL
+        exact, kinds, edges = self.new
+        exact.append(self.digest(lower))
+        kinds.append(kind)
+        edges.append(0 if len(core) == len(word) else (word[:1] != core[:1]) + 2 * (word[-1:] != core[-1:]))
         self.core.append(lower)
-        self.exact[k] = self.digest(b"w" + lower)
-        self.hash[k] = self.exact[k] if kind == _LITERAL else self.digest(b"slot%d" % kind)
-        self.kind[k] = kind if core else -1
-        self.name[k] = kind == _LITERAL and shown[:1].isupper() and not (len(shown) > 1 and shown.isupper())
-        self.opens[k], self.closes[k] = word[:1] != core[:1], word[-1:] != core[-1:]
-        return k
+        return len(self.core) - 1
+
+    def _keep_new(self) -> None:
+        """Words learned one by one go into the arrays together."""
+        exact, kinds, edges = self.new
+        begin, end = len(self.core) - len(exact), len(self.core)
+        while end > len(self.hash):  # one text of very many words
+            self.hash, self.exact, self.kind, self.edge = (np.concatenate([x, np.empty_like(x)]) for x in (self.hash, self.exact, self.kind, self.edge))
+        self.exact[begin:end], self.kind[begin:end], self.edge[begin:end] = exact, kinds, edges
+        kind = self.kind[begin:end]
+        self.hash[begin:end] = np.where(kind == _LITERAL, self.exact[begin:end], self.slot_hash[kind])
+        self.new = ([], [], [])
 
     def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, type, word) of every token, and the first token of every slot or literal; ``word`` indexes ``core``."""
@@ -99,12 +110,11 @@ class Templates:
         codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if not len(codes):
             return np.empty(0, np.uint64), np.empty(0, np.int8), codes, codes
-        hashes, kind, name = self.hash[codes], self.kind[codes], self.name[codes]
-        if name.any():
-            kind[name] = _NAME
-            hashes[name] = np.uint64(0x5DEECE66D1234567)
+        if self.new[0]:
+            self._keep_new()
+        hashes, kind, edge = self.hash[codes], self.kind[codes], self.edge[codes]
         first = np.ones(len(codes), bool)
-        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _LITERAL) | self.closes[codes[:-1]] | self.opens[codes[1:]]
+        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _LITERAL) | ((edge[:-1] & 2) | (edge[1:] & 1)).astype(bool)
         if kind.min() < 0:
             real = kind >= 0
             hashes, kind, codes, first = hashes[real], kind[real], codes[real], first[real]
@@ -112,14 +122,27 @@ class Templates:
 
     @staticmethod
     def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-        """Hash of every window of ``size`` tokens."""
+        """Hash of every window of ``size`` tokens: windows of 1, 2, 4, ... tokens, each from two of the ones before, put together
+        by the binary digits of ``size``."""
         n = len(hashes) - size + 1
         if n <= 0:
             return np.empty(0, np.uint64)
-        out = np.full(n, size, np.uint64)
-        for k in range(size):
-            out = (out ^ hashes[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(31)
+        out, begin, length = None, 0, 1
+        while True:
+            if size & length:
+                part = hashes[begin : begin + n]
+                out = part if out is None else Templates.joined(out, part)
+                begin += length
+            length *= 2
+            if length > size:
+                return Templates.joined(out, np.uint64(size))
+            hashes = Templates.joined(hashes[: len(hashes) - length // 2], hashes[length // 2 :])
+
+    @staticmethod
+    def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = a * np.uint64(0x9E3779B97F4A7C15)
+        out += b
+        out ^= out >> np.uint64(31)
         return out
 
     def keyed(self, hashes: np.ndarray, kind: np.ndarray, word: np.ndarray, first: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,12 +156,14 @@ class Templates:
         n = len(hashes) - abs(size) + 1
         if n <= 0:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
-        literals = np.concatenate([[0], np.cumsum(kind == _LITERAL)])
-        rich = literals[abs(size) :] - literals[:n] >= min(literal, abs(size))
+        literals = np.zeros(len(kind) + 1, np.int32)
+        np.cumsum(kind == _LITERAL, out=literals[1:])
+        held = literals[abs(size) :] - literals[:n]
         if size > 0:
-            at = np.flatnonzero(rich)
-            return at, self.windows(hashes, size)[at]
-        at = np.flatnonzero(~rich)
+            out = self.windows(hashes, size)
+            at = np.flatnonzero(held >= min(literal, size))
+            return at, out if len(at) == n else out[at]
+        at = np.flatnonzero(held < min(literal, -size))
         out, exact = np.full(len(at), -size, np.uint64), self.exact[word]
         for k in range(-size):
             out = (out ^ exact[at + k]) * np.uint64(0x9E3779B97F4A7C15)
