@@ -7,6 +7,8 @@ model kind take part; the grids here hold two points a kind, since the default o
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from barlight.operators import ml
@@ -16,7 +18,8 @@ from barlight.operators.evaluate import top_importances
 from barlight.operators.indicators import moving_averages, price_changes, technical_indicators
 from barlight.operators.splits import holdout
 from barlight.plans import compose as pl
-from barlight.session import settle
+from barlight.session import settle, shared_folder
+from barlight.sources import tables as st
 from catalog.articles import _TOKENS, length_scorer
 from catalog.base import *  # noqa: F403
 from catalog.evaluation import BACKTEST, _auc_sql
@@ -71,49 +74,107 @@ def _ridge(spark, sf):
     return ml.train_regressors(frame, RIDGE_COLUMNS, models_config={"ridge": ml.REGRESSORS["ridge"]})["ridge"]
 
 
-def _ridge_sql(alphas, folds, last):
+def _ridge_rows() -> str:
+    ratios = ", ".join(f"coalesce(close / {sql_full('avg', 'close', w)}, 0) AS x{i}" for i, w in ((2, 5), (3, 20)))
+    return f"""f AS (SELECT * FROM (SELECT ticker, date, coalesce({sql_change('close', 5)}, 0) AS x0, coalesce({sql_change('close', 10)}, 0) AS x1, {ratios},
+        lead(ret) OVER ({SERIES}) AS y FROM rbars) t WHERE y IS NOT NULL)"""
+
+
+# Rows with the fold they are tested in: five expanding folds on shared dates, or the last rows of each ticker as fold 0.
+_BY_DATE = """d AS (SELECT date, (row_number() OVER (ORDER BY date) - 1 - (n - 5 * (n // 6))) AS o, n // 6 AS size FROM (SELECT date, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM f) x) y),
+      g AS (SELECT f.*, CASE WHEN o >= 0 THEN o // size ELSE -1 END AS fold FROM f JOIN d USING (date))"""
+_HOLDOUT = f"""g AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= greatest(1, least({HELD_ROWS}, count(*) OVER (PARTITION BY ticker) - 1)) THEN 0 ELSE -1 END AS fold FROM f)"""
+_FITTED = "my + " + " + ".join(f"b[{i + 1}] * (x{i} - m{i}) / s{i}" for i in range(len(RIDGE_COLUMNS)))
+
+
+def _ridge_sql(rows: str, alphas: str, folds: str, last: str) -> str:
     """Normal equations of standardised features for each (alpha, fold), by Gauss-Jordan steps over the augmented matrix."""
     p = len(RIDGE_COLUMNS)
-    ratios = ", ".join(f"coalesce(close / {sql_full('avg', 'close', w)}, 0) AS x{i}" for i, w in ((2, 5), (3, 20)))
     moments = ", ".join([*[f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS s{i}, covar_pop(x{i}, y) AS c{i}" for i in range(p)], *[f"corr(x{i}, x{j}) AS r{i}{j}" for i in range(p) for j in range(i)]])
     cell = lambda i, j: "1 + alpha / n" if i == j else f"r{max(i, j)}{min(i, j)}"
     matrix = ", ".join("[" + ", ".join([*[cell(i, j) for j in range(p)], f"c{i} / s{i}"]) + "]" for i in range(p))
     row = "list_transform(list_zip(m[i], m[k]), lambda a: a[1] - a[2] * m[i][k] / m[k][k])"
     own = "list_transform(m[k], lambda a: a / m[k][k])"
-    fitted = " + ".join(f"b[{i + 1}] * (x{i} - m{i}) / s{i}" for i in range(p))
-    return f"""f AS (SELECT * FROM (SELECT ticker, date, coalesce({sql_change('close', 5)}, 0) AS x0, coalesce({sql_change('close', 10)}, 0) AS x1, {ratios},
-        lead(ret) OVER ({SERIES}) AS y FROM rbars) t WHERE y IS NOT NULL),
-      d AS (SELECT date, (row_number() OVER (ORDER BY date) - 1 - (n - 5 * (n // 6))) AS o, n // 6 AS size FROM (SELECT date, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM f) x) y),
-      g AS (SELECT f.*, CASE WHEN o >= 0 THEN o // size ELSE -1 END AS fold FROM f JOIN d USING (date)),
+    return f"""WITH RECURSIVE {BARS}, {RBARS}, {_ridge_rows()}, {rows},
       t AS (SELECT k.fold AS k, count(*) AS n, avg(y) AS my, {moments} FROM g JOIN (VALUES {folds}) k(fold) ON g.fold < k.fold GROUP BY 1),
       e(k, alpha, i, m) AS (SELECT k, alpha, 0, [{matrix}] FROM t, (VALUES {alphas}) a(alpha) UNION ALL
         SELECT z, alpha, k, list_transform([{', '.join(str(i + 1) for i in range(p))}], lambda i: CASE WHEN i = k THEN {own} ELSE {row} END)
         FROM (SELECT k AS z, alpha, i + 1 AS k, m FROM e WHERE i < {p}) s),
       s AS (SELECT k, alpha, list_transform(m, lambda a: a[{p + 1}]) AS b FROM e WHERE i = {p}),
-      {last.format(fitted=fitted)}"""
+      {last}"""
 
 
-@query(
-    "ridge_grid",
-    "WITH RECURSIVE " + ", ".join([BARS, RBARS, _ridge_sql("(0.1), (1.0), (5.0)", "(0), (1), (2), (3), (4)", "q AS (SELECT CAST(s.alpha AS DOUBLE) AS alpha, CAST(s.k AS INTEGER) AS fold, -avg((y - my - ({fitted})) * (y - my - ({fitted}))) AS neg_mse FROM s JOIN t ON t.k = s.k JOIN g ON g.fold = s.k GROUP BY 1, 2)")])
-    + " SELECT alpha, fold, round(neg_mse, 13) + 0.0 AS neg_mse FROM q",
-)
+_ALPHAS = "(0.1), (1.0), (5.0)"
+_ERRORS = f"q AS (SELECT CAST(s.alpha AS DOUBLE) AS alpha, CAST(s.k AS INTEGER) AS fold, -avg((y - ({_FITTED})) * (y - ({_FITTED}))) AS neg_mse FROM s JOIN t ON t.k = s.k JOIN g ON g.fold = s.k GROUP BY 1, 2)"
+_BEST = "best AS (SELECT alpha FROM (SELECT alpha, avg(neg_mse) AS v FROM q GROUP BY 1) x ORDER BY v DESC LIMIT 1)"
+_WEIGHTS = f"""SELECT unnest([{', '.join(repr(c) for c in RIDGE_COLUMNS)}]) AS feature, round(unnest([{', '.join(f'b[{i + 1}] / s{i}' for i in range(4))}]), 12) + 0.0 AS weight
+    FROM s JOIN t USING (k) WHERE k = 5 AND CAST(s.alpha AS DOUBLE) = (SELECT alpha FROM best)"""
+_RIDGE_MODEL = _ridge_sql(_BY_DATE, _ALPHAS, "(0), (1), (2), (3), (4), (5)", f"{_ERRORS}, {_BEST} {_WEIGHTS}")
+
+
+@query("ridge_grid", _ridge_sql(_BY_DATE, _ALPHAS, "(0), (1), (2), (3), (4)", f"{_ERRORS} SELECT alpha, fold, round(neg_mse, 13) + 0.0 AS neg_mse FROM q"))
 def ridge_grid(spark, sf):
     """Every alpha in every fold."""
     rows = [(p["params"]["alpha"], fold, v) for p in _ridge(spark, sf).cv_results for fold, v in enumerate(p["fold_scores"])]
     return rounded(spark.createDataFrame(rows, "alpha double, fold int, neg_mse double"), 13)
 
 
-@query(
-    "ridge_model",
-    "WITH RECURSIVE " + ", ".join([BARS, RBARS, _ridge_sql("(0.1), (1.0), (5.0)", "(0), (1), (2), (3), (4), (5)", "q AS (SELECT s.k, s.alpha, -avg((y - my - ({fitted})) * (y - my - ({fitted}))) AS v FROM s JOIN t ON t.k = s.k JOIN g ON g.fold = s.k GROUP BY 1, 2), best AS (SELECT alpha FROM (SELECT alpha, avg(v) AS v FROM q GROUP BY 1) x ORDER BY v DESC LIMIT 1)")])
-    + f" SELECT unnest([{', '.join(repr(c) for c in RIDGE_COLUMNS)}]) AS feature, round(unnest([{', '.join(f'b[{i + 1}] / s{i}' for i in range(4))}]), 12) + 0.0 AS weight FROM s JOIN t USING (k) WHERE k = 5 AND s.alpha = (SELECT alpha FROM best)",
-)
+def _weights(spark, model, names):
+    scaler, linear = model.stages
+    weights = [(c, float(b) / float(s) if s else 0.0) for c, b, s in zip(names, linear.coefficients, scaler.std)]
+    return rounded(spark.createDataFrame(weights, "feature string, weight double"), 12)
+
+
+@query("ridge_model", _RIDGE_MODEL)
 def ridge_model(spark, sf):
     """Weights of the best ridge model, refitted on all rows, in the features' own units."""
-    scaler, linear = _ridge(spark, sf).model.stages
-    weights = [(c, float(b) / float(s) if s else 0.0) for c, b, s in zip(RIDGE_COLUMNS, linear.coefficients, scaler.std)]
-    return rounded(spark.createDataFrame(weights, "feature string, weight double"), 12)
+    return _weights(spark, _ridge(spark, sf).model, RIDGE_COLUMNS)
+
+
+@query("ridge_saved", _RIDGE_MODEL)
+def ridge_saved(spark, sf):
+    """The same model and its feature names from where they were saved; a path without a model is passed over."""
+    folder = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    (path,) = st.save_results({"ridge": _ridge(spark, sf)}, folder, "reg", RIDGE_COLUMNS)
+    found, model = st.load_first_model([f"{folder}/reg_none", path])
+    return _weights(spark, model, st.load_feature_names(found))
+
+
+def _held(spark, sf, *alphas):
+    """The frame, its rows before the holdout answered for by one ridge model an alpha."""
+    frame = moving_averages(price_changes(add_targets(with_returns(bars(spark, sf)))))
+    label = "target_return_1d"
+    split = settle(holdout(frame.filter(F.col(label).isNotNull()), HELD_ROWS))
+    return frame, split, [ml.fit_rows(split.filter("not is_holdout"), RIDGE_COLUMNS, label, ml.REGRESSORS["ridge"], {"alpha": a}) for a in alphas]
+
+
+@query(
+    "ridge_eval",
+    _ridge_sql(
+        _HOLDOUT, "(1.0)", "(0)",
+        f"""q AS (SELECT ticker, y, {_FITTED} AS p FROM s JOIN t USING (k) JOIN g ON g.fold = s.k)
+        SELECT ticker, count(*) AS n, round(avg((y - p) * (y - p)), 13) + 0.0 AS mse, round(1 - avg((y - p) * (y - p)) / var_pop(y), 9) + 0.0 AS r2 FROM q GROUP BY 1""",
+    ),
+)
+def ridge_eval(spark, sf):
+    """Errors on the holdout of a model of the rows before it."""
+    frame, _, (model,) = _held(spark, sf, 1.0)
+    m = pl.evaluate_regressor(model, frame, RIDGE_COLUMNS, rows=HELD_ROWS)["metrics"]
+    return m.select("ticker", "n", (F.round("mse", 13) + 0.0).alias("mse"), (F.round("r2", 9) + 0.0).alias("r2"))
+
+
+@query(
+    "ridge_vote",
+    _ridge_sql(
+        _HOLDOUT, "(0.1), (50.0)", "(0)",
+        f"SELECT ticker, date, round(avg({_FITTED}), 12) + 0.0 AS vote FROM s JOIN t USING (k) JOIN g ON g.fold = s.k GROUP BY 1, 2",
+    ).replace("WHERE i = 4),\n      SELECT", "WHERE i = 4) SELECT"),
+)
+def ridge_vote(spark, sf):
+    """The mean of two regressors on rows that neither has seen."""
+    _, split, models = _held(spark, sf, 0.1, 50.0)
+    data = ml.assemble(split.filter("is_holdout"), RIDGE_COLUMNS, "target_return_1d")
+    return pick(ml.vote_regressors(data, models), "ticker, date", "vote", 12)
 
 
 def _fit(spark, sf, spec=FOREST, params=FOREST_POINT, label="target_dir_1d"):
