@@ -87,7 +87,9 @@ def _depth(value: int | None) -> int:
 
 
 def _logistic(p: Params, rows: int) -> Pipeline:
-    lr = LogisticRegression(maxIter=200, regParam=1.0 / (p["C"] * rows), elasticNetParam=0.0, standardization=False)
+    # the penalty counts weights of features scaled by the deviation of n, the scaler's is of n - 1; a close stop for weights of few rows
+    penalty = (rows - 1) / (p["C"] * rows**2)
+    lr = LogisticRegression(maxIter=200, tol=1e-12, regParam=penalty, elasticNetParam=0.0, standardization=False)
     return _scaled(lr)
 
 

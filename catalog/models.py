@@ -74,10 +74,10 @@ def _ridge(spark, sf):
     return ml.train_regressors(frame, RIDGE_COLUMNS, models_config={"ridge": ml.REGRESSORS["ridge"]})["ridge"]
 
 
-def _ridge_rows() -> str:
+def _ridge_rows(label: str = f"lead(ret) OVER ({SERIES})") -> str:
     ratios = ", ".join(f"coalesce(close / {sql_full('avg', 'close', w)}, 0) AS x{i}" for i, w in ((2, 5), (3, 20)))
     return f"""f AS (SELECT * FROM (SELECT ticker, date, coalesce({sql_change('close', 5)}, 0) AS x0, coalesce({sql_change('close', 10)}, 0) AS x1, {ratios},
-        lead(ret) OVER ({SERIES}) AS y FROM rbars) t WHERE y IS NOT NULL)"""
+        {label} AS y FROM rbars) t WHERE y IS NOT NULL)"""
 
 
 # Rows with the fold they are tested in: five expanding folds on shared dates, or the last rows of each ticker as fold 0.
@@ -177,6 +177,43 @@ def ridge_vote(spark, sf):
     return pick(ml.vote_regressors(data, models), "ticker, date", "vote", 12)
 
 
+def _newton_sql(c: float, rounds: int = 8) -> str:
+    """Penalised logistic weights of standardised features: rounds of solving for the step, each by Gauss-Jordan."""
+    p = len(RIDGE_COLUMNS) + 1
+    z = ["1"] + [f"z{i}" for i in range(p - 1)]
+    scaled = ", ".join(f"(x{i} - avg(x{i}) OVER ()) / stddev_pop(x{i}) OVER () AS z{i}" for i in range(p - 1))
+    score = " + ".join(f"b[{i + 1}] * {v}" for i, v in enumerate(z))
+    out = f"""WITH {BARS}, {RBARS}, {_ridge_rows('CASE WHEN lead(ret) OVER (' + SERIES + ') > 0 THEN 1 ELSE 0 END')}, {_HOLDOUT},
+      z AS MATERIALIZED (SELECT y, count(*) OVER () AS n, {scaled} FROM g WHERE fold < 0), b0 AS (SELECT [{', '.join('0.0::DOUBLE' for _ in z)}] AS b)"""
+    for r in range(rounds):
+        ridge = lambda i, j: f" + 1 / ({c} * any_value(n))" if i == j and i else ""
+        rows = []
+        for i, a in enumerate(z):
+            cells = [f"avg(w * {a} * {v}){ridge(i, j)}" for j, v in enumerate(z)]
+            rows.append("[" + ", ".join([*cells, f"avg((q - y) * {a})" + (f" + any_value(b)[{i + 1}] / ({c} * any_value(n))" if i else "")]) + "]")
+        out += f""", m{r}_0 AS MATERIALIZED (SELECT [{', '.join(rows)}] AS m FROM (SELECT *, q * (1 - q) AS w FROM (SELECT z.*, b, 1 / (1 + exp(-({score}))) AS q FROM z, b{r}) s) t)"""
+        for k in range(1, p + 1):
+            cells = ", ".join(
+                f"list_transform(m[{k}], lambda a: a / m[{k}][{k}])" if i == k else f"list_transform(list_zip(m[{i}], m[{k}]), lambda a: a[1] - a[2] * m[{i}][{k}] / m[{k}][{k}])" for i in range(1, p + 1)
+            )
+            out += f", m{r}_{k} AS MATERIALIZED (SELECT [{cells}] AS m FROM m{r}_{k - 1})"
+        out += f", b{r + 1} AS MATERIALIZED (SELECT list_transform(list_zip(b, list_transform(m, lambda a: a[{p + 1}])), lambda a: a[1] - a[2]) AS b FROM b{r}, m{r}_{p})"
+    names = ", ".join(repr(n) for n in ["intercept", *RIDGE_COLUMNS])
+    return out + f" SELECT unnest([{names}]) AS feature, round(unnest(b), 4) + 0.0 AS weight FROM b{rounds}"
+
+
+@query("logreg_model", _newton_sql(1.0))
+def logreg_model(spark, sf):
+    """Logistic weights of features scaled by their deviation, from the rows before the holdout."""
+    frame = moving_averages(price_changes(add_targets(with_returns(bars(spark, sf)))))
+    seen = settle(holdout(frame, HELD_ROWS).filter("not is_holdout"))
+    scaler, logistic = ml.fit_rows(seen, RIDGE_COLUMNS, "target_dir_1d", LOGREG, {"C": 1.0}).stages
+    n = seen.count()
+    by_n = float(n / (n - 1)) ** 0.5  # the scaler divides by the deviation of n - 1
+    weights = [("intercept", float(logistic.intercept)), *((c, float(b) / by_n) for c, b in zip(RIDGE_COLUMNS, logistic.coefficients))]
+    return rounded(spark.createDataFrame(weights, "feature string, weight double"), 4)
+
+
 def _fit(spark, sf, spec=FOREST, params=FOREST_POINT, label="target_dir_1d"):
     """The frame, and a model of the rows before each ticker's holdout."""
     frame = model_frame(spark, sf)
