@@ -132,7 +132,7 @@ def keep_accepted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``df`` whose language is accepted, with all their columns.
 
     Null and empty texts and texts without a letter go, and texts that two languages still pack alike; repeated rows stay or
-    go together; an empty table gives no rows.
+    go together; very long texts are packed whole; an empty table gives no rows.
     """
     bounded_batches(df.sparkSession)
     model = train(df.filter(~held_out(id_col)), id_col, text_col, lang_col, **options)
