@@ -74,7 +74,8 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     a score of ``least``. A score starts from the kind's own and moves by 0.2 for context words within 48 characters on either
     side. Null and empty texts have no spans. Repeated rows stay apart. The order of spans: start, then kind as listed.
 
-    Patterns run on the JVM; matches, never texts, are shuffled, by row.
+    Patterns run on the JVM, in time proportional to a text however long it is; matches, never texts, are shuffled, by row. An
+    empty table gives no rows.
     """
     rows = texts(df, id_col, text_col)
     found = rows.select("uid", "doc_id", F.explode_outer(F.concat(*[_candidates(k, i) for i, k in enumerate(ALL)])).alias("x"), F.monotonically_increasing_id().alias("at"))

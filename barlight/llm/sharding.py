@@ -108,7 +108,8 @@ def kd_shards(
     the rows, or a third of rows that are equal, splits like any other. Dimensions that the table lacks are left out.
 
     ``slot`` numbers a shard's rows from 0 without gaps, in blocks of stored rows. Nulls: a null text has size 16 and CRC 0,
-    a null id or dimension lies at the start of its axis. An empty table gives no rows.
+    a null id or dimension lies at the start of its axis. A very long text counts as its size and is not moved; one larger
+    than a shard's share makes its shard larger. Repeated rows are sharded each. An empty table gives no rows.
     """
     kept = [d for d in dims if d == "size" or d == "doc_id" or d in df.columns]
     text = F.col(f"`{text_col}`")
