@@ -92,6 +92,20 @@ def test_connected_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_few_edges_come_in_few_parts(spark):
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        roots = components.components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"))
+        assert roots.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert {(r.node, r.root) for r in roots.collect()} == {(i, 0) for i in range(41)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def byte_soup(rng):
     pool = ["abcde" * 12, "the passage that is shared by many documents and is long enough to count", "é" * 30, "z" * 120, "0123456789" * 6]
     return "".join(rng.choice([rng.choice(pool), rng.choice(pool)[rng.randint(0, 30) :], str(rng.random())]) for _ in range(rng.randint(0, 6)))
