@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from barlight.functions.text import as_text, score_label, shorten, signed_score, standard_label, text_key
 from barlight.operators.skew import broadcast_if_small
@@ -103,6 +102,18 @@ def phrase_places(words: Column, phrases: dict[str, float]) -> Column:
     return F.when(firsts, kept).otherwise(none)
 
 
+def _given_values(places: Column) -> Column:
+    """array<double> by token: an idiom's value at its first word, 0 at its others, null where no idiom stands."""
+    after = F.filter(F.arrays_zip(places.alias("p"), F.concat(F.array(F.lit(None)), places).alias("before")), lambda x: x["p"].isNotNull())
+
+    def stretch(x: Column) -> Column:
+        p, end = x["p"], F.coalesce(x["before"]["at"] + x["before"]["size"], F.lit(0))
+        free = F.array_repeat(F.lit(None).cast("double"), p["at"] - end)
+        return F.concat(free, F.array(p["value"]), F.array_repeat(F.lit(0.0), p["size"] - 1))
+
+    return F.flatten(F.transform(after, stretch))
+
+
 def lexicon_scores_with_rules(
     texts: DataFrame,
     lexicon: DataFrame,
@@ -118,47 +129,64 @@ def lexicon_scores_with_rules(
     ``contrast`` (such as "but") halves what comes before its first use and lifts what comes after by half.
     ``emphasis`` lifts words in capitals, in a text that has others too, and the whole by its marks: up to
     four '!', two '?' or more. ``idioms`` are phrases with a valence of their own, which stands for all their words and for
-    what negation and boosters would make of them. Windows run over the tokens of one distinct text.
+    what negation and boosters would make of them.
+
+    What a token needs of its text (the three tokens before it, the idiom it belongs to, the place of the contrast word)
+    is taken from the array of the text's tokens, so tokens are neither sorted nor kept: they join the broadcast lexicon and
+    fold back to one row a text inside the map task, in their order. Only hashes and sums are shuffled. Every copy of a text
+    is scored, to the same sum, and one stays.
     """
-    distinct = with_text_key(texts, text).groupBy("text_hash").agg(F.first(as_text(text)).alias("_text"))
+    rows = with_text_key(texts, text).select("text_hash", F.monotonically_increasing_id().alias("_row"), as_text(text).alias("_text"))
     marks = F.least(_occurrences("_text", "!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION
     asked = _occurrences("_text", "?")
     marks += F.when(asked > FEW_QUESTIONS, MANY_QUESTIONS).when(asked > 1, asked * QUESTION).otherwise(0.0)
-    distinct = distinct.select("text_hash", marks.alias("_marks"), F.split("_text", TOKEN_BREAK).alias("_raws"))
+    rows = rows.select("text_hash", "_row", marks.alias("_marks"), F.split("_text", TOKEN_BREAK).alias("_raws"))
+
+    def capital(raw: Column) -> Column:
+        return (F.length(raw) > 1) & (F.upper(raw) == raw)
+
+    aligned, whole = ["_raws"], ["_marks"]
+    if negations or boosters:
+        for d in BOOST_DECAY:
+            rows = rows.withColumn(f"_before{d}", F.concat(F.array_repeat(F.lit(None).cast("string"), d), "_raws"))
+            aligned.append(f"_before{d}")
     if idioms:
-        lowered = distinct.withColumn("_lower", F.transform("_raws", F.lower))
-        distinct = lowered.withColumn("_places", phrase_places(F.col("_lower"), idioms)).drop("_lower")
-    else:
-        distinct = distinct.withColumn("_places", F.lit(None).cast("array<struct<at:int,size:int,value:double>>"))
-    tokens = distinct.select("text_hash", "_marks", "_places", F.posexplode("_raws").alias("pos", "_raw"))
-    inside = F.filter("_places", lambda p: (F.col("pos") >= p["at"]) & (F.col("pos") < p["at"] + p["size"]))
-    tokens = tokens.withColumn("_idiom", F.get(F.when(F.size("_places") > 0, inside), F.lit(0))).drop("_places")
-    tokens = tokens.withColumn("word", F.lower("_raw"))
-    tokens = tokens.join(broadcast_if_small(_words(lexicon)), "word", "left")
-    negates = F.col("word").isin(negations) if negations else F.lit(False)
+        rows = rows.withColumn("_lower", F.transform("_raws", F.lower))
+        rows = rows.withColumn("_places", phrase_places(F.col("_lower"), idioms))
+        rows = rows.withColumn("_given", _given_values(F.col("_places")))
+        aligned.append("_given")
+    if emphasis:
+        rows = rows.withColumn("_others", F.exists("_raws", lambda raw: ~capital(raw) & (raw != "")))
+        whole.append("_others")
+    if contrast:
+        rows = rows.withColumn("_turn", F.nullif(F.array_position(F.transform("_raws", F.lower), contrast), F.lit(0)) - 1)
+        whole.append("_turn")
+    tokens = rows.select("text_hash", "_row", *whole, F.posexplode(F.arrays_zip(*aligned)).alias("pos", "_token"))
+    tokens = tokens.select("text_hash", "_row", *whole, "pos", "_token.*").filter(F.col("_raws").isNotNull())  # befores are longer
+    tokens = tokens.withColumn("word", F.lower("_raws")).join(broadcast_if_small(_words(lexicon)), "word", "left")
+    given = F.col("_given") if idioms else F.lit(None).cast("double")
+    tokens = tokens.filter(F.col("tenths").isNotNull() | given.isNotNull() | (F.col("pos") == 0))  # misses carry nothing
+
+    valence = F.col("tenths") / F.lit(10.0)
+    sign = F.when(valence < 0, -1.0).otherwise(1.0)
+    befores = {d: F.lower(f"_before{d}") for d in BOOST_DECAY if f"_before{d}" in aligned}
     weights = F.create_map(*[F.lit(x) for kv in boosters.items() for x in kv]) if boosters else None
-    boost = F.coalesce(F.try_element_at(weights, F.col("word")), F.lit(0.0)) if boosters else F.lit(0.0)
-    tokens = tokens.withColumns({"_neg": negates, "_boost": boost, "_v": F.col("tenths") / F.lit(10.0)})
-    w = W.partitionBy("text_hash").orderBy("pos")
-    sign = F.when(F.col("_v") < 0, -1.0).otherwise(1.0)
-    lift = sum((F.coalesce(F.lag("_boost", d).over(w), F.lit(0.0)) * f for d, f in BOOST_DECAY.items()), F.lit(0.0))
-    negated = F.coalesce(F.max(F.col("_neg").cast("int")).over(w.rowsBetween(-3, -1)), F.lit(0)) == 1
-    valence = F.col("_v")
+    lift, negated = F.lit(0.0), F.lit(False)
+    for d, word in befores.items():
+        if boosters:
+            lift += F.coalesce(F.try_element_at(weights, word), F.lit(0.0)) * BOOST_DECAY[d]
+        if negations:
+            negated |= F.coalesce(word.isin(negations), F.lit(False))
     if emphasis:
-        capital = (F.length("_raw") > 1) & (F.upper("_raw") == F.col("_raw"))
-        words = W.partitionBy("text_hash")
-        capitals, others = F.sum(capital.cast("int")).over(words), F.sum((~capital & (F.col("_raw") != "")).cast("int")).over(words)
-        valence += F.when(capital & (capitals > 0) & (others > 0), sign * CAPITALS).otherwise(0.0)
+        valence += F.when(capital(F.col("_raws")) & F.col("_others"), sign * CAPITALS).otherwise(0.0)
     value = F.coalesce((valence + sign * lift) * F.when(negated, NEGATION_FACTOR).otherwise(1.0), F.lit(0.0))
-    first = F.col("pos") == F.col("_idiom.at")
-    value = F.when(F.col("_idiom").isNull(), value).otherwise(F.when(first, F.col("_idiom.value")).otherwise(0.0))
+    value = F.coalesce(given, value)
     if contrast:
-        turn = F.min(F.when(F.col("word") == contrast, F.col("pos"))).over(W.partitionBy("text_hash"))
-        value *= F.when(F.col("pos") < turn, BEFORE_CONTRAST).when(F.col("pos") > turn, AFTER_CONTRAST).otherwise(1.0)
-    tokens = tokens.withColumn("_value", value)
-    out = tokens.groupBy("text_hash").agg(F.sum("_value").alias("_total"), F.first("_marks").alias("_marks"))
+        value *= F.when(F.col("pos") < F.col("_turn"), BEFORE_CONTRAST).when(F.col("pos") > F.col("_turn"), AFTER_CONTRAST).otherwise(1.0)
+    out = tokens.groupBy("text_hash", "_row").agg(F.sum(value).alias("_total"), F.first("_marks").alias("_marks"))
     if emphasis:
         out = out.withColumn("_total", F.col("_total") + F.signum("_total") * F.col("_marks"))
+    out = out.groupBy("text_hash").agg(F.min("_total").alias("_total"))
     out = out.select("text_hash", compound(F.col("_total")).alias("score"))
     return out.withColumn("label", score_label("score"))
 

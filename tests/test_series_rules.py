@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -117,3 +118,54 @@ def test_fixed_spellings_come_before_a_models_own_names(spark):
     rows = [("label_0", "negative"), ("LABEL_3", "positive"), ("4", "bearish"), ("pos", "positive"), ("", "neutral"), (None, "neutral"), ("odd", "odd")]
     df = spark.createDataFrame(rows, "l string, want string").select(standard_label("l", {0: "positive", 3: "POS", 4: "Bearish", 9: "pos"}).alias("got"), "want")
     assert df.filter("not got <=> want").count() == 0
+
+
+RULES = {"negations": ["not", "no"], "boosters": {"very": 0.293, "hardly": -0.293}, "contrast": "but", "emphasis": True, "idioms": {"kiss of death": -1.5, "yeah right": -2.0}}
+RULE_TEXTS = ["Not VERY good, but no bad day!", "a kiss of death but GOOD!! yeah right?? bad", "", "GOOD GOOD", "hardly very not good", None, "1 good but bad but good ????"] * 2 + ["good kiss of death " * 3000]
+VALENCES = {"good": 1.9, "bad": -2.5, "death": -3.0, "right": 0.5}
+
+
+def rule_score(text):
+    raws = re.split(r"[\W\d_]+", text)
+    words = [w.lower() for w in raws]
+    capital = [len(r) > 1 and r.upper() == r for r in raws]
+    others = any(r and not c for r, c in zip(raws, capital, strict=True))
+    turn, total, free = words.index("but") if "but" in words else None, 0.0, 0
+    for i, w in enumerate(words):
+        phrase = next((p for p in RULES["idioms"] if i >= free and words[i : i + len(p.split())] == p.split()), None)
+        if phrase:
+            free, value = i + len(phrase.split()), RULES["idioms"][phrase]
+        elif i < free or w not in VALENCES:
+            continue
+        else:
+            sign = -1.0 if VALENCES[w] < 0 else 1.0
+            near = [words[i - d] for d in (1, 2, 3) if i >= d]
+            value = VALENCES[w] + sign * (0.733 if capital[i] and others else 0.0)
+            value += sign * sum(RULES["boosters"].get(b, 0.0) * f for b, f in zip(near, (1, 0.95, 0.9), strict=False))
+            value *= -0.74 if {"not", "no"} & set(near) else 1.0
+        total += value * (1.0 if turn is None or i == turn else 0.5 if i < turn else 1.5)
+    asked = text.count("?")
+    marks = min(text.count("!"), 4) * 0.292 + (0.96 if asked > 3 else asked * 0.18 if asked > 1 else 0.0)
+    total += marks * ((total > 0) - (total < 0))
+    return total / (total * total + 15) ** 0.5
+
+
+def ruled(spark, **rules):
+    df = spark.createDataFrame([(t,) for t in RULE_TEXTS], "text string")
+    lexicon = spark.createDataFrame([(w, round(10 * v)) for w, v in VALENCES.items()], "word string, tenths int")
+    return sm.lexicon_scores_with_rules(df, lexicon, **rules)
+
+
+def test_rule_scores_equal_a_plain_loop(spark):
+    got = {r["text_hash"]: r["score"] for r in ruled(spark, **RULES).collect()}
+    want = {hashlib.sha256((t or "").encode()).hexdigest(): rule_score(t or "") for t in RULE_TEXTS}
+    assert got.keys() == want.keys() and len(got) == 7
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("kind", ["emphasis", "rules", "idioms"])
+def test_rule_scores_neither_sort_nor_keep_tokens(spark, kind):
+    rules = {"negations": [], "boosters": {}}
+    rules |= {k: RULES[k] for k in {"emphasis": ("emphasis", "contrast"), "rules": ("negations", "boosters"), "idioms": ("idioms",)}[kind]}
+    plan = ruled(spark, **rules)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Window" not in plan and "Sort" not in plan
