@@ -107,6 +107,17 @@ def stored(df: DataFrame) -> DataFrame:
     return settle(df)
 
 
+def stored_anew(df: DataFrame) -> DataFrame:
+    """``stored``, for what a loop makes of its own last round: Spark's estimate of its size starts again.
+
+    A checkpoint keeps the estimate of the plan that it comes from, and a join's estimate is the product of its sides, a number of
+    any length. Of tables joined with those of the round before, the digits double each round, and the driver holds such a
+    number for every node of every plan that reads them. Without an estimate Spark takes the largest 64-bit number.
+    """
+    spark, kept = df.sparkSession, stored(df)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().analyzed().rdd(), kept.schema(), False), spark)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 128) -> SparkSession:
     """Whole texts travel to Python in batches of few rows, so that a run of very long ones fits in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

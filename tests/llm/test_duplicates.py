@@ -6,6 +6,7 @@ from collections import Counter
 from brute import as_files, awkward, empty, ngram_components, removed_bytes, removed_lines, rows
 
 from barlight.llm import components, line_dedup, ngram_join, suffix_dedup
+from barlight.llm.common import stored_anew
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,6 +107,25 @@ def test_components_of_few_edges_come_in_few_parts(spark):
             spark.conf.set(k, v)
 
 
+def test_components_of_a_long_path_in_any_numbering(spark):
+    names = random.Random(6).sample(range(10**9), 5000)
+    edges = spark.createDataFrame(list(zip(names, names[1:], strict=False)), "a long, b long")
+    roots = components.components(edges, rounds=20)
+    assert {(r.node, r.root) for r in roots.collect()} == {(n, min(names)) for n in names}
+
+
+def test_size_estimates_do_not_grow_with_the_rounds(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    roots = components.components(edges)
+    assert roots._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 64
+
+
+def test_what_is_stored_anew_has_the_same_rows(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "a", None), (None, "", 2.5)], "n long, s string, x double")
+    kept = stored_anew(df)
+    assert kept.schema == df.schema and rows(kept) == rows(df)
+
+
 def byte_soup(rng):
     pool = ["abcde" * 12, "the passage that is shared by many documents and is long enough to count", "é" * 30, "z" * 120, "0123456789" * 6]
     return "".join(rng.choice([rng.choice(pool), rng.choice(pool)[rng.randint(0, 30) :], str(rng.random())]) for _ in range(rng.randint(0, 6)))
