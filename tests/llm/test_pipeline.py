@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from brute import as_files, awkward, empty, ngram_components, removed_lines
 
 import corpus_pipeline as cp
@@ -50,3 +52,13 @@ def test_stages_stand_an_empty_table(spark, tmp_path):
         stage(spark, docs, SF).write.parquet(path)
         docs = spark.read.parquet(path)
     assert docs.count() == 0
+
+
+def test_a_chain_of_near_copies_keeps_one_and_no_plan_grows_with_it(spark, tmp_path):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**7)}" for _ in range(1300)]
+    docs = [(i, " ".join(words[4 * i : 4 * i + 60])) for i in range(300)]
+    df = as_files(spark, spark.createDataFrame(docs, "doc_id long, text string"), tmp_path)
+    kept = cp.near_duplicates(spark, df, "")
+    assert [r.doc_id for r in kept.collect()] == [0]
+    assert kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 2000
